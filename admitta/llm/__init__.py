@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("survivor",)
+MODULES = ("survivor", "packing", "mixing")
 
 
 def _modules():
