@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("survivor", "packing", "mixing")
+MODULES = ("survivor", "packing", "mixing", "lookalike")
 
 
 def _modules():
