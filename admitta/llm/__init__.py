@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("survivor", "packing", "mixing", "lookalike", "canonical")
+MODULES = ("entities", "survivor", "packing", "mixing", "lookalike", "canonical")
 
 
 def _modules():
