@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("entities", "survivor", "packing", "mixing", "lookalike", "canonical")
+MODULES = ("entities", "lookalike", "canonical", "survivor", "packing", "mixing", "truncation")
 
 
 def _modules():
