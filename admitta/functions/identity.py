@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from admitta.functions.text import match_form, slug
+from admitta.functions.text import EDGES, match_form, slug
 
 #: Query keys that begin like this are tracking keys.
 TRACKING = ("utm_", "fbclid", "gclid", "ref")
@@ -37,7 +37,7 @@ def uid(c: Column) -> Column:
 
 def content_hash(c: Column) -> Column:
     """Hash of the text with plain line ends and without blanks around it; null gives an empty text."""
-    return F.when(c.isNull(), "").otherwise(F.sha2(F.regexp_replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), r"^\s+|\s+$", ""), 256))
+    return F.when(c.isNull(), "").otherwise(F.sha2(F.regexp_replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), EDGES, ""), 256))
 
 
 def faculty_uid(faculty_slug: Column) -> Column:

@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 
 from admitta.functions.vocab import ABBREVIATIONS
 
+#: Runs of blanks of any kind, and such runs at both ends.
+BLANKS = r"[\s\p{Z}]+"
+EDGES = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+
 _DIACRITICS = ("ăâîșşțţ", "aaisstt")
 
 
@@ -25,7 +29,7 @@ def _no_punctuation(c: Column) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    return F.trim(F.regexp_replace(c, BLANKS, " "))
 
 
 def match_form(c: Column) -> Column:
@@ -35,7 +39,7 @@ def match_form(c: Column) -> Column:
 
 def rule_form(c: Column) -> Column:
     """Like N1 but with blanks kept as they are inside."""
-    return _no_punctuation(lower_ascii(F.regexp_replace(c, r"^\s+|\s+$", "")))
+    return _no_punctuation(lower_ascii(F.regexp_replace(c, EDGES, "")))
 
 
 def _compositions() -> tuple[tuple[str, str], ...]:
@@ -52,7 +56,7 @@ def composed(c: Column) -> Column:
     out = c
     for apart, whole in _compositions():
         out = F.replace(out, F.lit(apart), F.lit(whole))
-    return F.regexp_replace(F.translate(out, "şŞţŢ", "șȘțȚ"), r"^\s+|\s+$", "")
+    return F.regexp_replace(F.translate(out, "şŞţŢ", "șȘțȚ"), EDGES, "")
 
 
 @F.pandas_udf(T.StringType())
@@ -62,7 +66,7 @@ def _nfc(texts: pd.Series) -> pd.Series:
 
 def composed_nfc(c: Column) -> Column:
     """N3 in full: canonical composition of any letter, then cedillas to commas below, trimmed."""
-    return F.regexp_replace(F.translate(_nfc(c), "şŞţŢ", "șȘțȚ"), r"^\s+|\s+$", "")
+    return F.regexp_replace(F.translate(_nfc(c), "şŞţŢ", "șȘțȚ"), EDGES, "")
 
 
 def _latin_letters() -> tuple[str, str]:
@@ -134,7 +138,7 @@ def short_id(c: Column, size: int = 8) -> Column:
 
 def tokens(c: Column) -> Column:
     """Parts between blanks, without empty ones."""
-    return F.filter(F.split(c, r"\s+"), lambda t: t != "")
+    return F.filter(F.split(c, BLANKS), lambda t: t != "")
 
 
 def repair_encoding(c: Column) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from admitta.plans import snapshot_queries
+from admitta.plans import pipeline_queries, snapshot_queries, text_queries
 
-MODULES = (snapshot_queries,)
+MODULES = (snapshot_queries, text_queries, pipeline_queries)
 
 
 def queries() -> dict:
