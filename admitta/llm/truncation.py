@@ -173,7 +173,8 @@ def _slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def length_limits(tails: DataFrame) -> DataFrame:
-    """(source, unit, at): lengths at which the texts of a source pile up, with hardly any longer ones."""
+    """(source, unit, at): lengths at which the texts of a source pile up, with hardly any longer ones. Copies count once."""
+    tails = tails.select("source", "digest", "chars", "bytes").dropDuplicates(["source", "digest"])
     sizes = tails.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("at")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("at")))).alias("x")).select("source", "x.*")
     piles = sizes.groupBy("source", "unit", "at").agg(F.count(F.lit(1)).alias("n"))
     totals = tails.groupBy("source").agg(F.count(F.lit(1)).alias("all"))
