@@ -9,6 +9,8 @@ labelled pairs, which are records of ``programs`` with a known program_id, smoot
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,16 +127,30 @@ def keys(rule: str, words: Column) -> Column:
     return F.when(F.size(codes) >= 3, F.array_distinct(_triples(codes))).otherwise(none)
 
 
-def joined(rule: str, rows: DataFrame, programmes: DataFrame) -> DataFrame:
-    """(row_id, pid, row_lang, lang) of the pairs a rule joins and the check confirms."""
-    left = rows.select("row_id", "fac", F.col("lvl").alias("row_lvl"), F.col("lang").alias("row_lang"), F.col("ws").alias("row_ws"), F.explode(keys(rule, F.col("ws"))).alias("key"))
-    right = programmes.select("pid", "lvl", "lang", "ws", F.explode(F.array("fac", F.lit(ANY_FACULTY))).alias("fac"), "key") if "key" in programmes.columns else None
-    if right is None:
-        wide = programmes.select("pid", "lvl", "lang", "ws", "fac", F.explode(keys(rule, F.col("ws"))).alias("key"))
-        right = wide.withColumn("fac", F.explode(F.array("fac", F.lit(ANY_FACULTY))))
-    pairs = left.join(right, ["fac", "key"])
+def joined(rules: Sequence[str], rows: DataFrame, programmes: DataFrame, any_faculty: bool = False) -> DataFrame:
+    """(rule, row_id, pid, row_lang, lang) of the pairs each rule joins and the check confirms.
+
+    With ``any_faculty`` rows without a faculty of their own look in all of them. A pair that shares
+    several keys of three beginnings is checked at one of them only: its first three common ones.
+    """
+
+    def tagged(rule: str, ws: Column) -> Column:
+        return F.transform(keys(rule, ws), lambda k: F.struct(F.lit(RULES.index(rule)).alias("rule"), k.alias("key")))
+
+    def listed(ws: Column) -> Column:
+        return F.flatten(F.array(*(tagged(r, ws) for r in rules)))
+
+    left = rows.select("row_id", "fac", F.col("lvl").alias("row_lvl"), F.col("lang").alias("row_lang"), F.col("ws").alias("row_ws"), F.explode(listed(F.col("ws"))).alias("x")).select("*", "x.*").drop("x")
+    right = programmes.select("pid", "lvl", "lang", "ws", "fac", F.explode(listed(F.col("ws"))).alias("x")).select("*", "x.*").drop("x")
+    if any_faculty:
+        right = right.withColumn("fac", F.explode(F.array("fac", F.lit(ANY_FACULTY))))
+    pairs = left.join(right, ["fac", "rule", "key"])
     fits = (F.coalesce(F.col("row_lvl") == F.col("lvl"), F.lit(True))) & (F.col("row_lang").isNull() | F.coalesce(F.col("row_lang") == F.col("lang"), F.lit(True)))
-    return pairs.where(fits).where(agrees(F.col("row_ws"), F.col("ws"))).select("row_id", "pid", "row_lang", "row_lvl", "lang", "lvl").dropDuplicates()
+    pairs = pairs.where(fits)
+    if RULES[-1] in rules:
+        common = F.array_sort(F.array_intersect(_codes(F.col("row_ws")), _codes(F.col("ws"))))
+        pairs = pairs.where((F.col("rule") != len(RULES) - 1) | (F.col("key") == F.array_join(F.slice(common, 1, 3), " ")))
+    return pairs.where(agrees(F.col("row_ws"), F.col("ws"))).select("rule", "row_id", "pid", "row_lang", "lang").dropDuplicates()
 
 
 def choose(found: DataFrame) -> DataFrame:
@@ -142,14 +158,14 @@ def choose(found: DataFrame) -> DataFrame:
     plain = found.groupBy("row_id").agg(F.max(F.coalesce(F.col("lang") == "ro", F.lit(True))).alias("has_plain"))
     both = found.join(plain, "row_id")
     foreign = F.col("row_lang").isNull() & F.col("has_plain") & F.coalesce(F.col("lang") != "ro", F.lit(False))
-    return both.where(~foreign).select("row_id", "pid").dropDuplicates()
+    return both.where(~foreign).select("rule", "row_id", "pid").dropDuplicates()
 
 
-def cascade(rows: DataFrame, programmes: DataFrame) -> DataFrame:
+def cascade(rows: DataFrame, programmes: DataFrame, any_faculty: bool = False) -> DataFrame:
     """(row_id, pid, rule): rule after rule over the rows that no stronger rule resolved."""
     out, left = None, rows
     for number, rule in enumerate(RULES):
-        found = materialize(choose(joined(rule, left, programmes)).withColumn("rule", F.lit(number)))
+        found = materialize(choose(joined([rule], left, programmes, any_faculty)))
         out = found if out is None else out.unionByName(found)
         if number + 1 < len(RULES):
             left = left.join(found.select("row_id").dropDuplicates(), "row_id", "left_anti")
@@ -191,14 +207,10 @@ def rule_confidence(programmes: DataFrame, prior: float = 0.5, weight: float = 2
     """
     names = programmes.where("NOT lone").select("pid", "fac", "lvl", "lang", "ws").dropDuplicates()
     as_rows = names.withColumn("row_id", F.concat_ws("|", "pid", F.to_json("ws")))
-    parts = []
-    for number, rule in enumerate(RULES):
-        pairs = joined(rule, as_rows, names).where("row_id IS NOT NULL")
-        right = F.substring_index("row_id", "|", 1) == F.col("pid")
-        parts.append(pairs.agg(F.count(F.lit(1)).alias("joined_pairs"), F.coalesce(F.sum(right.cast("long")), F.lit(0)).alias("right_pairs")).withColumn("rule", F.lit(number)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    right = F.substring_index("row_id", "|", 1) == F.col("pid")
+    out = joined(RULES, as_rows, names).groupBy("rule").agg(F.count(F.lit(1)).alias("joined_pairs"), F.count_if(right).alias("right_pairs"))
+    every = names.sparkSession.range(len(RULES)).select(F.col("id").cast("int").alias("rule"))
+    out = every.join(out, "rule", "left").fillna(0)
     return out.withColumn("confidence", (F.col("right_pairs") + prior * weight) / (F.col("joined_pairs") + weight))
 
 
@@ -219,7 +231,7 @@ def match_programmes(programs: DataFrame, pdf_rows: DataFrame, queue: DataFrame)
     everyone = materialize(everyone)
     programmes = materialize(with_group_traits(everyone).drop("uid").dropDuplicates())
     rows = materialize(paper_rows(pdf_rows, queue))
-    found = cascade(rows, programmes)
+    found = cascade(rows, programmes, any_faculty=True)
     sure = materialize(rule_confidence(programmes.join(everyone.groupBy("pid").agg(F.min("lone").alias("lone")), "pid")))
     pairs = found.join(rows.select("row_id", "pdf_url", "row_idx").dropDuplicates(), "row_id").join(everyone.select("uid", "pid").dropDuplicates(), "pid")
     pairs = pairs.join(F.broadcast(sure.select("rule", "confidence")), "rule")  # one row per rule
