@@ -142,6 +142,7 @@ def tokens(c: Column) -> Column:
 
 
 def repair_encoding(c: Column) -> Column:
-    """SC17: text read as Latin-1 though it was UTF-8, told by the letter it shows for the first byte."""
-    wrong = F.contains(c, F.lit("Ä")) & ~F.contains(c, F.lit("ă"))
-    return F.when(wrong, F.decode(F.encode(c, "ISO-8859-1"), "UTF-8")).otherwise(c)
+    """SC17: text read as Latin-1 though it was UTF-8, told by the letter it shows for the first byte; else unchanged."""
+    wrong = F.contains(c, F.lit("Ä")) & ~F.contains(c, F.lit("ă")) & c.rlike(r"^[\x00-\xff]*$")
+    again = F.encode(F.when(wrong, c), "ISO-8859-1").cast("string")
+    return F.when(wrong & F.is_valid_utf8(again), again).otherwise(c)
