@@ -134,11 +134,13 @@ def map_names(records: DataFrame, catalog: DataFrame) -> DataFrame:
     each = lists.select("ws", F.posexplode("ws").alias("pos", "w")).select("ws", "pos", "w.word", "w.short")
     resolved = similar_words(each.select("word", "short").dropDuplicates(), reference_strings(entries))
     options = each.join(resolved, ["word", "short"])
-    # an entry is a candidate when it has a word for every position; its words are then counted off
-    per_entry = entries.select("catalog_id", "lang", "words", F.explode(F.array_distinct("words")).alias("target"))
-    hits = options.join(per_entry, ["target", "lang"]).where(F.size("ws") == F.size("words"))
-    best = hits.groupBy("ws", "catalog_id", "words", "pos").agg(F.min(F.struct("edits", "target")).alias("b"))
-    whole = best.groupBy("ws", "catalog_id", "words").agg(F.array_sort(F.collect_list("b.target")).alias("got"), F.sum("b.edits").alias("edits")).where("got = words")
+    # every choice of one target per position, as a sorted list, is looked up among the entries' lists
+    places = options.groupBy("ws", "lang", "pos").agg(F.collect_set(F.struct("target", F.col("edits").cast("int").alias("edits"))).alias("o"))
+    whole = places.groupBy("ws", "lang").agg(F.array_sort(F.collect_list(F.struct("pos", "o"))).alias("ps")).where(F.size("ps") == F.size("ws"))
+    start = F.array(F.struct(F.array().cast("array<string>").alias("t"), F.lit(0).alias("e")))
+    grown = F.aggregate("ps", start, lambda acc, p: F.flatten(F.transform(acc, lambda a: F.transform(p["o"], lambda o: F.struct(F.concat(a["t"], F.array(o["target"])).alias("t"), (a["e"] + o["edits"]).alias("e"))))))
+    chosen = whole.select("ws", "lang", F.explode(grown).alias("c")).select("ws", "lang", F.array_sort("c.t").alias("words"), F.col("c.e").alias("edits"))
+    whole = chosen.join(entries, ["lang", "words"])
     first = Window.partitionBy("ws").orderBy("edits", "catalog_id")
     meant = whole.withColumn("place", F.row_number().over(first)).where("place = 1").select("ws", "catalog_id", "edits")
     return worded.join(meant, "ws").select("origin", "record_key", "catalog_id", "edits").dropDuplicates(["origin", "record_key", "catalog_id"])
