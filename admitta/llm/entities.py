@@ -34,6 +34,10 @@ ANY_FACULTY = "*"
 RULES = ("all words", "all beginnings", "all endings", "all beginnings but one", "three beginnings")
 #: Letters of a word's beginning or ending.
 CODE = 3
+#: Between the parts of a key of the labelled pairs.
+_SPLIT = "\x01"
+#: Labelled records that a rule's confidence is measured on.
+LABELLED = 2000
 
 
 def plain_name(name: Column) -> Column:
@@ -127,10 +131,10 @@ def keys(rule: str, words: Column) -> Column:
     return F.when(F.size(codes) >= 3, F.array_distinct(_triples(codes))).otherwise(none)
 
 
-def joined(rules: Sequence[str], rows: DataFrame, programmes: DataFrame, any_faculty: bool = False) -> DataFrame:
+def joined(rules: Sequence[str], rows: DataFrame, programmes: DataFrame, any_faculty: bool = False, few: bool = False) -> DataFrame:
     """(rule, row_id, pid, row_lang, lang) of the pairs each rule joins and the check confirms.
 
-    With ``any_faculty`` rows without a faculty of their own look in all of them. A pair that shares
+    ``few`` rows are broadcast. With ``any_faculty`` rows without a faculty of their own look in all of them. A pair that shares
     several keys of three beginnings is checked at one of them only: its first three common ones.
     """
 
@@ -144,7 +148,7 @@ def joined(rules: Sequence[str], rows: DataFrame, programmes: DataFrame, any_fac
     right = programmes.select("pid", "lvl", "lang", "ws", "fac", F.explode(listed(F.col("ws"))).alias("x")).select("*", "x.*").drop("x")
     if any_faculty:
         right = right.withColumn("fac", F.explode(F.array("fac", F.lit(ANY_FACULTY))))
-    pairs = left.join(right, ["fac", "rule", "key"])
+    pairs = right.join(F.broadcast(left) if few else left, ["fac", "rule", "key"])
     fits = (F.coalesce(F.col("row_lvl") == F.col("lvl"), F.lit(True))) & (F.col("row_lang").isNull() | F.coalesce(F.col("row_lang") == F.col("lang"), F.lit(True)))
     pairs = pairs.where(fits)
     if RULES[-1] in rules:
@@ -199,16 +203,19 @@ def with_group_traits(records: DataFrame) -> DataFrame:
     return records.select("uid", "pid", "fac", "ws").join(told, "pid")
 
 
-def rule_confidence(programmes: DataFrame, prior: float = 0.5, weight: float = 2.0) -> DataFrame:
+def rule_confidence(records: DataFrame, prior: float = 0.5, weight: float = 2.0, labelled: int = LABELLED) -> DataFrame:
     """(rule, joined_pairs, right_pairs, confidence) on records with a known program_id.
 
-    Each rule joins the records of a faculty to each other; a pair is right when both have the same
-    program_id. ``prior`` counts as ``weight`` more pairs.
+    Each rule joins a bounded sample of ``labelled`` records, chosen by hash, to all other records of
+    their faculties; a pair is right when both have the same program_id. ``prior`` counts as
+    ``weight`` more pairs. Names of more than twelve words are not sampled, so the sample has a
+    bounded size.
     """
-    names = programmes.where("NOT lone").select("pid", "fac", "lvl", "lang", "ws").dropDuplicates()
-    as_rows = names.withColumn("row_id", F.concat_ws("|", "pid", F.to_json("ws")))
-    right = F.substring_index("row_id", "|", 1) == F.col("pid")
-    out = joined(RULES, as_rows, names).groupBy("rule").agg(F.count(F.lit(1)).alias("joined_pairs"), F.count_if(right).alias("right_pairs"))
+    names = records.where("NOT lone").select(F.concat_ws(_SPLIT, "pid", "uid").alias("pid"), "fac", "lvl", "lang", "ws").dropDuplicates()
+    as_rows = names.where("size(ws) <= 12").orderBy(F.xxhash64("pid"), "pid").limit(labelled).withColumnRenamed("pid", "row_id")
+    pairs = joined(RULES, as_rows, names, few=True).where("row_id <> pid")
+    right = F.substring_index("row_id", _SPLIT, 1) == F.substring_index("pid", _SPLIT, 1)
+    out = pairs.groupBy("rule").agg(F.count(F.lit(1)).alias("joined_pairs"), F.count_if(right).alias("right_pairs"))
     every = names.sparkSession.range(len(RULES)).select(F.col("id").cast("int").alias("rule"))
     out = every.join(out, "rule", "left").fillna(0)
     return out.withColumn("confidence", (F.col("right_pairs") + prior * weight) / (F.col("joined_pairs") + weight))
@@ -232,7 +239,7 @@ def match_programmes(programs: DataFrame, pdf_rows: DataFrame, queue: DataFrame)
     programmes = materialize(with_group_traits(everyone).drop("uid").dropDuplicates())
     rows = materialize(paper_rows(pdf_rows, queue))
     found = cascade(rows, programmes, any_faculty=True)
-    sure = materialize(rule_confidence(programmes.join(everyone.groupBy("pid").agg(F.min("lone").alias("lone")), "pid")))
+    sure = materialize(rule_confidence(with_group_traits(everyone).join(everyone.select("uid", "lone").dropDuplicates(), "uid")))
     pairs = found.join(rows.select("row_id", "pdf_url", "row_idx").dropDuplicates(), "row_id").join(everyone.select("uid", "pid").dropDuplicates(), "pid")
     pairs = pairs.join(F.broadcast(sure.select("rule", "confidence")), "rule")  # one row per rule
     return pairs.groupBy("uid", "pdf_url", "row_idx").agg(F.min("rule").alias("rule"), F.max("confidence").alias("confidence"))
