@@ -15,6 +15,9 @@ from admitta.functions.text import display_name
 from admitta.functions.vocab import CAREERS_ALL, CAREERS_FIRST, NO_CAREER
 from admitta.operators.validate import confidence_label, publishable
 
+#: Fixed value: the stable ids of published records begin with it.
+ID_PREFIX = "ucv"
+
 FLAT = ("name", "level", "faculty_slug", "duration_years", "spots_budget", "spots_tax", "source_type", "accuracy_confidence", "url", "last_admission_grade")
 
 
@@ -68,7 +71,7 @@ def keywords(name: Column, faculty: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.filter(words, lambda w: w.isNotNull() & (F.length(w) > 2)), lambda w: F.lower(w))))
 
 
-def retrieval_text(programs: DataFrame, year: int, prefix: str = "ucv") -> DataFrame:
+def retrieval_text(programs: DataFrame, year: int, prefix: str = ID_PREFIX) -> DataFrame:
     """E7 with P14, E4 to E6 and N15: uid, stable id, language, keywords, careers and the text in three blocks."""
     said = lambda c, default: F.coalesce(c.cast("string"), F.lit(default))
     lang, careers, words = name_language(F.col("name"), True), all_careers(F.col("name")), keywords(F.col("name"), F.col("faculty_slug"))
