@@ -9,7 +9,10 @@ Three kinds of evidence decide about a text that does not end like a finished on
 * length: the text is as long, in characters or bytes, as the limit its source cuts at.
 
 A mark of omission, half a character or tag, an open bracket or half a table row at the end needs no
-further evidence. Lines that end many documents, such as signatures, are whole.
+further evidence. Lines that end many different documents, such as signatures, are whole.
+
+A text that is there in several copies says no more about its end than one: shares and closing lines
+are counted over distinct texts. Only how often a word or context was seen counts all documents.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ LONGEST_NODE = 64
 FILTER_BITS = 1 << 22
 #: Observations a context needs, and the share of ends up to which it counts as never ending.
 LEAST_SEEN, MOST_ENDED = 20, 0.02
-#: A closing line ends at least so many documents, and this share of all.
+#: A closing line ends at least so many different texts, and this share of all distinct ones.
 CLOSING_LEAST, CLOSING_SHARE = 5, 0.0005
 #: A limit: at least so many texts and this share of the source at one length, and longer ones at most this share of those.
 LIMIT_LEAST, LIMIT_SHARE, LIMIT_LONGER = 4, 0.02, 0.25
@@ -53,7 +56,7 @@ ENDS = set(".!?…\n|»”\")]")
 RAW = re.compile(r"[@#/]")
 PAIRS = (("(", ")"), ("[", "]"), ("«", "»"), ("„", "”"))
 
-TAIL = "doc_id long, source string, chars int, bytes int, digest string, state string, token string, raw boolean, line string, bare_row boolean, c1 string, c2 string, c3 string"
+TAIL = "doc_id long, source string, chars int, bytes int, digest string, state string, token string, raw boolean, line string, above string, bare_row boolean, c1 string, c2 string, c3 string"
 
 
 def context(words: list[str]) -> tuple[str, str, str]:
@@ -66,15 +69,21 @@ def fold_token(token: str) -> str:
     return "0" if token[0].isdigit() else token.lower()
 
 
+def line_digest(line: str) -> str:
+    """The same for texts that differ in case, blanks or numbers only."""
+    return hashlib.md5(re.sub(r"\d+", "0", " ".join(line.lower().split())).encode("utf-8", "replace")).hexdigest()
+
+
 def tail(text: str) -> dict:
     """What the end of a text shows. ``state``: cut, marked (by an ellipsis), loose (no full stop) or whole."""
     end = MARKUP.sub("", text[-4000:])
-    out = {"state": "whole", "token": None, "raw": False, "line": None, "bare_row": False, "c1": None, "c2": None, "c3": None}
+    out = {"state": "whole", "token": None, "raw": False, "line": None, "above": None, "bare_row": False, "c1": None, "c2": None, "c3": None}
     if not end:
         return out
     lines = end.rsplit("\n", 2)
     last = lines[-1]
-    out["line"] = hashlib.md5(re.sub(r"\d+", "0", last.strip().lower()).encode("utf-8", "replace")).hexdigest()
+    out["line"] = line_digest(last)
+    out["above"] = line_digest(text[: len(text) - len(text[-4000:]) + len(end) - len(last)])
     if BROKEN.search(end) or MARK.search(end):
         return out | {"state": "cut"}
     marked = ELLIPSIS.search(end)
@@ -119,31 +128,33 @@ def slot(s: str) -> int:
 
 
 def counter(wanted: np.ndarray):
-    """Counts words, raw tokens and wanted contexts: (kind, key, goes_on, ends). The last word of a text does not count."""
+    """Counts words, raw tokens and wanted contexts of distinct texts: (kind, key, goes_on, ends, n), n over all their copies. The last word of a text does not count."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[str, str], list[int]] = {}
 
-        def add(kind: str, key: str, ended: bool) -> None:
+        def add(kind: str, key: str, ended: bool, copies: int) -> None:
             n = seen.get((kind, key))
             if n is None:
-                n = seen[kind, key] = [0, 0]
+                n = seen[kind, key] = [0, 0, 0]
             n[ended] += 1
+            n[2] += copies
 
         def flush() -> pa.RecordBatch:
             out = pa.RecordBatch.from_pydict({
                 "kind": pa.array([k for k, _ in seen], pa.string()), "key": pa.array([k for _, k in seen], pa.string()),
                 "goes_on": pa.array([n[0] for n in seen.values()], pa.int64()), "ends": pa.array([n[1] for n in seen.values()], pa.int64()),
+                "n": pa.array([n[2] for n in seen.values()], pa.int64()),
             })
             seen.clear()
             return out
 
         for batch in batches:
-            for text in batch.columns[0].to_pylist():
+            for text, copies in zip(*(c.to_pylist() for c in batch.columns)):
                 plain = TAGS.sub(" ", text)
                 for t in plain.split():
                     if len(t) <= LONGEST_NODE and RAW.search(t):
-                        add("raw", t.lower(), False)
+                        add("raw", t.lower(), False, copies)
                 tokens = TOKEN.findall(plain)
                 a = b = "^"
                 for i in range(len(tokens) - 1):
@@ -153,10 +164,10 @@ def counter(wanted: np.ndarray):
                     elif t[0].isalnum():
                         w, ended = fold_token(t), tokens[i + 1] in ENDS
                         if len(w) <= LONGEST_NODE and w != "0":
-                            add("word", w, ended)
+                            add("word", w, ended, copies)
                         for key in (w, f"{b} {w}", f"{a} {b} {w}"):
                             if wanted[zlib.crc32(key.encode("utf-8", "replace")) & (FILTER_BITS - 1)]:
-                                add("context", key, ended)
+                                add("context", key, ended, copies)
                         a, b = b, w
                 if len(seen) >= FLUSH:
                     yield flush()
@@ -185,11 +196,11 @@ def length_limits(tails: DataFrame) -> DataFrame:
 
 
 def trie(counts: DataFrame) -> DataFrame:
-    """One row per node: (kind, node, as_word, below) with the occurrences ending at it and below it."""
-    words = counts.where("kind IN ('word', 'raw')").withColumn("n", F.col("goes_on") + F.col("ends"))
-    nodes = words.select("kind", "key", "n", F.explode(F.sequence(F.lit(1), F.length("key"))).alias("size"))
+    """One row per node: (kind, node, as_word, below) with the occurrences ending at it in distinct texts and below it in all."""
+    words = counts.where("kind IN ('word', 'raw')").withColumn("once", F.col("goes_on") + F.col("ends"))
+    nodes = words.select("kind", "key", "once", "n", F.explode(F.sequence(F.lit(1), F.length("key"))).alias("size"))
     return nodes.groupBy("kind", F.substring("key", F.lit(1), F.col("size")).alias("node")).agg(
-        F.sum(F.when(F.col("size") == F.length("key"), F.col("n")).otherwise(0)).alias("as_word"), F.sum(F.when(F.col("size") < F.length("key"), F.col("n")).otherwise(0)).alias("below")
+        F.sum(F.when(F.col("size") == F.length("key"), F.col("once")).otherwise(0)).alias("as_word"), F.sum(F.when(F.col("size") < F.length("key"), F.col("n")).otherwise(0)).alias("below")
     )
 
 
@@ -205,7 +216,9 @@ def examine(documents: DataFrame) -> DataFrame:
     slots = asked.select("c1", "c2", "c3").mapInArrow(_slots, "slot int").dropDuplicates().toPandas()["slot"].to_numpy()  # at most FILTER_BITS
     wanted = np.zeros(FILTER_BITS, dtype=bool)
     wanted[slots] = True
-    counts = materialize(texts.select("text").mapInArrow(counter(wanted), "kind string, key string, goes_on long, ends long").groupBy("kind", "key").agg(F.sum("goes_on").alias("goes_on"), F.sum("ends").alias("ends")))
+    distinct = texts.groupBy(F.md5("text").alias("digest")).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")).select("text", "copies")
+    counted = distinct.mapInArrow(counter(wanted), "kind string, key string, goes_on long, ends long, n long")
+    counts = materialize(counted.groupBy("kind", "key").agg(F.sum("goes_on").alias("goes_on"), F.sum("ends").alias("ends"), F.sum("n").alias("n")))
 
     # the trie, looked up once per distinct token
     tokens = asked.where(F.col("token").isNotNull()).select(F.when(F.col("raw"), "raw").otherwise("word").alias("kind"), F.col("token").alias("node")).dropDuplicates()
@@ -213,18 +226,18 @@ def examine(documents: DataFrame) -> DataFrame:
     cut_words = nodes.where(((F.col("kind") == "word") & (F.col("as_word") < 2) & (F.col("below") >= 2)) | ((F.col("kind") == "raw") & (F.col("below") > F.col("as_word"))))
     cut_words = cut_words.select((F.col("kind") == "raw").alias("raw"), F.col("node").alias("token"), F.lit(True).alias("half_word"))
 
-    seen = counts.where("kind = 'context'").select("key", (F.col("goes_on") + F.col("ends")).alias("n"), F.col("ends"))
+    seen = counts.where("kind = 'context'").select("key", "n", (F.col("ends") / (F.col("goes_on") + F.col("ends"))).alias("share"))
     judged = asked
     for c in ("c1", "c2", "c3"):
-        judged = judged.join(seen.select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), F.col("ends").alias(f"{c}_ends")), c, "left")
+        judged = judged.join(seen.select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), F.col("share").alias(f"{c}_share")), c, "left")
     share = F.lit(None).cast("double")
     for c in ("c1", "c2", "c3"):
-        share = F.when(F.col(f"{c}_n") >= LEAST_SEEN, F.col(f"{c}_ends") / F.col(f"{c}_n")).otherwise(share)
+        share = F.when(F.col(f"{c}_n") >= LEAST_SEEN, F.col(f"{c}_share")).otherwise(share)
     judged = judged.withColumn("end_share", share).join(cut_words, ["raw", "token"], "left")
 
-    all_docs = tails.count()
-    lines = tails.where("line IS NOT NULL").groupBy("line").agg(F.count(F.lit(1)).alias("closes"))
-    closing = lines.where(F.col("closes") >= max(CLOSING_LEAST, CLOSING_SHARE * all_docs)).select("line", F.lit(True).alias("closing"))
+    all_texts = tails.select("digest").distinct().count()
+    lines = tails.where("line IS NOT NULL").select("line", "above").distinct().groupBy("line").agg(F.count(F.lit(1)).alias("closes"))
+    closing = lines.where(F.col("closes") >= max(CLOSING_LEAST, CLOSING_SHARE * all_texts)).select("line", F.lit(True).alias("closing"))
     judged = judged.join(closing, "line", "left")
 
     limits = length_limits(tails)

@@ -45,3 +45,20 @@ def test_copies_empty_table_and_report(spark):
 @pytest.mark.parametrize(("text", "state"), [("Gata.", "whole"), ("Vă așteptăm…", "marked"), ("fără punct", "loose"), ("a [ … ]", "cut"), ("... citește mai mult", "cut"), ("lista (a, b", "cut")])
 def test_states(text, state):
     assert tail(text)["state"] == state
+
+
+@pytest.mark.parametrize("copies", [5, 50])
+def test_copies_of_a_cut_text(spark, copies):
+    texts = ["Taxa de procesare nu se rest", "Anunț important.\nRezultatele finale vor fi afișate la", "Media de admitere se calculează cu două…"]
+    got = cut(spark, *[t for t in texts for _ in range(copies)])
+    assert [got[i * copies : (i + 1) * copies] for i in range(3)] == [[True] * copies] * 3
+
+
+def test_stray_fragment_in_copies(spark):
+    fragment = ["Text cu rest rupt."] * 5
+    assert cut(spark, *fragment, "Taxa de procesare nu se rest") == [False] * 5 + [True]
+
+
+def test_closing_line_of_different_texts(spark):
+    texts = [f"Anunțul {w} al comisiei.\nCu stimă, Secretar" for w in ("unu", "doi", "trei", "patru", "cinci")]
+    assert cut(spark, *texts) == [False] * 5
