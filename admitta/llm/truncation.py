@@ -3,7 +3,7 @@
 Three kinds of evidence decide about a text that does not end like a finished one:
 
 * the vocabulary trie of the corpus, kept as a table with one row per node: the final token is no
-  known word, but a proper prefix of known words;
+  known word, or hardly ever one, but a proper prefix of known words;
 * the same for words in context: the last words of the text are, in the corpus, practically always
   followed by another word and not by the end of a sentence or line;
 * length: the text is as long, in characters or bytes, as the limit its source cuts at.
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ LONGEST_NODE = 64
 FILTER_BITS = 1 << 22
 #: Observations a context needs, and the share of ends up to which it counts as never ending.
 LEAST_SEEN, MOST_ENDED = 20, 0.02
+#: A half word stands alone at most so often, or at this share of the words it begins.
+HALF_ALONE, HALF_SHARE = 1, 0.002
 #: A closing line ends at least so many different texts, and this share of all distinct ones.
 CLOSING_LEAST, CLOSING_SHARE = 5, 0.0005
 #: A limit: at least so many texts and this share of the source at one length, and longer ones at most this share of those.
@@ -54,6 +57,8 @@ OPEN = re.compile(r"[,;:(\[{«„/&+|–—-]\Z")
 TOKEN = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*|\d+(?:[.,:]\d+)*|\n|\S")
 ENDS = set(".!?…\n|»”\")]")
 RAW = re.compile(r"[@#/]")
+#: What holds fragments instead of words: broken characters, escapes, number entities and addresses.
+STRAY = re.compile(r"�|\\u[0-9a-fA-F]|&#|://|\w@\w|[a-z0-9-]\.[a-z]{2}")
 PAIRS = (("(", ")"), ("[", "]"), ("«", "»"), ("„", "”"))
 
 TAIL = "doc_id long, source string, chars int, bytes int, digest string, state string, token string, raw boolean, line string, above string, bare_row boolean, c1 string, c2 string, c3 string"
@@ -127,8 +132,21 @@ def slot(s: str) -> int:
     return zlib.crc32(s.encode("utf-8", "replace")) & (FILTER_BITS - 1)
 
 
+def stray_words(plain: str) -> Counter:
+    """The words that stand beside broken characters or in addresses, the last word of the text left out."""
+    out: list[str] = []
+    if STRAY.search(plain):
+        for m in re.finditer(r"\S+", plain):
+            if STRAY.search(m[0]):
+                tokens = TOKEN.findall(m[0])
+                if not plain[m.end() :].strip(" \t\r"):
+                    tokens = tokens[:-1]
+                out += [fold_token(t) for t in tokens if t[0].isalnum()]
+    return Counter(out)
+
+
 def counter(wanted: np.ndarray):
-    """Counts words, raw tokens and wanted contexts of distinct texts: (kind, key, goes_on, ends, n), n over all their copies. The last word of a text does not count."""
+    """Counts words, stray words, raw tokens and wanted contexts of distinct texts: (kind, key, goes_on, ends, n), n over all their copies. The last word of a text does not count."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[str, str], list[int]] = {}
@@ -156,6 +174,7 @@ def counter(wanted: np.ndarray):
                     if len(t) <= LONGEST_NODE and RAW.search(t):
                         add("raw", t.lower(), False, copies)
                 tokens = TOKEN.findall(plain)
+                stray = stray_words(plain)
                 a = b = "^"
                 for i in range(len(tokens) - 1):
                     t = tokens[i]
@@ -164,7 +183,8 @@ def counter(wanted: np.ndarray):
                     elif t[0].isalnum():
                         w, ended = fold_token(t), tokens[i + 1] in ENDS
                         if len(w) <= LONGEST_NODE and w != "0":
-                            add("word", w, ended, copies)
+                            add("stray" if stray[w] > 0 else "word", w, ended, copies)
+                            stray[w] -= 1
                         for key in (w, f"{b} {w}", f"{a} {b} {w}"):
                             if wanted[zlib.crc32(key.encode("utf-8", "replace")) & (FILTER_BITS - 1)]:
                                 add("context", key, ended, copies)
@@ -196,9 +216,9 @@ def length_limits(tails: DataFrame) -> DataFrame:
 
 
 def trie(counts: DataFrame) -> DataFrame:
-    """One row per node: (kind, node, as_word, below) with the occurrences ending at it in distinct texts and below it in all."""
-    words = counts.where("kind IN ('word', 'raw')").withColumn("once", F.col("goes_on") + F.col("ends"))
-    nodes = words.select("kind", "key", "once", "n", F.explode(F.sequence(F.lit(1), F.length("key"))).alias("size"))
+    """One row per node: (kind, node, as_word, below) with the occurrences ending at it in distinct texts, stray ones left out, and below it in all."""
+    words = counts.where("kind IN ('word', 'stray', 'raw')").withColumn("once", F.col("goes_on") + F.col("ends"))
+    nodes = words.select(F.when(F.col("kind") == "raw", "raw").otherwise("word").alias("kind"), F.when(F.col("kind") == "stray", 0).otherwise(F.col("once")).alias("once"), "key", "n", F.explode(F.sequence(F.lit(1), F.length("key"))).alias("size"))
     return nodes.groupBy("kind", F.substring("key", F.lit(1), F.col("size")).alias("node")).agg(
         F.sum(F.when(F.col("size") == F.length("key"), F.col("once")).otherwise(0)).alias("as_word"), F.sum(F.when(F.col("size") < F.length("key"), F.col("n")).otherwise(0)).alias("below")
     )
@@ -223,7 +243,7 @@ def examine(documents: DataFrame) -> DataFrame:
     # the trie, looked up once per distinct token
     tokens = asked.where(F.col("token").isNotNull()).select(F.when(F.col("raw"), "raw").otherwise("word").alias("kind"), F.col("token").alias("node")).dropDuplicates()
     nodes = trie(counts).join(tokens, ["kind", "node"], "left_semi")
-    cut_words = nodes.where(((F.col("kind") == "word") & (F.col("as_word") < 2) & (F.col("below") >= 2)) | ((F.col("kind") == "raw") & (F.col("below") > F.col("as_word"))))
+    cut_words = nodes.where(((F.col("kind") == "word") & (F.col("as_word") <= F.greatest(F.lit(HALF_ALONE), HALF_SHARE * F.col("below"))) & (F.col("below") >= 2)) | ((F.col("kind") == "raw") & (F.col("below") > F.col("as_word"))))
     cut_words = cut_words.select((F.col("kind") == "raw").alias("raw"), F.col("node").alias("token"), F.lit(True).alias("half_word"))
 
     seen = counts.where("kind = 'context'").select("key", "n", (F.col("ends") / (F.col("goes_on") + F.col("ends"))).alias("share"))

@@ -62,3 +62,25 @@ def test_stray_fragment_in_copies(spark):
 def test_closing_line_of_different_texts(spark):
     texts = [f"Anunțul {w} al comisiei.\nCu stimă, Secretar" for w in ("unu", "doi", "trei", "patru", "cinci")]
     assert cut(spark, *texts) == [False] * 5
+
+
+@pytest.mark.parametrize("times", [1, 12])
+def test_half_words_in_a_growing_corpus(spark, times):
+    """Fragments beside broken characters and in addresses grow with the corpus, and so do words that hardly ever stand alone."""
+    filler = ["Media %d a fost publicată.", "Medicina %d cere un dosar. Dosarul nu se restituie.", "Dosarul %d are rest�nțe.", "Vezi https://med.rest.example/d%d acum.", "Scrieți la rest@med.example, camera %d."]
+    rows = [(i, "s", filler[i % 5] % i) for i in range(60 * times)]
+    texts = ["Dosarul nu se rest", "Comisia cere med"]
+    rows += [(100_000 + i, "t", t) for i, t in enumerate(texts)]
+    found = {r.doc_id for r in examine(spark.createDataFrame(rows, "doc_id long, source string, text string")).where("truncated").collect()}
+    assert found == {100_000, 100_001}
+
+
+def test_words_that_stand_alone_are_whole(spark):
+    rows = [(i, "s", f"Proba {i} are media finală. Taxa pro {i} se plătește.") for i in range(200)] + [(1000, "t", "Se plătește taxa pro")]
+    assert not examine(spark.createDataFrame(rows, "doc_id long, source string, text string")).where("evidence = 'half word'").count()
+
+
+def test_share_of_a_word_standing_alone(spark):
+    rows = [(i, "s", f"Contestația {i} se depune. Contestația se judecă.") for i in range(1200)] + [(5000 + i, "s", f"Cuvântul con {i} rămâne.") for i in range(4)]
+    rows += [(9000, "t", "Comisia judecă con")]
+    assert [r.evidence for r in examine(spark.createDataFrame(rows, "doc_id long, source string, text string")).where("doc_id = 9000").collect()] == ["half word"]
