@@ -100,11 +100,17 @@ def truth_form(c: Column) -> Column:
     return F.trim(F.replace(F.translate(F.lower(c), "ăâșțî", "aasti"), F.lit("-"), F.lit(" ")))
 
 
+def title_case(c: Column) -> Column:
+    """Each run of letters with its marks begins with a capital and goes on in small letters."""
+    apart = F.regexp_replace(c, r"(?<=[^\p{L}\p{M} ])(?=\p{L})", "\x01 ")
+    return F.replace(F.initcap(apart), F.lit("\x01 "), F.lit(""))
+
+
 def display_name(c: Column) -> Column:
     """Link words and square brackets left out, single blanks, words of an all-capitals name capitalised."""
     bare = F.regexp_replace(F.regexp_replace(c, r"(?i)\(?(?:aici|detalii|vezi|link)\)?", ""), r"\[.*?\]", "")
     flat = collapse(bare)
-    cased = F.when((F.upper(flat) == flat) & flat.rlike(r"\p{L}"), F.initcap(flat)).otherwise(flat)
+    cased = F.when((F.upper(flat) == flat) & flat.rlike(r"\p{L}"), title_case(flat)).otherwise(flat)
     return F.when(c.isNull() | (c == ""), "Unknown").otherwise(F.replace(cased, F.lit(" ,"), F.lit(",")))
 
 

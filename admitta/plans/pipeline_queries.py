@@ -11,7 +11,7 @@ from admitta.functions.vocab import (
     AGAINST, CAREERS_ALL, CAREERS_FIRST, COUNT_PATTERN, BUDGET_PATTERN, DOCUMENT_TYPES, LIST_NOISE_MORE, LIST_WHITELIST, NEGATIVE, NO_CAREER, NOISE_PATTERN, POSITIVE, ROW_BLACKLIST, SUFFIXES, TAX_PATTERN,
 )
 from admitta.operators import boilerplate, coverage, fuse, grades, html, match, pdf, publish, rank, validate
-from admitta.plans.text_queries import DIA, SQL_IS_TITLE, sql_comparable, sql_match_form, sql_slug
+from admitta.plans.text_queries import DIA, SQL_DISPLAY, SQL_IS_TITLE, sql_comparable, sql_match_form, sql_slug
 from admitta.sources.tables import table
 from admitta.streaming import breaker
 
@@ -61,11 +61,20 @@ def list_items(spark: SparkSession, folder: str) -> DataFrame:
     return _programs(spark, folder, "spots_raw").where("spots_raw IS NOT NULL").select("spots_raw", html.accepts_item(F.col("spots_raw")).alias("accepted"))
 
 
-def published(spark: SparkSession, folder: str) -> DataFrame:
-    g = publish.gold(publish.flat(table(spark, folder, "programs").dropDuplicates(["uid"])).withColumn("name", F.lower("name")))
+def _published(rows: DataFrame) -> DataFrame:
+    g = publish.gold(rows)
     return g.select("program_name", "faculty_code", "level", F.col("spots.budget").alias("budget"), F.col("spots.tax").alias("tax"), F.col("metadata.confidence").alias("confidence"), F.col("metadata.url").alias("url")).dropDuplicates()
 
 
+def published(spark: SparkSession, folder: str) -> DataFrame:
+    return _published(publish.flat(table(spark, folder, "programs").dropDuplicates(["uid"])).withColumn("name", F.lower("name")))
+
+
+def published_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The names as they are stored."""
+    return _published(publish.flat(table(spark, folder, "programs")))
+
+
 # ranking
 
 
@@ -345,7 +354,7 @@ def breaker_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "f1_name_validation": name_validation, "f2_to_f5_row_validation": row_validation, "f1_quarantine_split": quarantine_split, "f7_list_items": list_items, "e2_f10_published": published,
+    "f1_name_validation": name_validation, "f2_to_f5_row_validation": row_validation, "f1_quarantine_split": quarantine_split, "f7_list_items": list_items, "e2_f10_published": published, "e2_f10_published_all": published_all,
     "e14_ranked_spots": _ranked("SPOTS"), "e14_ranked_results": _ranked("RESULTS"), "o2_best_papers": best_papers, "f13_grade_links": grade_links, "e15_paper_contents": paper_contents, "f15_trusted_papers": trusted,
     "a2_repeated_lines": repeated_lines, "a3_without_repeated": without_repeated, "a1_lowest_grades": lowest_grades, "a8_merged_grades": merged_grades, "w1_w3_filled": filled_levels, "w7_progress": progress,
     "j8_a6_coverage": coverage_exact, "j9_contained": coverage_contained, "a7_run_results": run_results, "a12_manifest": manifest, "j10_first_seen": first_seen, "sk11_write_back": write_back, "e21_domain_groups": domain_groups,
@@ -445,6 +454,8 @@ WHEN source_type = 'html_table_parsed' AND NOT isnan(accuracy_confidence) AND ac
     "f7_list_items": f"SELECT spots_raw, (({_HAS} AND NOT {_any(_LOW, LIST_NOISE_MORE)}) OR (NOT {_HAS} AND {_any(_LOW, LIST_WHITELIST)} AND NOT {_any(_LOW, LIST_NOISE_MORE)} AND length(spots_raw) >= 10)) AND NOT regexp_matches(spots_raw, '(?i)^(tel|fax|str|bd|nr)\\.?\\s*:') AS accepted FROM (SELECT DISTINCT spots_raw FROM programs WHERE spots_raw IS NOT NULL)",
     "e2_f10_published": """SELECT DISTINCT CASE WHEN n = '' THEN 'Unknown' ELSE replace(trim(regexp_replace(regexp_replace(regexp_replace(n, '(?i)\\(?(?:aici|detalii|vezi|link)\\)?', '', 'g'), '\\[.*?\\]', '', 'g'), '[\\s\\p{Z}]+', ' ', 'g'), ' '), ' ,', ',') END AS program_name, split_part(regexp_extract(url, 'https?://([^/]+)', 1), '.', 1) AS faculty_code, level, b AS budget, t AS tax, CASE WHEN c > 0.8 THEN 'high' ELSE 'medium' END AS confidence, url
 FROM (SELECT lower(name) AS n, level, source_url AS url, coalesce(spots_budget, 0) AS b, coalesce(spots_tax, 0) AS t, coalesce(CASE WHEN NOT isnan(accuracy_confidence) THEN accuracy_confidence END, 0.0) AS c FROM programs) WHERE NOT (c < 0.4 AND b = 0)""",
+    "e2_f10_published_all": f"""SELECT DISTINCT {SQL_DISPLAY} AS program_name, split_part(regexp_extract(url, 'https?://([^/]+)', 1), '.', 1) AS faculty_code, level, b AS budget, t AS tax, CASE WHEN c > 0.8 THEN 'high' ELSE 'medium' END AS confidence, url
+FROM (SELECT name, level, source_url AS url, coalesce(spots_budget, 0) AS b, coalesce(spots_tax, 0) AS t, coalesce(CASE WHEN NOT isnan(accuracy_confidence) THEN accuracy_confidence END, 0.0) AS c FROM programs) WHERE NOT (c < 0.4 AND b = 0)""",
     "e14_ranked_spots": _ranked_sql("SPOTS"),
     "e14_ranked_results": _ranked_sql("RESULTS"),
     "o2_best_papers": f"SELECT * FROM ({_ranked_sql('SPOTS')}) WHERE place <= 3",

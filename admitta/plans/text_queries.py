@@ -30,6 +30,10 @@ def sql_slug(c: str) -> str:
 
 
 SQL_IS_TITLE = "(regexp_matches(name, '\\p{Lu}') AND NOT regexp_matches(name, '(^|[^\\p{Lu}\\p{Ll}])\\p{Ll}') AND NOT regexp_matches(name, '[\\p{Lu}\\p{Ll}]\\p{Lu}'))"
+SQL_DISPLAY = (
+    "(CASE WHEN coalesce(name, '') = '' THEN 'Unknown' ELSE list_transform([trim(regexp_replace(regexp_replace(regexp_replace(name, '(?i)\\(?(?:aici|detalii|vezi|link)\\)?', '', 'g'), '\\[.*?\\]', '', 'g'), '[\\s\\p{Z}]+', ' ', 'g'), ' ')],"
+    " lambda f: replace(CASE WHEN upper(f) = f AND regexp_matches(f, '\\p{L}') THEN array_to_string(list_transform(regexp_extract_all(f, '[\\p{L}\\p{M}]+|[^\\p{L}\\p{M}]+'), lambda w: upper(substring(w, 1, 1)) || lower(substring(w, 2))), '') ELSE f END, ' ,', ','))[1] END)"
+)
 NAMES = "(SELECT DISTINCT uid, name FROM programs)"
 
 
@@ -146,6 +150,7 @@ QUERIES = {
     "n8_content_dedupe": content_dedupe,
     "n9_truth_form": _on_names(form=lambda: text.truth_form(F.col("name"))),
     "n10_display_name": lambda spark, folder: _names(spark, folder).where(F.upper("name") != F.col("name")).select("uid", text.display_name(F.col("name")).alias("display_name")),
+    "n10_display_name_all": _on_names(display_name=lambda: text.display_name(F.col("name"))),
     "n11_title_case": _on_names(title=lambda: text.is_title(F.col("name"))),
     "n12_clean_rows": clean_rows,
     "n13_markup_tokens": markup,
@@ -193,6 +198,7 @@ SQL = {
     "n8_content_dedupe": f"SELECT CASE WHEN text IS NULL THEN '' ELSE sha256({_TRIM.format('replace(text, chr(13) || chr(10), chr(10))')}) END AS content_hash, min(doc_id) AS first_doc_id, count(*) AS copies FROM documents GROUP BY 1",
     "n9_truth_form": f"SELECT uid, trim(replace(translate(lower(name), 'ăâșțî', 'aasti'), '-', ' ')) AS form FROM {NAMES}",
     "n10_display_name": f"SELECT uid, CASE WHEN name IS NULL OR name = '' THEN 'Unknown' ELSE replace(trim(regexp_replace(regexp_replace(regexp_replace(name, '(?i)\\(?(?:aici|detalii|vezi|link)\\)?', '', 'g'), '\\[.*?\\]', '', 'g'), '[\\s\\p{{Z}}]+', ' ', 'g')), ' ,', ',') END AS display_name FROM {NAMES} WHERE upper(name) <> name",
+    "n10_display_name_all": f"SELECT uid, {SQL_DISPLAY} AS display_name FROM {NAMES}",
     "n11_title_case": f"SELECT uid, {SQL_IS_TITLE} AS title FROM {NAMES}",
     "n12_clean_rows": f"""SELECT pdf_url, row_idx, CASE WHEN contains(lower(program_name), 'locuri') THEN trim(regexp_replace(program_name, '{_JAVA}', '', 'g'), ' -–—:,.') ELSE program_name END AS without_counts,
 replace(replace({_TRIM.format(f"translate({_UNBROKEN}, 'şŞţŢ', 'șȘțȚ')")}, '-' || chr(10), ''), chr(10), ' ') AS unbroken, left(program_name, 20) AS snippet, trim(string_split('Domeniul: ' || program_name, 'Domeniul')[-1], ' :') AS label FROM {_PNAME}""",

@@ -58,3 +58,9 @@ def test_similarities(a, b):
 
 def test_similarity_corner_cases():
     assert token_set_ratio("", "") == 0 and token_set_ratio("a b", "b a c") == 100 and indel_ratio("", "") == 100 and partial_ratio("", "x") == 0
+
+
+@pytest.mark.parametrize("name", ["DREPT (ÎN LIMBA ENGLEZĂ)", "ȘTIINȚE POLITICO-ADMINISTRATIVE", "GRAFICĂ 3D / D'ARTA", "Drept (în limba engleză)", "INFORMATICĂ \u2003 (ZI)"])
+def test_display_name_of_capitals(spark, name):
+    flat = " ".join(name.split())
+    assert one(spark, name, text.display_name) == (flat.title() if flat.isupper() else flat)

@@ -30,3 +30,8 @@ def test_same_rows(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(catalog.oracle_sql())))
 def test_runs(spark, name):
     assert catalog.queries()[name](spark, FOLDER).count() >= 0
+
+
+def test_display_names_of_all_names(spark):
+    names = catalog.queries()["n10_display_name_all"](spark, FOLDER)
+    assert names.count() == spark.read.parquet(f"{FOLDER}/programs.parquet").select("uid", "name").distinct().count()
