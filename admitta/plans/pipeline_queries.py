@@ -198,29 +198,46 @@ def _ascii(c: str) -> Column:
     return F.regexp_replace(lower_ascii(F.col(c)), r"[^\x00-\x7f]", "x").alias(c)
 
 
-def _sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _sides(spark: SparkSession, folder: str, row_key: tuple[str, ...] = ("rid", "faculty_slug")) -> tuple[DataFrame, DataFrame]:
+    """Programmes and rows of papers; a row stands once with each faculty that lists its paper."""
     p = _programs(spark, folder, F.col("uid").alias("pid"), _ascii("name"), "level", _ascii("domain"), F.lower("faculty_slug").alias("faculty_slug"))
-    r = _paired(spark, folder).select(F.concat_ws("#", "pdf_url", "row_idx").alias("rid"), _ascii("program_name"), "level", _ascii("domain"), "faculty_slug").dropDuplicates(["rid"])
+    r = _paired(spark, folder).select(F.concat_ws("#", "pdf_url", "row_idx").alias("rid"), _ascii("program_name"), "level", _ascii("domain"), "faculty_slug").dropDuplicates(list(row_key))
     return p, r
 
 
-def edit_match(spark: SparkSession, folder: str) -> DataFrame:
-    p, r = _sides(spark, folder)
+def _edit_match(p: DataFrame, r: DataFrame) -> DataFrame:
     scored = match.score_pairs(match.candidate_pairs(p, r, ["faculty_slug"]), native=True)
     return match.best_rows(p, scored, ["faculty_slug", "pid"]).select("pid", "rid", F.round("score", 6).alias("score"), "status", "accepted")
 
 
+def edit_match(spark: SparkSession, folder: str) -> DataFrame:
+    """As its SQL, with one faculty for each row."""
+    return _edit_match(*_sides(spark, folder, ("rid",)))
+
+
+def edit_match_all(spark: SparkSession, folder: str) -> DataFrame:
+    return _edit_match(*_sides(spark, folder))
+
+
 def fuzzy_match(spark: SparkSession, folder: str) -> DataFrame:
     p, r = _sides(spark, folder)
     return match.best_rows(p, match.score_pairs(match.candidate_pairs(p, r, ["faculty_slug"])), ["faculty_slug", "pid"])
 
 
-def subset_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    p, r = _sides(spark, folder)
+def _subset_pairs(p: DataFrame, r: DataFrame) -> DataFrame:
     pairs = match.candidate_pairs(p, r, ["faculty_slug"])
     return pairs.where(match.subset_match(F.col("a"), F.col("b"))).select("pid", "rid")
 
 
+def subset_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """As its SQL, with one faculty for each row."""
+    return _subset_pairs(*_sides(spark, folder, ("rid",)))
+
+
+def subset_pairs_all(spark: SparkSession, folder: str) -> DataFrame:
+    return _subset_pairs(*_sides(spark, folder))
+
+
 def grade_match(spark: SparkSession, folder: str) -> DataFrame:
     p, r = _sides(spark, folder)
     marks = r.groupBy("faculty_slug", F.col("program_name").alias("grade_key")).agg(F.lit(7.5).alias("min_grade"), F.crc32(F.min("rid")).alias("key_pos"))
@@ -358,7 +375,7 @@ QUERIES = {
     "e14_ranked_spots": _ranked("SPOTS"), "e14_ranked_results": _ranked("RESULTS"), "o2_best_papers": best_papers, "f13_grade_links": grade_links, "e15_paper_contents": paper_contents, "f15_trusted_papers": trusted,
     "a2_repeated_lines": repeated_lines, "a3_without_repeated": without_repeated, "a1_lowest_grades": lowest_grades, "a8_merged_grades": merged_grades, "w1_w3_filled": filled_levels, "w7_progress": progress,
     "j8_a6_coverage": coverage_exact, "j9_contained": coverage_contained, "a7_run_results": run_results, "a12_manifest": manifest, "j10_first_seen": first_seen, "sk11_write_back": write_back, "e21_domain_groups": domain_groups,
-    "o7_set_operations": set_operations, "st5_hash_changes": hash_changes, "j1_edit_match": edit_match, "j1_fuzzy_match": fuzzy_match, "x1_subset_pairs": subset_pairs, "j5_grade_match": grade_match, "a4_evidence": evidence,
+    "o7_set_operations": set_operations, "st5_hash_changes": hash_changes, "j1_edit_match": edit_match, "j1_edit_match_all": edit_match_all, "j1_fuzzy_match": fuzzy_match, "x1_subset_pairs": subset_pairs, "x1_subset_pairs_all": subset_pairs_all, "j5_grade_match": grade_match, "a4_evidence": evidence,
     "a5_arbitration": arbitration, "j6_faculty_uids": faculty_uids, "e13_from_papers": from_papers, "e8_narratives": narratives, "e1_flat_export": flat_export, "e3_e4_careers": careers, "e7_retrieval": retrieval, "sk5_upsert": upserted,
     "e20_page_programmes": page_programmes, "e19_page_tables": page_tables, "e22_page_links": page_links, "fn_p6_paper_lines": paper_lines, "e16_paper_tables": paper_tables, "st2_breaker_table": breaker_table, "st1_breaker_stream": breaker_stream,
 }

@@ -35,3 +35,17 @@ def test_runs(spark, name):
 def test_display_names_of_all_names(spark):
     names = catalog.queries()["n10_display_name_all"](spark, FOLDER)
     assert names.count() == spark.read.parquet(f"{FOLDER}/programs.parquet").select("uid", "name").distinct().count()
+
+
+def test_rows_of_shared_papers_meet_each_faculty(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    t = {n: spark.read.parquet(f"{FOLDER}/{n}.parquet") for n in ("programs", "pdf_rows", "pdf_queue")}
+    t["pdf_queue"] = t["pdf_queue"].unionByName(t["pdf_queue"].withColumn("faculty_slug", F.concat("faculty_slug", F.lit("-b"))))
+    t["programs"] = t["programs"].unionByName(t["programs"].withColumn("faculty_slug", F.concat("faculty_slug", F.lit("-b"))))
+    for n, df in t.items():
+        df.write.parquet(f"{tmp_path}/{n}.parquet")
+    for name in ("j1_fuzzy_match", "j5_grade_match", "j1_edit_match_all", "x1_subset_pairs_all"):
+        query = catalog.queries()[name]
+        once = query(spark, FOLDER).count()
+        assert once and query(spark, str(tmp_path)).count() == 2 * once
