@@ -264,11 +264,20 @@ def arbitration(spark: SparkSession, folder: str) -> DataFrame:
     return fuse.arbitrate(_matches(spark, folder), ["uid"]).select("uid", "pdf_url", "row_idx", "spots_budget", "spots_tax", F.round("best_source_score", 6).alias("best_source_score"), "accuracy_confidence")
 
 
-def faculty_uids(spark: SparkSession, folder: str) -> DataFrame:
-    f = table(spark, folder, "faculties").where("pos < 100").select("slug", F.sha2(F.concat(F.lit("listed:"), F.col("slug")), 256).alias("uid"))
+def _faculty_uids(spark: SparkSession, folder: str, faculties: DataFrame) -> DataFrame:
+    f = faculties.select("slug", F.sha2(F.concat(F.lit("listed:"), F.col("slug")), 256).alias("uid"))
     return fuse.with_faculty_uid(_programs(spark, folder, "uid", "faculty_slug").withColumnRenamed("uid", "program_uid"), f).select("program_uid", "resolved_faculty_uid")
 
 
+def faculty_uids(spark: SparkSession, folder: str) -> DataFrame:
+    """As its SQL, with the first 100 faculties listed, so that the others fall back."""
+    return _faculty_uids(spark, folder, table(spark, folder, "faculties").where("pos < 100"))
+
+
+def faculty_uids_all(spark: SparkSession, folder: str) -> DataFrame:
+    return _faculty_uids(spark, folder, table(spark, folder, "faculties"))
+
+
 def from_papers(spark: SparkSession, folder: str) -> DataFrame:
     p = table(spark, folder, "programs").where("source_type = 'jsonld'").select(F.lower("faculty_slug").alias("faculty_slug"))
     return fuse.programmes_from_papers(_paired(spark, folder), p)
@@ -376,7 +385,7 @@ QUERIES = {
     "a2_repeated_lines": repeated_lines, "a3_without_repeated": without_repeated, "a1_lowest_grades": lowest_grades, "a8_merged_grades": merged_grades, "w1_w3_filled": filled_levels, "w7_progress": progress,
     "j8_a6_coverage": coverage_exact, "j9_contained": coverage_contained, "a7_run_results": run_results, "a12_manifest": manifest, "j10_first_seen": first_seen, "sk11_write_back": write_back, "e21_domain_groups": domain_groups,
     "o7_set_operations": set_operations, "st5_hash_changes": hash_changes, "j1_edit_match": edit_match, "j1_edit_match_all": edit_match_all, "j1_fuzzy_match": fuzzy_match, "x1_subset_pairs": subset_pairs, "x1_subset_pairs_all": subset_pairs_all, "j5_grade_match": grade_match, "a4_evidence": evidence,
-    "a5_arbitration": arbitration, "j6_faculty_uids": faculty_uids, "e13_from_papers": from_papers, "e8_narratives": narratives, "e1_flat_export": flat_export, "e3_e4_careers": careers, "e7_retrieval": retrieval, "sk5_upsert": upserted,
+    "a5_arbitration": arbitration, "j6_faculty_uids": faculty_uids, "j6_faculty_uids_all": faculty_uids_all, "e13_from_papers": from_papers, "e8_narratives": narratives, "e1_flat_export": flat_export, "e3_e4_careers": careers, "e7_retrieval": retrieval, "sk5_upsert": upserted,
     "e20_page_programmes": page_programmes, "e19_page_tables": page_tables, "e22_page_links": page_links, "fn_p6_paper_lines": paper_lines, "e16_paper_tables": paper_tables, "st2_breaker_table": breaker_table, "st1_breaker_stream": breaker_stream,
 }
 

@@ -49,3 +49,12 @@ def test_rows_of_shared_papers_meet_each_faculty(spark, tmp_path):
         query = catalog.queries()[name]
         once = query(spark, FOLDER).count()
         assert once and query(spark, str(tmp_path)).count() == 2 * once
+
+
+def test_faculty_uids_of_all_faculties(spark, tmp_path):
+    from hashlib import sha256
+
+    spark.createDataFrame([(1, "a"), (500, "b")], "pos int, slug string").write.parquet(f"{tmp_path}/faculties.parquet")
+    spark.createDataFrame([("p", "a"), ("q", "b"), ("r", "c")], "uid string, faculty_slug string").write.parquet(f"{tmp_path}/programs.parquet")
+    got = {r.program_uid: r.resolved_faculty_uid for r in catalog.queries()["j6_faculty_uids_all"](spark, str(tmp_path)).collect()}
+    assert got == {u: sha256(t.encode()).hexdigest() for u, t in (("p", "listed:a"), ("q", "listed:b"), ("r", "faculty:c"))}
