@@ -137,6 +137,12 @@ def encoding(spark: SparkSession, folder: str) -> DataFrame:
     return names.select("uid", text.repair_encoding(wrong).alias("repaired"), (F.col("name").rlike("[ăĂ]")).alias("has_a")).where("has_a").select("uid", "repaired")
 
 
+def encoding_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Every name as wrongly read, repaired where the rule applies and else unchanged."""
+    wrong = F.decode(F.encode(F.col("name"), "UTF-8"), "ISO-8859-1")
+    return _names(spark, folder).select("uid", text.repair_encoding(wrong).alias("repaired"))
+
+
 QUERIES = {
     "n1_match_form": _on_names(form=lambda: text.match_form(F.col("name"))),
     "n2_rule_form": _on_names(form=lambda: text.rule_form(F.col("name"))),
@@ -163,6 +169,7 @@ QUERIES = {
     "p19_link_targets": link_targets,
     "p20_host_counts": host_counts,
     "sc17_encoding": encoding,
+    "sc17_encoding_all": encoding_all,
 }
 # names of problem queries begin with p and a number; these are functions of the pipeline, so they get a prefix of their own
 QUERIES = {(f"fn_{k}" if k[0] == "p" else k): f for k, f in QUERIES.items()}

@@ -58,3 +58,10 @@ def test_faculty_uids_of_all_faculties(spark, tmp_path):
     spark.createDataFrame([("p", "a"), ("q", "b"), ("r", "c")], "uid string, faculty_slug string").write.parquet(f"{tmp_path}/programs.parquet")
     got = {r.program_uid: r.resolved_faculty_uid for r in catalog.queries()["j6_faculty_uids_all"](spark, str(tmp_path)).collect()}
     assert got == {u: sha256(t.encode()).hexdigest() for u, t in (("p", "listed:a"), ("q", "listed:b"), ("r", "faculty:c"))}
+
+
+def test_encoding_of_all_names(spark, tmp_path):
+    names = {"a": "Informatică", "b": "Științe", "c": "Drept", "d": "Право", "e": None}
+    spark.createDataFrame(list(names.items()), "uid string, name string").write.parquet(f"{tmp_path}/programs.parquet")
+    got = {r.uid: r.repaired for r in catalog.queries()["sc17_encoding_all"](spark, str(tmp_path)).collect()}
+    assert got == {"a": "Informatică", "b": "Științe".encode().decode("latin-1"), "c": "Drept", "d": "Право".encode().decode("latin-1"), "e": None}
