@@ -1,29 +1,46 @@
 """String similarities (X1 to X3), 0 to 100, as Arrow functions.
 
 The base is the Indel ratio: twice the longest common subsequence over the sum of the lengths. The
-subsequence is counted with one big integer per row of the second string, a bit per character.
+subsequence is counted with bits: one per character of the shorter string, one row of bits per
+character of the other. The ``*_many`` functions hold the rows of many pairs, and of all windows of a
+pair, in one array and step through the characters together; a string of more than 64 characters on
+both sides is counted on its own with one big integer.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bits of one row.
+WORD = 64
+#: Elements of the largest array held at a time, and of the rows of windows, which should stay in the cache.
+CHUNK, CACHED = 1 << 22, 1 << 15
 
-def common_subsequence(a: str, b: str) -> int:
-    """Length of the longest common subsequence."""
-    if not a or not b:
-        return 0
-    masks: dict[str, int] = {}
-    for i, c in enumerate(a):
-        masks[c] = masks.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
+
+def _places(text: str) -> dict[str, int]:
+    out: dict[str, int] = {}
+    for i, c in enumerate(text):
+        out[c] = out.get(c, 0) | 1 << i
+    return out
+
+
+def _common(size: int, places: dict[str, int], text: str) -> int:
+    full = (1 << size) - 1
     row = full
-    for c in b:
-        hit = row & masks.get(c, 0)
+    for c in text:
+        hit = row & places.get(c, 0)
         row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
+    return size - row.bit_count()
+
+
+def common_subsequence(a: str, b: str) -> int:
+    """Length of the longest common subsequence."""
+    return _common(len(a), _places(a), b)
 
 
 def indel_ratio(a: str, b: str) -> float:
@@ -32,19 +49,6 @@ def indel_ratio(a: str, b: str) -> float:
     return 200.0 * common_subsequence(a, b) / total if total else 100.0
 
 
-def token_set_ratio(a: str, b: str) -> float:
-    """X1. Empty on either side gives 0; one set of words inside the other gives 100."""
-    x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
-    both, only_x, only_y = sorted(x & y), sorted(x - y), sorted(y - x)
-    if both and (not only_x or not only_y):
-        return 100.0
-    shared, left, right = " ".join(both), " ".join([*both, *only_x]), " ".join([*both, *only_y])
-    best = indel_ratio(left, right)
-    return max(best, indel_ratio(shared, left), indel_ratio(shared, right)) if both else best
-
-
 def partial_ratio(a: str, b: str) -> float:
     """The shorter string against every stretch of the longer one, cut stretches at both ends included.
 
@@ -58,25 +62,145 @@ def partial_ratio(a: str, b: str) -> float:
 
 
 def _slide(short: str, long: str) -> float:
-    n, best, letters = len(short), 0.0, set(short)
+    n = len(short)
     if short in long:
         return 100.0
-    for end in range(1, len(long) + n):
-        piece = long[max(0, end - n) : end]
-        edge = piece[-1] if end <= len(long) else piece[0]
-        if edge in letters:
-            best = max(best, indel_ratio(short, piece))
-    return best
+    places = _places(short)
+    windows = (long[max(0, end - n) : end] for end in range(1, len(long) + n))
+    return max(200.0 * _common(n, places, w) / (n + len(w)) for w in windows)
+
+
+def _codes(texts: Sequence[str], pad: int) -> np.ndarray:
+    wide = np.array(texts, dtype=f"<U{max(map(len, texts))}").view(np.uint32).reshape(len(texts), -1)
+    return np.where(wide == 0, np.uint32(pad), wide)
+
+
+def _masks(patterns: Sequence[str], texts: Sequence[str]) -> np.ndarray:
+    """Per character of each text the bits of the places where its pattern has it."""
+    p, t = _codes(patterns, 0xFFFFFFFE), _codes(texts, 0xFFFFFFFF)
+    same = np.packbits(p[:, None, :] == t[:, :, None], axis=2, bitorder="little")
+    wide = np.zeros((*same.shape[:2], 8), dtype=np.uint8)
+    wide[:, :, : same.shape[2]] = same
+    return wide.view("<u8")[:, :, 0]
+
+
+def _chunks(pairs: np.ndarray, width: int, most: int = CHUNK):
+    step = max(1, most // max(1, width))
+    return (pairs[i : i + step] for i in range(0, len(pairs), step))
 
 
-def _column(fn):
+def common_subsequences(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """Lengths of the longest common subsequences of many pairs."""
+    out = np.zeros(len(a), dtype=np.int64)
+    short = [x if len(x) <= len(y) else y for x, y in zip(a, b)]
+    long = [y if len(x) <= len(y) else x for x, y in zip(a, b)]
+    size = np.fromiter(map(len, short), dtype=np.int64, count=len(short))
+    plain = np.fromiter(("\0" not in x and "\0" not in y for x, y in zip(short, long)), dtype=bool, count=len(short))
+    for i in np.flatnonzero((size > WORD) | ~plain):
+        out[i] = common_subsequence(a[i], b[i])
+    able = np.flatnonzero((size > 0) & (size <= WORD) & plain)
+    reach = max((len(long[i]) for i in able), default=0)
+    for part in _chunks(able, WORD * reach):
+        masks = _masks([short[i] for i in part], [long[i] for i in part])
+        row = np.full(len(part), ~np.uint64(0))
+        for k in range(masks.shape[1]):
+            hit = row & masks[:, k]
+            row = (row + hit) | (row - hit)
+        out[part] = WORD - np.bitwise_count(row).astype(np.int64)
+    return out
+
+
+def indel_ratios(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """X3 of many pairs."""
+    total = np.fromiter((len(x) + len(y) for x, y in zip(a, b)), dtype=np.float64, count=len(a))
+    return np.where(total > 0, 200.0 * common_subsequences(a, b) / np.maximum(total, 1), 100.0)
+
+
+def token_set_ratios(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """X1 of many pairs. Empty on either side gives 0; one set of words inside the other gives 100.
+
+    The joined words of both sides begin with the shared ones, so only the others are compared.
+    """
+    out = np.zeros(len(a))
+    words: dict[str, frozenset[str]] = {}
+    rest, left, right, shared = [], [], [], []
+    for i, (x, y) in enumerate(zip(a, b)):
+        u = words.get(x)
+        if u is None:
+            u = words[x] = frozenset(x.split())
+        v = words.get(y)
+        if v is None:
+            v = words[y] = frozenset(y.split())
+        if not u or not v:
+            continue
+        both = u & v
+        if len(both) == min(len(u), len(v)):
+            out[i] = 100.0
+            continue
+        rest.append(i)
+        left.append(" ".join(sorted(u - both)))
+        right.append(" ".join(sorted(v - both)))
+        shared.append(sum(map(len, both)) + len(both) - 1 if both else 0)
+    if rest:
+        l, r = (np.fromiter(map(len, s), dtype=np.float64, count=len(rest)) for s in (left, right))
+        s = np.array(shared, dtype=np.float64)
+        gap = (s > 0) * 1.0
+        whole = 200.0 * (s + gap + common_subsequences(left, right)) / (2 * (s + gap) + l + r)
+        alone = [200.0 * s / (2 * s + gap + side) for side in (l, r)]
+        out[rest] = np.where(s > 0, np.maximum(whole, np.maximum(*alone)), whole)
+    return out
+
+
+def partial_ratios(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """X2 of many pairs: all windows of all pairs with a shorter side of one length go together."""
+    out = np.zeros(len(a))
+    by_length: dict[int, list[tuple[int, str, str]]] = {}
+    for i, (x, y) in enumerate(zip(a, b)):
+        if not x or not y:
+            out[i] = 100.0 if x == y else 0.0
+        elif x in y or y in x:
+            out[i] = 100.0
+        elif min(len(x), len(y)) > WORD or "\0" in x or "\0" in y:
+            out[i] = partial_ratio(x, y)
+        else:
+            if len(x) <= len(y):
+                by_length.setdefault(len(x), []).append((i, x, y))
+            if len(y) <= len(x):
+                by_length.setdefault(len(y), []).append((i, y, x))
+    for n, group in by_length.items():
+        group.sort(key=lambda p: len(p[2]))
+        reach = max(len(y) for _, _, y in group)
+        for part in _chunks(np.arange(len(group)), reach + n, CACHED):
+            some = [group[k] for k in part]
+            at = np.array([i for i, _, _ in some])
+            sizes = np.array([len(y) for _, _, y in some])[:, None]
+            masks = _masks([x for _, x, _ in some], [y for _, _, y in some])
+            padded = np.zeros((len(some), masks.shape[1] + 2 * (n - 1)), dtype=np.uint64)
+            padded[:, n - 1 : n - 1 + masks.shape[1]] = masks
+            windows = masks.shape[1] + n - 1
+            row = np.full((len(some), windows), ~np.uint64(0))
+            hit, up = np.empty_like(row), np.empty_like(row)
+            for k in range(n):
+                np.bitwise_and(row, padded[:, k : k + windows], out=hit)
+                np.add(row, hit, out=up)
+                np.subtract(row, hit, out=row)
+                np.bitwise_or(row, up, out=row)
+            common = WORD - np.bitwise_count(row).astype(np.int64)
+            ends = np.arange(1, windows + 1)[None, :]
+            length = np.minimum(ends, sizes) - np.maximum(ends - n, 0)
+            best = np.where(length > 0, 200.0 * common / (n + np.maximum(length, 1)), 0.0).max(axis=1)
+            np.maximum.at(out, at, best)
+    return out
+
+
+def _column(many):
     @F.pandas_udf(T.DoubleType())
     def call(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([fn(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+        return pd.Series(many(a.fillna("").tolist(), b.fillna("").tolist()), dtype="float64")
 
     return call
 
 
-token_set = _column(token_set_ratio)
-partial = _column(partial_ratio)
-indel = _column(indel_ratio)
+token_set = _column(token_set_ratios)
+partial = _column(partial_ratios)
+indel = _column(indel_ratios)

@@ -1,4 +1,4 @@
-"""Evidence, arbitration and narrative texts."""
+"""Evidence, arbitration and narrative texts."""
 
 from __future__ import annotations
 
@@ -58,6 +58,12 @@ def with_faculty_uid(df: DataFrame, faculties: DataFrame) -> DataFrame:
     return df.join(known, "faculty_slug", "left").withColumn("resolved_faculty_uid", F.coalesce("_known", faculty_uid(F.col("faculty_slug")))).drop("_known")
 
 
+def with_faculty_name(df: DataFrame, faculties: DataFrame) -> DataFrame:
+    """The name of a listed faculty, else the slug in capitals. ``faculties`` has slug and name."""
+    known = faculties.groupBy(F.col("slug").alias("faculty_slug")).agg(F.max("name").alias("_known"))
+    return df.join(known, "faculty_slug", "left").withColumn("faculty_name", F.coalesce("_known", F.upper("faculty_slug"))).drop("_known")
+
+
 def narrative(name: Column, level: Column, faculty: Column, budget: Column, tax: Column, source: Column, careers: Column) -> Column:
     """E8."""
     said = lambda c: F.coalesce(c.cast("string"), F.lit("None"))

@@ -1,17 +1,31 @@
-"""Similarity join of programmes and table rows (J1 to J5, W4), natively by edits or with the fuzzy ratios."""
+"""Similarity search of programmes among table rows (J1 to J5, W4, O3) with the fuzzy ratios.
+
+Every row of a programme's faculty is a candidate, whatever its name, so the search is a query set
+against all rows in blocks: the distinct forms of both sides are cut into blocks of a bounded size, a
+task scores one block of programmes against one block of rows, and only the best two rows of each
+programme leave it. A faculty of any size hence spreads over as many tasks as it has pairs of blocks.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from admitta.functions.fuzzy import partial, token_set
+from admitta.functions.fuzzy import partial, partial_ratio, partial_ratios, token_set, token_set_ratios
 from admitta.functions.text import expand_abbreviations, match_form
 
 #: Weights, the name score below which nothing counts, and the status thresholds.
 NAME, LEVEL, DOMAIN, LEAST_NAME, KEPT, CLOSE, LOW, ACCEPTED = 0.5, 0.3, 0.2, 0.3, 0.01, 0.15, 0.5, 0.65
 DOMAIN_ALIKE, GRADE_ALIKE = 80, 85
+#: Distinct forms of a group in one block, about.
+BLOCK = 128
+
+Found = Iterator[tuple[int, dict]]
 
 
 def comparable(name: Column) -> Column:
@@ -29,65 +43,146 @@ def level_signal(a: Column, b: Column) -> Column:
     return F.when((a != "") & (b != ""), F.when(inside, 1.0).otherwise(0.0)).when((a == "") & (b == ""), 0.5).otherwise(0.0)
 
 
-def edit_ratio(a: Column, b: Column) -> Column:
-    """Native stand-in for the fuzzy ratios: 1 minus edits over the longer length; two empty texts are equal."""
-    longest = F.greatest(F.length(a), F.length(b))
-    return F.when(longest == 0, 1.0).otherwise(1.0 - F.levenshtein(a, b) / longest)
-
-
-def subset_match(a: Column, b: Column) -> Column:
-    """The case of a token-set ratio of 100: the words of one side are all words of the other."""
-    x, y = F.filter(F.split(a, " "), lambda t: t != ""), F.filter(F.split(b, " "), lambda t: t != "")
-    return (F.size(x) > 0) & (F.size(y) > 0) & ((F.size(F.array_except(x, y)) == 0) | (F.size(F.array_except(y, x)) == 0))
-
-
 def composite(name_score: Column, level_score: Column, domain_score: Column) -> Column:
     """J2 from its parts."""
     total = NAME * name_score + LEVEL * level_score + DOMAIN * domain_score
     return F.when(name_score < LEAST_NAME, 0.0).otherwise(F.least(total, F.lit(1.0)))
 
 
-def candidate_pairs(programs: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:
-    """Pairs of one faculty and paper without contradicting levels; forms are made once per row, before the join.
+def pair_scores(pairs: DataFrame) -> DataFrame:
+    """``score`` of given pairs (a, la, da, b, lb, db: comparable names, lower-case levels and domains)."""
+    raw = pairs.withColumn("_t", token_set("a", "b")).withColumn("_p", partial("a", "b")).withColumn("_d", partial("da", "db"))
+    domain = F.when((F.col("da") != "") & (F.col("db") != "") & (F.col("_d") > DOMAIN_ALIKE), 1.0).otherwise(0.0)
+    score = composite(F.greatest("_t", "_p") / 100.0, level_signal(F.col("la"), F.col("lb")), domain)
+    return raw.withColumn("score", F.when(levels_conflict(F.col("la"), F.col("lb")), 0.0).otherwise(score)).drop("_t", "_p", "_d")
+
+
+def _blocks(items: DataFrame, on: Sequence[str], side: str) -> tuple[DataFrame, DataFrame]:
+    """Items (on, item) in blocks by hash, and the number of blocks of each group."""
+    sizes = items.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(f"{side}_blocks"))
+    placed = items.join(sizes, list(on)).withColumn(side, F.pmod(F.xxhash64("item"), F.col(f"{side}_blocks")).cast("int"))
+    return placed.groupBy(*on, side).agg(F.collect_list("item").alias(f"{side}_items")), sizes
+
+
+def search(queries: DataFrame, rows: DataFrame, on: Sequence[str], best: Callable[[list[dict], list[dict]], Found], found: str) -> DataFrame:
+    """(on, query, found fields): what ``best`` yields for blocks of queries and rows that agree in ``on``.
+
+    ``queries`` and ``rows`` are (on, item) with struct items; ``best`` gets a block of each and yields
+    (position of the query, fields). Groups that are null or on one side only give nothing.
+    """
+    on = list(on)
+    q_blocks, q_sizes = _blocks(queries, on, "q")
+    r_blocks, r_sizes = _blocks(rows, on, "r")
+    left = q_blocks.join(r_sizes, on).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("r_blocks") - 1)))
+    right = r_blocks.join(q_sizes, on).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
+    pairs = left.join(right, [*on, "q", "r"]).select(F.struct(*on).alias("g"), "q_items", "r_items")
+    kind = {f.name: f.dataType.simpleString() for f in pairs.schema.fields}
+    schema = f"g {kind['g']}, query {kind['q_items'][6:-1]}, found struct<{found}>"
+    types = pairs.sparkSession.createDataFrame([], schema).schema
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        for batch in batches:
+            for g, qs, rs in zip(*(c.to_pylist() for c in batch.columns)):
+                out = [{"g": g, "query": qs[i], "found": fields} for i, fields in best(qs, rs)]
+                yield pa.RecordBatch.from_pylist(out, to_arrow_schema(types))
+
+    return pairs.mapInArrow(run, schema).select("g.*", "query", "found.*")
+
+
+def _level_parts(la: str, lb: str) -> tuple[bool, float]:
+    lic, mas = [("licenta" in x or "licență" in x) for x in (la, lb)], ["master" in x for x in (la, lb)]
+    conflict = lb != "" and ((lic[0] and mas[1]) or (mas[0] and lic[1]))
+    if la and lb:
+        return conflict, 1.0 if la in lb or lb in la else 0.0
+    return conflict, 0.5 if not la and not lb else 0.0
+
+
+def _matrix(a: list[str], b: list[str], value: Callable[[str, str], float]) -> np.ndarray:
+    """``value`` for all pairs of few distinct texts."""
+    x, y = sorted(set(a)), sorted(set(b))
+    small = np.array([[value(s, t) for t in y] for s in x], dtype=np.float64).reshape(len(x), len(y))
+    return small[np.searchsorted(x, a)][:, np.searchsorted(y, b)]
+
+
+def best_two(queries: list[dict], rows: list[dict]) -> Found:
+    """The best two rows of each programme. Names that hold each other score 1, so no other name is compared that could not pass the second of those."""
+    a, b = [q["a"] for q in queries], [r["b"] for r in rows]
+    las, lbs = [q["la"] for q in queries], [r["lb"] for r in rows]
+    conflict = _matrix(las, lbs, lambda x, y: _level_parts(x, y)[0]) > 0
+    level = _matrix(las, lbs, lambda x, y: _level_parts(x, y)[1])
+    domain = _matrix([q["da"] for q in queries], [r["db"] for r in rows], lambda x, y: float(bool(x and y) and partial_ratio(x, y) > DOMAIN_ALIKE))
+    rest = LEVEL * level
+    most = np.where(conflict, 0.0, np.minimum(NAME + rest + DOMAIN * domain, 1.0))
+    words_a, words_b = [frozenset(x.split()) for x in a], [frozenset(y.split()) for y in b]
+    sure = np.array([[(x == y) or bool(x and y and (x in y or y in x)) or bool(u and v and (u <= v or v <= u)) for y, v in zip(b, words_b)] for x, u in zip(a, words_a)])
+    score = np.where(sure, most, 0.0)
+    twice = np.array([r["rid"] != r["last_rid"] for r in rows])
+    wide = np.concatenate([score, score[:, twice]], axis=1)
+    second = np.partition(wide, -2, axis=1)[:, -2] if wide.shape[1] > 1 else np.zeros(len(a))
+    qs, rs = np.nonzero(~sure & (most > np.maximum(second, KEPT)[:, None]))
+    if len(qs):
+        left, right = [a[i] for i in qs], [b[j] for j in rs]
+        name = np.maximum(token_set_ratios(left, right), partial_ratios(left, right)) / 100.0
+        total = np.minimum(NAME * name + rest[qs, rs] + DOMAIN * domain[qs, rs], 1.0)
+        score[qs, rs] = np.where(name < LEAST_NAME, 0.0, total)
+    for i in range(len(a)):
+        able = np.flatnonzero(score[i] > KEPT)
+        if not len(able):
+            continue
+        least = np.sort(score[i, able])[-2:][0]
+        listed = [(-score[i, j], rid) for j in able if score[i, j] >= least for rid in {rows[j]["rid"], rows[j]["last_rid"]}]
+        for minus, rid in sorted(listed)[:2]:
+            yield i, {"score": float(-minus), "rid": rid}
+
+
+def best_rows(programs: DataFrame, rows: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Per programme (on, pid) the best row of its group, the score, the status and whether it is accepted.
 
     ``programs`` has pid, name, level, domain and the ``on`` columns; ``rows`` has rid, program_name,
-    level, domain and the ``on`` columns.
+    level, domain and the ``on`` columns. Of equal scores the smallest rid wins. Programmes without any
+    row, null groups among them, stay as ``no_match``; nulls count as empty texts.
     """
+    on = list(on)
     low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
-    left = programs.select(*on, "pid", comparable(F.col("name")).alias("a"), low("level").alias("la"), low("domain").alias("da"))
+    left = programs.select(*on, "pid", F.struct(comparable(F.col("name")).alias("a"), low("level").alias("la"), low("domain").alias("da")).alias("item"))
     right = rows.select(*on, "rid", comparable(F.col("program_name")).alias("b"), low("level").alias("lb"), low("domain").alias("db"))
-    return left.join(right, on).where(~levels_conflict(F.col("la"), F.col("lb")))
-
-
-def score_pairs(pairs: DataFrame, native: bool = False) -> DataFrame:
-    """``score`` per pair; pairs up to ``KEPT`` are left out. The fuzzy functions run once per pair."""
-    if native:
-        name = F.greatest(edit_ratio(F.col("a"), F.col("b")), F.when(subset_match(F.col("a"), F.col("b")), 1.0).otherwise(0.0))
-        domain = F.when((F.col("da") != "") & (F.col("db") != "") & (edit_ratio(F.col("da"), F.col("db")) > DOMAIN_ALIKE / 100), 1.0).otherwise(0.0)
-        scored = pairs.withColumn("score", composite(name, level_signal(F.col("la"), F.col("lb")), domain))
-    else:
-        raw = pairs.withColumn("_t", token_set("a", "b")).withColumn("_p", partial("a", "b")).withColumn("_d", partial("da", "db"))
-        name = F.greatest("_t", "_p") / 100.0
-        domain = F.when((F.col("da") != "") & (F.col("db") != "") & (F.col("_d") > DOMAIN_ALIKE), 1.0).otherwise(0.0)
-        scored = raw.withColumn("score", composite(name, level_signal(F.col("la"), F.col("lb")), domain)).drop("_t", "_p", "_d")
-    return scored.where(F.col("score") > KEPT)
-
-
-def best_rows(programs: DataFrame, scored: DataFrame, keys: list[str]) -> DataFrame:
-    """Per programme the best row, the gap to the second, and the status; unmatched ones stay."""
-    order = Window.partitionBy(*keys).orderBy(F.desc("score"), "rid")
+    # rows of one form score alike: the first two by rid stand for all
+    forms = right.groupBy(*on, "b", "lb", "db").agg(F.min("rid").alias("rid"), F.max("rid").alias("last_rid")).select(*on, F.struct("b", "lb", "db", "rid", "last_rid").alias("item"))
+    scored = search(left.select(*on, "item").dropDuplicates(), forms, on, best_two, "score:double,rid:string")
+    order = Window.partitionBy(*on, "query").orderBy(F.desc("score"), "rid")
     top = scored.withColumn("place", F.row_number().over(order)).where("place <= 2")
-    both = top.groupBy(*keys).agg(F.max(F.when(F.col("place") == 1, F.col("rid"))).alias("rid"), F.max(F.when(F.col("place") == 1, F.col("score"))).alias("score"), F.max(F.when(F.col("place") == 2, F.col("score"))).alias("second"))
-    out = programs.select(*keys).dropDuplicates().join(both, keys, "left")
+    both = top.groupBy(*on, "query").agg(
+        F.max(F.when(F.col("place") == 1, F.col("rid"))).alias("rid"), F.max(F.when(F.col("place") == 1, F.col("score"))).alias("score"), F.max(F.when(F.col("place") == 2, F.col("score"))).alias("second")
+    )
+    out = left.dropDuplicates().join(both.withColumnRenamed("query", "item"), [*on, "item"], "left")
+    # a pid of several forms takes the best of them
+    best = F.struct(F.coalesce("score", F.lit(0.0)).alias("s"), F.struct("rid", "score", "second").alias("v"))
+    out = out.groupBy(*on, "pid").agg(F.max(best)["v"].alias("v")).select(*on, "pid", "v.*")
     status = (
         F.when(F.col("score").isNull(), "no_match").when(F.col("score") < LOW, "low_confidence").when(F.round(F.col("score") - F.col("second"), 9) < CLOSE, "ambiguous").otherwise("match")
     )
-    return out.select(*keys, "rid", F.coalesce("score", F.lit(0.0)).alias("score"), status.alias("status"), F.coalesce(F.col("score") > ACCEPTED, F.lit(False)).alias("accepted"))
-
-
-def grade_matches(programs: DataFrame, grades: DataFrame, on: list[str]) -> DataFrame:
-    """Per programme the grade whose name is most alike, above the threshold; the first one wins ties."""
-    pairs = programs.select(*on, "pid", match_form(F.col("name")).alias("a")).join(grades.select(*on, "grade_key", "min_grade", "key_pos", match_form(F.col("grade_key")).alias("b")), on)
-    alike = pairs.withColumn("alike", token_set("a", "b")).where(F.col("alike") > GRADE_ALIKE)
-    best = alike.groupBy(*on, "pid").agg(F.max_by(F.struct("grade_key", "min_grade", "alike"), F.struct(F.col("alike"), -F.col("key_pos"))).alias("g"))
-    return best.select(*on, "pid", "g.*")
+    return out.select(*on, "pid", "rid", F.coalesce("score", F.lit(0.0)).alias("score"), status.alias("status"), F.coalesce(F.col("score") > ACCEPTED, F.lit(False)).alias("accepted"))
+
+
+def best_grade(queries: list[dict], rows: list[dict]) -> Found:
+    """The grade whose name is most alike, above the threshold; the first one wins ties."""
+    b = [r["b"] for r in rows]
+    score = token_set_ratios([q["a"] for q in queries for _ in rows], b * len(queries)).reshape(len(queries), len(rows))
+    for i in range(len(queries)):
+        able = np.flatnonzero((score[i] > GRADE_ALIKE) & (score[i] == score[i].max()))
+        if len(able):
+            j = min(able, key=lambda k: rows[k]["key_pos"])
+            yield i, {"alike": float(score[i, j]), "key_pos": rows[j]["key_pos"], "grade_key": rows[j]["grade_key"], "min_grade": rows[j]["min_grade"]}
+
+
+def grade_matches(programs: DataFrame, grades: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Per programme the grade (grade_key, min_grade, key_pos) whose name is most alike; programmes without one give no row."""
+    on = list(on)
+    left = programs.select(*on, "pid", F.struct(match_form(F.col("name")).alias("a")).alias("item"))
+    right = grades.select(*on, F.struct(match_form(F.col("grade_key")).alias("b"), "grade_key", F.col("min_grade").cast("double").alias("min_grade"), F.col("key_pos").cast("string").alias("key_pos")).alias("item"))
+    alike = search(left.select(*on, "item").dropDuplicates(), right, on, best_grade, "alike:double,key_pos:string,grade_key:string,min_grade:double")
+    first = Window.partitionBy(*on, "pid").orderBy(F.desc("alike"), "key_pos")
+    best = left.dropDuplicates().join(alike.withColumnRenamed("query", "item"), [*on, "item"]).withColumn("place", F.row_number().over(first)).where("place = 1")
+    return best.select(*on, "pid", "grade_key", "min_grade", "alike")

@@ -15,9 +15,6 @@ from admitta.functions.text import display_name
 from admitta.functions.vocab import CAREERS_ALL, CAREERS_FIRST, NO_CAREER
 from admitta.operators.validate import confidence_label, publishable
 
-#: Fixed value: the stable ids of published records begin with it.
-ID_PREFIX = "ucv"
-
 FLAT = ("name", "level", "faculty_slug", "duration_years", "spots_budget", "spots_tax", "source_type", "accuracy_confidence", "url", "last_admission_grade")
 
 
@@ -71,8 +68,8 @@ def keywords(name: Column, faculty: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.filter(words, lambda w: w.isNotNull() & (F.length(w) > 2)), lambda w: F.lower(w))))
 
 
-def retrieval_text(programs: DataFrame, year: int, prefix: str = ID_PREFIX) -> DataFrame:
-    """E7 with P14, E4 to E6 and N15: uid, stable id, language, keywords, careers and the text in three blocks."""
+def retrieval_text(programs: DataFrame, year: int, prefix: str) -> DataFrame:
+    """E7 with P14, E4 to E6 and N15: uid, stable id beginning with ``prefix``, language, keywords, careers and the text in three blocks."""
     said = lambda c, default: F.coalesce(c.cast("string"), F.lit(default))
     lang, careers, words = name_language(F.col("name"), True), all_careers(F.col("name")), keywords(F.col("name"), F.col("faculty_slug"))
     facts = F.concat_ws(
@@ -98,9 +95,9 @@ def quarantine(rows: DataFrame, name: str = "program_name") -> DataFrame:
     return keyed.groupBy("key").agg(F.max_by(F.struct(F.col(name).alias("name"), F.col("check.reason").alias("reason"), F.col("check.score").alias("score"), "raw_row"), order).alias("q")).select("key", "q.*")
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """SK1: a header and rows; one file, as the readers of the export expect it."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
+    """SK1: a header and rows, in parallel; ``one_file`` for readers of small exports that expect a single file."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from admitta.functions import identity
-from admitta.functions.text import lower_ascii
+from admitta.functions import fuzzy, identity, parse
 from admitta.functions.vocab import (
     AGAINST, CAREERS_ALL, CAREERS_FIRST, COUNT_PATTERN, BUDGET_PATTERN, DOCUMENT_TYPES, LIST_NOISE_MORE, LIST_WHITELIST, NEGATIVE, NO_CAREER, NOISE_PATTERN, POSITIVE, ROW_BLACKLIST, SUFFIXES, TAX_PATTERN,
 )
 from admitta.operators import boilerplate, coverage, fuse, grades, html, match, pdf, publish, rank, validate
+from admitta.plans.ratio_sql import ratios as sql_ratios
 from admitta.plans.text_queries import DIA, SQL_DISPLAY, SQL_IS_TITLE, sql_comparable, sql_match_form, sql_slug
 from admitta.sources.tables import table
 from admitta.streaming import breaker
 
 YEAR = 2026
+#: Stable ids of published records begin with it.
+PREFIX = "uni"
 
 
 def _programs(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -51,28 +53,23 @@ def row_validation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quarantine_split(spark: SparkSession, folder: str) -> DataFrame:
-    passed, held, failed = validate.split_by_name(_rows(spark, folder), "program_name")
-    kept = publish.quarantine(held)
-    counts = [passed.select(F.lit("PASS").alias("status")), kept.select(F.lit("QUARANTINE").alias("status")), failed.select(F.lit("FAIL").alias("status"))]
-    return counts[0].unionAll(counts[1]).unionAll(counts[2]).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    parts = validate.split_by_name(_rows(spark, folder), "program_name")
+    passed, held, failed = (p.select("pdf_url", "row_idx", "program_name", F.col("check.status").alias("status"), F.col("check.reason").alias("reason")) for p in parts)
+    return passed.unionAll(held).unionAll(failed)
 
 
-def list_items(spark: SparkSession, folder: str) -> DataFrame:
-    return _programs(spark, folder, "spots_raw").where("spots_raw IS NOT NULL").select("spots_raw", html.accepts_item(F.col("spots_raw")).alias("accepted"))
+def quarantined(spark: SparkSession, folder: str) -> DataFrame:
+    _, held, _ = validate.split_by_name(_rows(spark, folder), "program_name")
+    return publish.quarantine(held).select("key", "name", "reason", "score")
 
 
-def _published(rows: DataFrame) -> DataFrame:
-    g = publish.gold(rows)
-    return g.select("program_name", "faculty_code", "level", F.col("spots.budget").alias("budget"), F.col("spots.tax").alias("tax"), F.col("metadata.confidence").alias("confidence"), F.col("metadata.url").alias("url")).dropDuplicates()
+def list_items(spark: SparkSession, folder: str) -> DataFrame:
+    return _programs(spark, folder, "spots_raw").where("spots_raw IS NOT NULL").select("spots_raw", html.accepts_item(F.col("spots_raw")).alias("accepted"))
 
 
 def published(spark: SparkSession, folder: str) -> DataFrame:
-    return _published(publish.flat(table(spark, folder, "programs").dropDuplicates(["uid"])).withColumn("name", F.lower("name")))
-
-
-def published_all(spark: SparkSession, folder: str) -> DataFrame:
-    """The names as they are stored."""
-    return _published(publish.flat(table(spark, folder, "programs")))
+    g = publish.gold(publish.flat(table(spark, folder, "programs")))
+    return g.select("program_name", "faculty_code", "level", F.col("spots.budget").alias("budget"), F.col("spots.tax").alias("tax"), F.col("metadata.confidence").alias("confidence"), F.col("metadata.url").alias("url")).dropDuplicates()
 
 
 # ranking
@@ -93,9 +90,11 @@ def grade_links(spark: SparkSession, folder: str) -> DataFrame:
 
 def paper_contents(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of a source as the pages of one paper, in the order of their ids."""
-    docs = table(spark, folder, "documents").select(F.concat_ws("/", "source", "faculty_slug").alias("pdf_url"), "doc_id", "text", F.lit(None).cast("array<array<array<string>>>").alias("tables"))
+    lines = F.transform(F.filter(F.split("text", "\n"), lambda x: F.contains(x, F.lit("|"))), lambda x: F.split(x, r"\|"))
+    tables = F.when(F.size(lines) > 0, F.array(lines))
+    docs = table(spark, folder, "documents").select(F.concat_ws("/", "source", "faculty_slug").alias("pdf_url"), "doc_id", "text", tables.alias("tables"))
     numbered = docs.withColumn("page_no", F.expr("row_number() OVER (PARTITION BY pdf_url ORDER BY doc_id)"))
-    return rank.content_score(numbered, YEAR).select("pdf_url", "text_density", "rows_with_numbers", "detected_year", "content_score")
+    return rank.content_score(numbered, YEAR).select("pdf_url", "text_density", "has_table", "rows_with_numbers", "detected_year", "content_score")
 
 
 def trusted(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,8 +170,8 @@ def write_back(spark: SparkSession, folder: str) -> DataFrame:
 
 def domain_groups(spark: SparkSession, folder: str) -> DataFrame:
     groups = {"all": ["example"], "main": ["corveni.example", "central.example"]}
-    q = table(spark, folder, "pdf_queue").select(F.coalesce("pdf_url", "url").alias("address")).where("address IS NOT NULL")
-    return q.groupBy(coverage.domain_group(F.col("address"), groups).alias("longest"), coverage.domain_group(F.col("address"), groups, False).alias("first")).agg(F.count(F.lit(1)).alias("n"))
+    q = table(spark, folder, "pdf_queue").select("input_pos", F.coalesce("pdf_url", "url").alias("address")).where("address IS NOT NULL").dropDuplicates()
+    return q.select("input_pos", "address", coverage.domain_group(F.col("address"), groups).alias("longest"), coverage.domain_group(F.col("address"), groups, False).alias("first"))
 
 
 def set_operations(spark: SparkSession, folder: str) -> DataFrame:
@@ -187,61 +186,35 @@ def hash_changes(spark: SparkSession, folder: str) -> DataFrame:
     old = d.where("admission_year IS NULL OR admission_year <> 2025").select("key", identity.content_hash(F.col("text")).alias("h_old"), F.lit(True).alias("o"))
     new = d.where("admission_year IS NULL OR admission_year >= 2025").select("key", identity.content_hash(F.when(F.col("text").endswith("."), F.concat("text", F.lit("!"))).otherwise(F.col("text"))).alias("h_new"), F.lit(True).alias("n"))
     kind = F.when(F.col("o").isNull(), "new").when(F.col("n").isNull(), "removed").when(F.col("h_old") != F.col("h_new"), "changed").otherwise("same")
-    return old.join(new, "key", "full_outer").groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_docs"))
+    return old.join(new, "key", "full_outer").select("key", kind.alias("kind"))
 
 
 # matching
 
 
-def _ascii(c: str) -> Column:
-    """Letters outside ASCII to a letter of it: the SQL engine counts edits by bytes."""
-    return F.regexp_replace(lower_ascii(F.col(c)), r"[^\x00-\x7f]", "x").alias(c)
-
-
-def _sides(spark: SparkSession, folder: str, row_key: tuple[str, ...] = ("rid", "faculty_slug")) -> tuple[DataFrame, DataFrame]:
+def _sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Programmes and rows of papers; a row stands once with each faculty that lists its paper."""
-    p = _programs(spark, folder, F.col("uid").alias("pid"), _ascii("name"), "level", _ascii("domain"), F.lower("faculty_slug").alias("faculty_slug"))
-    r = _paired(spark, folder).select(F.concat_ws("#", "pdf_url", "row_idx").alias("rid"), _ascii("program_name"), "level", _ascii("domain"), "faculty_slug").dropDuplicates(list(row_key))
+    p = _programs(spark, folder, F.col("uid").alias("pid"), "name", "level", "domain", F.lower("faculty_slug").alias("faculty_slug"))
+    r = _paired(spark, folder).select(F.concat_ws("#", "pdf_url", "row_idx").alias("rid"), "program_name", "level", "domain", "faculty_slug").dropDuplicates()
     return p, r
 
 
-def _edit_match(p: DataFrame, r: DataFrame) -> DataFrame:
-    scored = match.score_pairs(match.candidate_pairs(p, r, ["faculty_slug"]), native=True)
-    return match.best_rows(p, scored, ["faculty_slug", "pid"]).select("pid", "rid", F.round("score", 6).alias("score"), "status", "accepted")
-
-
-def edit_match(spark: SparkSession, folder: str) -> DataFrame:
-    """As its SQL, with one faculty for each row."""
-    return _edit_match(*_sides(spark, folder, ("rid",)))
-
-
-def edit_match_all(spark: SparkSession, folder: str) -> DataFrame:
-    return _edit_match(*_sides(spark, folder))
-
-
 def fuzzy_match(spark: SparkSession, folder: str) -> DataFrame:
-    p, r = _sides(spark, folder)
-    return match.best_rows(p, match.score_pairs(match.candidate_pairs(p, r, ["faculty_slug"])), ["faculty_slug", "pid"])
-
-
-def _subset_pairs(p: DataFrame, r: DataFrame) -> DataFrame:
-    pairs = match.candidate_pairs(p, r, ["faculty_slug"])
-    return pairs.where(match.subset_match(F.col("a"), F.col("b"))).select("pid", "rid")
+    return match.best_rows(*_sides(spark, folder), ["faculty_slug"]).withColumn("score", F.round("score", 6)).drop("faculty_slug")
 
 
-def subset_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """As its SQL, with one faculty for each row."""
-    return _subset_pairs(*_sides(spark, folder, ("rid",)))
-
-
-def subset_pairs_all(spark: SparkSession, folder: str) -> DataFrame:
-    return _subset_pairs(*_sides(spark, folder))
+def ratios(spark: SparkSession, folder: str) -> DataFrame:
+    """X1 to X3 of each record's name and the line it was read from."""
+    p = _programs(spark, folder, "uid", match.comparable(F.col("name")).alias("a"), match.comparable(F.col("spots_raw")).alias("b"))
+    return p.select("uid", *(F.round(f("a", "b"), 6).alias(n) for n, f in (("token_set", fuzzy.token_set), ("partial", fuzzy.partial), ("indel", fuzzy.indel)))).dropDuplicates()
 
 
 def grade_match(spark: SparkSession, folder: str) -> DataFrame:
-    p, r = _sides(spark, folder)
-    marks = r.groupBy("faculty_slug", F.col("program_name").alias("grade_key")).agg(F.lit(7.5).alias("min_grade"), F.crc32(F.min("rid")).alias("key_pos"))
-    return match.grade_matches(p, marks, ["faculty_slug"])
+    """Grades by the names of the faculty's table rows; the funded places stand in for the mark."""
+    p, _ = _sides(spark, folder)
+    r = _paired(spark, folder)
+    marks = r.groupBy("faculty_slug", F.col("program_name").alias("grade_key")).agg((F.lit(5.0) + F.least(F.coalesce(F.min("spots_budget"), F.lit(0)), F.lit(50)) / 10.0).alias("min_grade"), F.min(F.concat_ws("#", "pdf_url", "row_idx")).alias("key_pos"))
+    return match.grade_matches(p, marks.where("grade_key IS NOT NULL"), ["faculty_slug"]).withColumn("alike", F.round("alike", 6))
 
 
 # fusion
@@ -264,22 +237,19 @@ def arbitration(spark: SparkSession, folder: str) -> DataFrame:
     return fuse.arbitrate(_matches(spark, folder), ["uid"]).select("uid", "pdf_url", "row_idx", "spots_budget", "spots_tax", F.round("best_source_score", 6).alias("best_source_score"), "accuracy_confidence")
 
 
-def _faculty_uids(spark: SparkSession, folder: str, faculties: DataFrame) -> DataFrame:
-    f = faculties.select("slug", F.sha2(F.concat(F.lit("listed:"), F.col("slug")), 256).alias("uid"))
-    return fuse.with_faculty_uid(_programs(spark, folder, "uid", "faculty_slug").withColumnRenamed("uid", "program_uid"), f).select("program_uid", "resolved_faculty_uid")
-
-
 def faculty_uids(spark: SparkSession, folder: str) -> DataFrame:
-    """As its SQL, with the first 100 faculties listed, so that the others fall back."""
-    return _faculty_uids(spark, folder, table(spark, folder, "faculties").where("pos < 100"))
+    f = table(spark, folder, "faculties").select("slug", F.sha2(F.concat(F.lit("listed:"), F.col("slug")), 256).alias("uid"))
+    p = _programs(spark, folder, F.col("uid").alias("program_uid"), "faculty_slug")
+    return fuse.with_faculty_uid(p, f).select("program_uid", "resolved_faculty_uid")
 
 
-def faculty_uids_all(spark: SparkSession, folder: str) -> DataFrame:
-    return _faculty_uids(spark, folder, table(spark, folder, "faculties"))
+def faculty_names(spark: SparkSession, folder: str) -> DataFrame:
+    p = _programs(spark, folder, F.col("uid").alias("program_uid"), "faculty_slug")
+    return fuse.with_faculty_name(p, table(spark, folder, "faculties")).select("program_uid", "faculty_name")
 
 
 def from_papers(spark: SparkSession, folder: str) -> DataFrame:
-    p = table(spark, folder, "programs").where("source_type = 'jsonld'").select(F.lower("faculty_slug").alias("faculty_slug"))
+    p = table(spark, folder, "programs").select(F.lower("faculty_slug").alias("faculty_slug"))
     return fuse.programmes_from_papers(_paired(spark, folder), p)
 
 
@@ -300,8 +270,13 @@ def careers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def retrieval(spark: SparkSession, folder: str) -> DataFrame:
-    r = publish.retrieval_text(table(spark, folder, "programs").dropDuplicates(["uid"]), YEAR)
-    return r.select("uid", "program_id", "language", F.array_join("keywords", ",").alias("keywords"), F.array_join("career_paths", ",").alias("career_paths"))
+    r = publish.retrieval_text(table(spark, folder, "programs"), YEAR, PREFIX).dropDuplicates()
+    return r.select("uid", "program_id", "language", F.array_join("keywords", ",").alias("keywords"), F.array_join("career_paths", ",").alias("career_paths"), "text_for_embedding")
+
+
+def requirements(spark: SparkSession, folder: str) -> DataFrame:
+    p = _programs(spark, folder, "uid", "level", "source_type", "spots_budget")
+    return p.select("uid", "level", F.array_join(publish.requirements(F.col("level")), ",").alias("requirements"), fuse.extraction_confidence(F.col("source_type"), F.col("spots_budget")).alias("confidence")).dropDuplicates()
 
 
 def upserted(spark: SparkSession, folder: str) -> DataFrame:
@@ -380,12 +355,12 @@ def breaker_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "f1_name_validation": name_validation, "f2_to_f5_row_validation": row_validation, "f1_quarantine_split": quarantine_split, "f7_list_items": list_items, "e2_f10_published": published, "e2_f10_published_all": published_all,
+    "f1_name_validation": name_validation, "f2_to_f5_row_validation": row_validation, "f1_quarantine_split": quarantine_split, "sk6_quarantine": quarantined, "f7_list_items": list_items, "e2_f10_published": published,
     "e14_ranked_spots": _ranked("SPOTS"), "e14_ranked_results": _ranked("RESULTS"), "o2_best_papers": best_papers, "f13_grade_links": grade_links, "e15_paper_contents": paper_contents, "f15_trusted_papers": trusted,
     "a2_repeated_lines": repeated_lines, "a3_without_repeated": without_repeated, "a1_lowest_grades": lowest_grades, "a8_merged_grades": merged_grades, "w1_w3_filled": filled_levels, "w7_progress": progress,
     "j8_a6_coverage": coverage_exact, "j9_contained": coverage_contained, "a7_run_results": run_results, "a12_manifest": manifest, "j10_first_seen": first_seen, "sk11_write_back": write_back, "e21_domain_groups": domain_groups,
-    "o7_set_operations": set_operations, "st5_hash_changes": hash_changes, "j1_edit_match": edit_match, "j1_edit_match_all": edit_match_all, "j1_fuzzy_match": fuzzy_match, "x1_subset_pairs": subset_pairs, "x1_subset_pairs_all": subset_pairs_all, "j5_grade_match": grade_match, "a4_evidence": evidence,
-    "a5_arbitration": arbitration, "j6_faculty_uids": faculty_uids, "j6_faculty_uids_all": faculty_uids_all, "e13_from_papers": from_papers, "e8_narratives": narratives, "e1_flat_export": flat_export, "e3_e4_careers": careers, "e7_retrieval": retrieval, "sk5_upsert": upserted,
+    "o7_set_operations": set_operations, "st5_hash_changes": hash_changes, "j1_fuzzy_match": fuzzy_match, "x1_to_x3_ratios": ratios, "j5_grade_match": grade_match, "a4_evidence": evidence,
+    "a5_arbitration": arbitration, "j6_faculty_uids": faculty_uids, "j7_faculty_names": faculty_names, "e13_from_papers": from_papers, "e8_narratives": narratives, "e1_flat_export": flat_export, "e3_e4_careers": careers, "e7_retrieval": retrieval, "e5_e10_requirements": requirements, "sk5_upsert": upserted,
     "e20_page_programmes": page_programmes, "e19_page_tables": page_tables, "e22_page_links": page_links, "fn_p6_paper_lines": paper_lines, "e16_paper_tables": paper_tables, "st2_breaker_table": breaker_table, "st1_breaker_stream": breaker_stream,
 }
 
@@ -439,16 +414,14 @@ _REPEATED = f"(SELECT g, line, pages, all_pages FROM (SELECT g, line, count(DIST
 _GRADE = "CASE WHEN NOT isnan(last_admission_grade) THEN last_admission_grade END"
 _OWNERS = "(SELECT DISTINCT coalesce(pdf_url, url) AS pdf_url, lower(faculty_slug) AS faculty_slug FROM pdf_queue WHERE coalesce(pdf_url, url) IS NOT NULL)"
 _PAIRED = f"(SELECT r.*, o.faculty_slug FROM (SELECT DISTINCT * FROM pdf_rows) r JOIN {_OWNERS} o ON r.pdf_url = o.pdf_url)"
-_ASCII = f"regexp_replace(translate(lower({{}}), {DIA}), '[^\\x00-\\x7f]', 'x', 'g')"
-_PAIRS = f"""(SELECT DISTINCT ON (p.faculty_slug, pid, rid) p.faculty_slug, pid, rid, a, b, la, lb, da, db FROM
-(SELECT DISTINCT uid AS pid, lower(faculty_slug) AS faculty_slug, {sql_comparable(_ASCII.format('name'))} AS a, lower(coalesce(level, '')) AS la, coalesce({_ASCII.format('domain')}, '') AS da FROM programs) p
-JOIN (SELECT DISTINCT ON (pdf_url, row_idx) pdf_url || '#' || row_idx AS rid, faculty_slug, {sql_comparable(_ASCII.format('program_name'))} AS b, lower(coalesce(level, '')) AS lb, coalesce({_ASCII.format('domain')}, '') AS db FROM {_PAIRED}) r ON p.faculty_slug = r.faculty_slug
+_SIDES = f"""p AS (SELECT DISTINCT uid AS pid, lower(faculty_slug) AS faculty_slug, {sql_comparable('name')} AS a, lower(coalesce(level, '')) AS la, lower(coalesce(domain, '')) AS da FROM programs),
+r AS (SELECT DISTINCT pdf_url || '#' || row_idx AS rid, faculty_slug, {sql_comparable('program_name')} AS b, lower(coalesce(level, '')) AS lb, lower(coalesce(domain, '')) AS db FROM {_PAIRED})"""
+_PAIRS = """pairs AS MATERIALIZED (SELECT p.faculty_slug, pid, rid, a, b, la, lb, da, db FROM p JOIN r ON p.faculty_slug = r.faculty_slug
 WHERE NOT (lb <> '' AND (((contains(la, 'licenta') OR contains(la, 'licență')) AND contains(lb, 'master')) OR (contains(la, 'master') AND (contains(lb, 'licenta') OR contains(lb, 'licență'))))))"""
-_RATIO = "(CASE WHEN greatest(length({0}), length({1})) = 0 THEN 1.0 ELSE 1.0 - levenshtein({0}, {1})::DOUBLE / greatest(length({0}), length({1})) END)"
-_WORDS = "list_filter(string_split({}, ' '), lambda x: x <> '')"
-_SUBSET = f"(len({_WORDS.format('a')}) > 0 AND len({_WORDS.format('b')}) > 0 AND (list_has_all({_WORDS.format('b')}, {_WORDS.format('a')}) OR list_has_all({_WORDS.format('a')}, {_WORDS.format('b')})))"
-_SCORED = f"""(SELECT *, CASE WHEN ns < 0.3 THEN 0.0 ELSE least(0.5 * ns + 0.3 * ls + 0.2 * ds, 1.0) END AS score FROM (SELECT *, greatest({_RATIO.format('a', 'b')}, CASE WHEN {_SUBSET} THEN 1.0 ELSE 0.0 END) AS ns,
-CASE WHEN la <> '' AND lb <> '' THEN CASE WHEN contains(la, lb) OR contains(lb, la) THEN 1.0 ELSE 0.0 END WHEN la = '' AND lb = '' THEN 0.5 ELSE 0.0 END AS ls, CASE WHEN da <> '' AND db <> '' AND {_RATIO.format('da', 'db')} > 0.8 THEN 1.0 ELSE 0.0 END AS ds FROM {_PAIRS}))"""
+_SCORED = f"""names AS (SELECT * FROM {sql_ratios('pairs')}), domains AS (SELECT * FROM {sql_ratios("(SELECT da AS a, db AS b FROM pairs WHERE da <> '' AND db <> '')")}),
+scored AS (SELECT faculty_slug, pid, rid, CASE WHEN ns < 0.3 THEN 0.0 ELSE least(0.5 * ns + 0.3 * ls + 0.2 * ds, 1.0) END AS score FROM (SELECT q.*, greatest(n.token_set, n."partial") / 100.0 AS ns,
+CASE WHEN la <> '' AND lb <> '' THEN CASE WHEN contains(la, lb) OR contains(lb, la) THEN 1.0 ELSE 0.0 END WHEN la = '' AND lb = '' THEN 0.5 ELSE 0.0 END AS ls, CASE WHEN d."partial" > 80 THEN 1.0 ELSE 0.0 END AS ds
+FROM pairs q JOIN names n ON q.a = n.a AND q.b = n.b LEFT JOIN domains d ON q.da = d.a AND q.db = d.b))"""
 _MATCHES = f"""(SELECT DISTINCT ON (p.uid, p.faculty_slug, r.pdf_url, r.row_idx) p.uid, r.*, 1.0 - pdf_rank / 100.0 AS match_score FROM (SELECT DISTINCT uid, name, lower(faculty_slug) AS faculty_slug, {sql_comparable('name')} AS form FROM programs) p
 JOIN (SELECT DISTINCT ON (pdf_url, row_idx, faculty_slug) *, {sql_comparable('program_name')} AS form FROM {_PAIRED}) r ON p.faculty_slug = r.faculty_slug AND p.form = r.form)"""
 _LIKELY = "round(0.6 * {m} + 0.4 * CASE WHEN content_score > 10 THEN 0.9 WHEN content_score > 0 THEN 0.7 ELSE 0.5 END, 4)"
@@ -462,8 +435,10 @@ def _career_sql(c: str) -> tuple[str, str]:
 
 
 _FIRST, _ALL = _career_sql("name")
-_KEYWORDS = """array_to_string(list_sort(list_distinct(list_transform(list_filter(list_concat([name, faculty_slug], regexp_split_to_array(lower(name), '\\s+'), CASE WHEN contains(lower(name), 'calc') THEN ['computer science', 'it', 'programare'] ELSE []::VARCHAR[] END,
-CASE WHEN contains(lower(name), 'auto') THEN ['control engineering', 'robotics'] ELSE []::VARCHAR[] END, CASE WHEN contains(lower(name), 'englez') OR contains(lower(name), 'english') THEN ['international'] ELSE []::VARCHAR[] END), lambda w: w IS NOT NULL AND length(w) > 2), lambda w: lower(w)))), ',')"""
+_WORD_LIST = """list_sort(list_distinct(list_transform(list_filter(list_concat([name, faculty_slug], regexp_split_to_array(lower(name), '\\s+'), CASE WHEN contains(lower(name), 'calc') THEN ['computer science', 'it', 'programare'] ELSE []::VARCHAR[] END,
+CASE WHEN contains(lower(name), 'auto') THEN ['control engineering', 'robotics'] ELSE []::VARCHAR[] END, CASE WHEN contains(lower(name), 'englez') OR contains(lower(name), 'english') THEN ['international'] ELSE []::VARCHAR[] END), lambda w: w IS NOT NULL AND length(w) > 2), lambda w: lower(w))))"""
+_LANGUAGE = "CASE WHEN contains(lower(name), 'englez') OR contains(lower(name), 'english') THEN 'en' WHEN contains(lower(name), 'francez') THEN 'fr' ELSE 'ro' END"
+_REQUIRED = "CASE WHEN contains(lower(coalesce(level, '')), 'master') THEN 'Media Licență (Probabil Interviu)' ELSE 'Dosar (Medie Bac)' END"
 _SAID = "coalesce({}::VARCHAR, 'None')"
 _LOW = "lower(spots_raw)"
 _HAS = f"(regexp_matches(spots_raw, '{BUDGET_PATTERN}') OR regexp_matches(spots_raw, '{TAX_PATTERN}'))"
@@ -476,17 +451,18 @@ SELECT uid, name, CASE WHEN name IS NULL OR name = '' THEN 'Missing name' WHEN r
 CASE WHEN coalesce(program_id, '') = '' THEN 'Missing program_id' WHEN coalesce(admission_year, 0) = 0 THEN 'Missing admission_year' ELSE 'Identifiers present' END AS identifiers,
 CASE WHEN spots_budget IS NULL AND spots_tax IS NULL THEN 'PASS' WHEN len(list_filter(evidence['spots'], lambda e: coalesce(e.match_score, 0) >= 0.75 AND coalesce(e.score, 0) >= 20 AND ((spots_budget IS NOT NULL AND e.value.budget IS NOT NULL) OR (spots_tax IS NOT NULL AND e.value.tax IS NOT NULL)))) > 0 THEN 'PASS'
 WHEN source_type = 'html_table_parsed' AND NOT isnan(accuracy_confidence) AND accuracy_confidence >= 0.8 THEN 'PASS' ELSE 'REJECT' END AS spots FROM programs) JOIN (SELECT DISTINCT * FROM {name_sql('(SELECT DISTINCT name FROM programs)', keep='name')}) f USING (name)""",
-    "f1_quarantine_split": f"SELECT status, CASE WHEN status = 'QUARANTINE' THEN count(DISTINCT program_name) ELSE count(*) END AS n FROM {name_sql('(SELECT DISTINCT * FROM pdf_rows)', 'program_name', 'program_name')} GROUP BY status",
+    "f1_quarantine_split": f"SELECT pdf_url, row_idx, program_name, status, reason FROM {name_sql('(SELECT DISTINCT * FROM pdf_rows)', 'program_name', 'pdf_url, row_idx, program_name')}",
+    "sk6_quarantine": f"SELECT sha256(program_name) AS key, program_name AS name, reason, score FROM {name_sql('(SELECT DISTINCT program_name FROM pdf_rows)', 'program_name', 'program_name')} WHERE status = 'QUARANTINE'",
     "f7_list_items": f"SELECT spots_raw, (({_HAS} AND NOT {_any(_LOW, LIST_NOISE_MORE)}) OR (NOT {_HAS} AND {_any(_LOW, LIST_WHITELIST)} AND NOT {_any(_LOW, LIST_NOISE_MORE)} AND length(spots_raw) >= 10)) AND NOT regexp_matches(spots_raw, '(?i)^(tel|fax|str|bd|nr)\\.?\\s*:') AS accepted FROM (SELECT DISTINCT spots_raw FROM programs WHERE spots_raw IS NOT NULL)",
-    "e2_f10_published": """SELECT DISTINCT CASE WHEN n = '' THEN 'Unknown' ELSE replace(trim(regexp_replace(regexp_replace(regexp_replace(n, '(?i)\\(?(?:aici|detalii|vezi|link)\\)?', '', 'g'), '\\[.*?\\]', '', 'g'), '[\\s\\p{Z}]+', ' ', 'g'), ' '), ' ,', ',') END AS program_name, split_part(regexp_extract(url, 'https?://([^/]+)', 1), '.', 1) AS faculty_code, level, b AS budget, t AS tax, CASE WHEN c > 0.8 THEN 'high' ELSE 'medium' END AS confidence, url
-FROM (SELECT lower(name) AS n, level, source_url AS url, coalesce(spots_budget, 0) AS b, coalesce(spots_tax, 0) AS t, coalesce(CASE WHEN NOT isnan(accuracy_confidence) THEN accuracy_confidence END, 0.0) AS c FROM programs) WHERE NOT (c < 0.4 AND b = 0)""",
-    "e2_f10_published_all": f"""SELECT DISTINCT {SQL_DISPLAY} AS program_name, split_part(regexp_extract(url, 'https?://([^/]+)', 1), '.', 1) AS faculty_code, level, b AS budget, t AS tax, CASE WHEN c > 0.8 THEN 'high' ELSE 'medium' END AS confidence, url
+    "e2_f10_published": f"""SELECT DISTINCT {SQL_DISPLAY} AS program_name, split_part(regexp_extract(url, 'https?://([^/]+)', 1), '.', 1) AS faculty_code, level, b AS budget, t AS tax, CASE WHEN c > 0.8 THEN 'high' ELSE 'medium' END AS confidence, url
 FROM (SELECT name, level, source_url AS url, coalesce(spots_budget, 0) AS b, coalesce(spots_tax, 0) AS t, coalesce(CASE WHEN NOT isnan(accuracy_confidence) THEN accuracy_confidence END, 0.0) AS c FROM programs) WHERE NOT (c < 0.4 AND b = 0)""",
     "e14_ranked_spots": _ranked_sql("SPOTS"),
     "e14_ranked_results": _ranked_sql("RESULTS"),
     "o2_best_papers": f"SELECT * FROM ({_ranked_sql('SPOTS')}) WHERE place <= 3",
     "f13_grade_links": "SELECT * FROM (SELECT DISTINCT ON (input_pos) input_pos, CASE WHEN contains(lower(link_text), 'rezultate') OR contains(lower(link_text), 'admis') OR contains(lower(link_text), 'liste') OR contains(lower(link_text), 'clasament') OR contains(lower(link_text), 'medii') THEN 10 ELSE 0 END - CASE WHEN contains(lower(link_text), 'cazare') OR contains(lower(link_text), 'burse') OR contains(lower(link_text), 'programare') THEN 100 ELSE 0 END + CASE WHEN contains(lower(link_text), '2026') OR contains(coalesce(pdf_url, url, ''), '2026') THEN 5 ELSE 0 END AS score FROM pdf_queue WHERE link_text IS NOT NULL) WHERE score > 0",
-    "e15_paper_contents": "SELECT pdf_url, sum(length(t)) / greatest(1, count(*)) AS text_density, sum(len(regexp_extract_all(t, '(?i)\\d+\\s+(?:loc|buget|tax)')))::BIGINT AS rows_with_numbers, CASE WHEN bool_or(contains(t, '2026')) THEN 2026 END AS detected_year, (CASE WHEN sum(length(t)) / greatest(1, count(*)) < 50 THEN -2.0 ELSE 5.0 END + CASE WHEN sum(len(regexp_extract_all(t, '(?i)\\d+\\s+(?:loc|buget|tax)'))) > 0 THEN 10.0 + least(sum(len(regexp_extract_all(t, '(?i)\\d+\\s+(?:loc|buget|tax)'))), 10) ELSE 0.0 END)::DOUBLE AS content_score FROM (SELECT concat_ws('/', source, faculty_slug) AS pdf_url, coalesce(text, '') AS t, row_number() OVER (PARTITION BY concat_ws('/', source, faculty_slug) ORDER BY doc_id) AS n FROM documents) WHERE n <= 2 GROUP BY pdf_url",
+    "e15_paper_contents": """SELECT pdf_url, sum(length(t)) / greatest(1, count(*)) AS text_density, bool_or(contains(t, '|')) AS has_table, sum(len(regexp_extract_all(t, '(?i)\\d+\\s+(?:loc|buget|tax)')))::BIGINT AS rows_with_numbers, CASE WHEN bool_or(contains(t, '2026')) THEN 2026 END AS detected_year,
+(CASE WHEN sum(length(t)) / greatest(1, count(*)) < 50 THEN -2.0 ELSE 5.0 END + CASE WHEN sum(len(regexp_extract_all(t, '(?i)\\d+\\s+(?:loc|buget|tax)'))) > 0 THEN 10.0 + least(sum(len(regexp_extract_all(t, '(?i)\\d+\\s+(?:loc|buget|tax)'))), 10) ELSE 0.0 END + CASE WHEN bool_or(contains(t, '|')) THEN 5.0 ELSE 0.0 END)::DOUBLE AS content_score
+FROM (SELECT concat_ws('/', source, faculty_slug) AS pdf_url, coalesce(text, '') AS t, row_number() OVER (PARTITION BY concat_ws('/', source, faculty_slug) ORDER BY doc_id) AS n FROM documents) WHERE n <= 2 GROUP BY pdf_url""",
     "f15_trusted_papers": "SELECT pdf_url, count(*) AS n_rows, count(*) FILTER (length(program_name) > 5 AND NOT contains(lower(program_name), 'copie')) AS n_valid FROM (SELECT DISTINCT * FROM pdf_rows) GROUP BY pdf_url HAVING n_valid > 0 AND n_valid >= 0.5 * n_rows AND NOT coalesce(max(content_score) < -5, false)",
     "a2_repeated_lines": f"SELECT g AS source, line, pages, all_pages FROM {_REPEATED}",
     "a3_without_repeated": f"SELECT p AS doc_id, md5(string_agg(l.line, chr(10) ORDER BY pos)) AS text_md5 FROM {_LINES} l ANTI JOIN {_REPEATED} r ON l.g = r.g AND l.line = r.line GROUP BY l.g, p",
@@ -500,21 +476,30 @@ FROM (SELECT name, level, source_url AS url, coalesce(spots_budget, 0) AS b, coa
     "a12_manifest": "SELECT 'run' AS run_id, count(*) AS faculties_total, string_agg(s, ',' ORDER BY s) FILTER (ok) AS successful FROM (SELECT lower(faculty_slug) AS s, bool_or(coalesce(status = 'done', false)) AS ok FROM pdf_queue GROUP BY 1)",
     "j10_first_seen": "SELECT min(input_pos) AS input_pos, coalesce(pdf_url, url) AS address FROM pdf_queue WHERE coalesce(pdf_url, url) IS NOT NULL GROUP BY 2",
     "sk11_write_back": "WITH q AS (SELECT DISTINCT ON (input_pos) *, coalesce(pdf_url, url) AS address FROM pdf_queue), w AS (SELECT DISTINCT address FROM q WHERE status IN ('queued', 'pending') AND address IS NOT NULL) SELECT input_pos, CASE WHEN w.address IS NOT NULL THEN 'downloaded' ELSE status END AS status, CASE WHEN w.address IS NOT NULL THEN 'spots_' || left(md5(w.address), 8) || '.pdf' ELSE local_path END AS local_path FROM q LEFT JOIN w ON q.address = w.address",
-    "e21_domain_groups": "SELECT CASE WHEN contains(a, 'corveni.example') OR contains(a, 'central.example') THEN 'main' WHEN contains(a, 'example') THEN 'all' ELSE 'default' END AS longest, CASE WHEN contains(a, 'example') THEN 'all' ELSE 'default' END AS first, count(*) AS n FROM (SELECT coalesce(pdf_url, url) AS a FROM pdf_queue) WHERE a IS NOT NULL GROUP BY ALL",
+    "e21_domain_groups": "SELECT DISTINCT input_pos, a AS address, CASE WHEN contains(a, 'corveni.example') OR contains(a, 'central.example') THEN 'main' WHEN contains(a, 'example') THEN 'all' ELSE 'default' END AS longest, CASE WHEN contains(a, 'example') THEN 'all' ELSE 'default' END AS first FROM (SELECT input_pos, coalesce(pdf_url, url) AS a FROM pdf_queue) WHERE a IS NOT NULL",
     "o7_set_operations": "WITH a AS (SELECT DISTINCT lower(faculty_slug) AS s FROM programs), b AS (SELECT DISTINCT lower(faculty_slug) AS s FROM pdf_queue) SELECT 'both' AS kind, s FROM (SELECT s FROM a INTERSECT SELECT s FROM b) UNION ALL SELECT 'only', s FROM (SELECT s FROM a EXCEPT SELECT s FROM b) UNION ALL SELECT 'either', s FROM (SELECT s FROM a UNION SELECT s FROM b)",
-    "st5_hash_changes": "SELECT CASE WHEN o.key IS NULL THEN 'new' WHEN n.key IS NULL THEN 'removed' WHEN o.t <> n.t THEN 'changed' ELSE 'same' END AS kind, count(*) AS n_docs FROM (SELECT doc_id AS key, trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13)) AS t FROM documents WHERE admission_year IS NULL OR admission_year <> 2025) o FULL JOIN (SELECT doc_id AS key, trim(CASE WHEN text LIKE '%.' THEN text || '!' ELSE coalesce(text, '') END, ' ' || chr(9) || chr(10) || chr(13)) AS t FROM documents WHERE admission_year IS NULL OR admission_year >= 2025) n ON o.key = n.key GROUP BY 1",
-    "j1_edit_match": f"""WITH s AS (SELECT *, row_number() OVER (PARTITION BY faculty_slug, pid ORDER BY score DESC, rid) AS place FROM {_SCORED} WHERE score > 0.01), t AS (SELECT faculty_slug, pid, max(rid) FILTER (place = 1) AS rid, max(score) FILTER (place = 1) AS score, max(score) FILTER (place = 2) AS second FROM s WHERE place <= 2 GROUP BY ALL)
-SELECT p.pid, rid, round(coalesce(score, 0), 6) AS score, CASE WHEN score IS NULL THEN 'no_match' WHEN score < 0.5 THEN 'low_confidence' WHEN round(score - second, 9) < 0.15 THEN 'ambiguous' ELSE 'match' END AS status, coalesce(score > 0.65, false) AS accepted FROM (SELECT DISTINCT uid AS pid, lower(faculty_slug) AS faculty_slug FROM programs) p LEFT JOIN t ON p.pid = t.pid AND p.faculty_slug = t.faculty_slug""",
-    "x1_subset_pairs": f"SELECT pid, rid FROM {_PAIRS} WHERE {_SUBSET}",
+    "st5_hash_changes": "SELECT coalesce(o.key, n.key) AS key, CASE WHEN o.key IS NULL THEN 'new' WHEN n.key IS NULL THEN 'removed' WHEN o.t <> n.t THEN 'changed' ELSE 'same' END AS kind FROM (SELECT doc_id AS key, trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13)) AS t FROM documents WHERE admission_year IS NULL OR admission_year <> 2025) o FULL JOIN (SELECT doc_id AS key, trim(CASE WHEN text LIKE '%.' THEN text || '!' ELSE coalesce(text, '') END, ' ' || chr(9) || chr(10) || chr(13)) AS t FROM documents WHERE admission_year IS NULL OR admission_year >= 2025) n ON o.key = n.key",
+    "j1_fuzzy_match": f"""WITH {_SIDES}, {_PAIRS}, {_SCORED}, s AS (SELECT *, row_number() OVER (PARTITION BY faculty_slug, pid ORDER BY score DESC, rid) AS place FROM scored WHERE score > 0.01), t AS (SELECT faculty_slug, pid, max(rid) FILTER (place = 1) AS rid, max(score) FILTER (place = 1) AS score, max(score) FILTER (place = 2) AS second FROM s WHERE place <= 2 GROUP BY ALL)
+SELECT p.pid, rid, round(coalesce(score, 0), 6)::DOUBLE AS score, CASE WHEN score IS NULL THEN 'no_match' WHEN score < 0.5 THEN 'low_confidence' WHEN round(score - second, 9) < 0.15 THEN 'ambiguous' ELSE 'match' END AS status, coalesce(score > 0.65, false) AS accepted FROM (SELECT DISTINCT pid, faculty_slug FROM p) p LEFT JOIN t ON p.pid = t.pid AND p.faculty_slug = t.faculty_slug""",
+    "j5_grade_match": f"""WITH p AS (SELECT DISTINCT uid AS pid, lower(faculty_slug) AS faculty_slug, {sql_match_form('name')} AS a FROM programs),
+g AS (SELECT faculty_slug, program_name AS grade_key, {sql_match_form('program_name')} AS b, (5.0 + least(coalesce(min(spots_budget), 0), 50) / 10.0)::DOUBLE AS min_grade, min(pdf_url || '#' || row_idx) AS key_pos FROM {_PAIRED} WHERE program_name IS NOT NULL GROUP BY 1, 2, 3),
+pairs AS MATERIALIZED (SELECT * FROM p JOIN g USING (faculty_slug))
+SELECT faculty_slug, pid, grade_key, min_grade, round(token_set, 6) AS alike FROM pairs JOIN {sql_ratios('pairs')} n ON pairs.a = n.a AND pairs.b = n.b WHERE token_set > 85 QUALIFY row_number() OVER (PARTITION BY faculty_slug, pid ORDER BY token_set DESC, key_pos) = 1""",
+    "x1_to_x3_ratios": f"""WITH p AS (SELECT DISTINCT uid, {sql_comparable('name')} AS a, {sql_comparable('spots_raw')} AS b FROM programs) SELECT DISTINCT uid, round(token_set, 6) AS token_set, round("partial", 6) AS "partial", round(indel, 6) AS indel FROM p JOIN {sql_ratios('p')} n ON p.a = n.a AND p.b = n.b""",
     "a4_evidence": f"SELECT uid, count(*) AS n_items, string_agg(concat_ws('/', pdf_url, spots_budget, spots_tax, coalesce(page, 1), left(coalesce(raw_row, ''), 100)), '|' ORDER BY pdf_rank NULLS FIRST, row_idx NULLS FIRST, pdf_url) AS items FROM {_MATCHES} GROUP BY uid",
     "a5_arbitration": f"SELECT uid, pdf_url, row_idx, spots_budget, spots_tax, round(coalesce(content_score, 0) + 10 * match_score, 6) AS best_source_score, {_LIKELY.format(m='match_score')} AS accuracy_confidence FROM {_MATCHES} QUALIFY row_number() OVER (PARTITION BY uid ORDER BY coalesce(content_score, 0) + 10 * match_score DESC, pdf_rank NULLS LAST, row_idx NULLS LAST, pdf_url DESC) = 1",
-    "j6_faculty_uids": "SELECT DISTINCT p.uid AS program_uid, CASE WHEN f.slug IS NOT NULL THEN sha256('listed:' || f.slug) ELSE sha256('faculty:' || p.faculty_slug) END AS resolved_faculty_uid FROM programs p LEFT JOIN (SELECT slug FROM faculties WHERE pos < 100) f ON p.faculty_slug = f.slug WHERE p.faculty_slug IS NOT NULL",
+    "j6_faculty_uids": "SELECT DISTINCT p.uid AS program_uid, CASE WHEN f.slug IS NOT NULL THEN sha256('listed:' || f.slug) ELSE sha256('faculty:' || p.faculty_slug) END AS resolved_faculty_uid FROM programs p LEFT JOIN faculties f ON p.faculty_slug = f.slug",
+    "j7_faculty_names": "SELECT DISTINCT p.uid AS program_uid, coalesce(f.name, upper(p.faculty_slug)) AS faculty_name FROM programs p LEFT JOIN (SELECT slug, max(name) AS name FROM faculties GROUP BY slug) f ON p.faculty_slug = f.slug",
     "e13_from_papers": f"""SELECT sha256(faculty_slug || '|' || program_name) AS uid, sha256(faculty_slug || '|' || {sql_match_form('program_name')}) AS program_id, faculty_slug, program_name AS name, CASE WHEN level IS NULL THEN 'Unknown' WHEN contains(lower(level), 'master') THEN 'Master' WHEN contains(lower(level), 'licent') OR contains(lower(level), 'bachelor') THEN 'Bachelor' WHEN contains(lower(level), 'doctor') OR contains(lower(level), 'phd') THEN 'PhD' ELSE 'Unknown' END AS level,
-spots_budget, spots_tax, pdf_url AS source_url, 'pdf_only' AS source_type, 0.92 AS likelihood_score FROM (SELECT * FROM {_PAIRED} WHERE faculty_slug NOT IN (SELECT lower(faculty_slug) FROM programs WHERE source_type = 'jsonld' AND faculty_slug IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY faculty_slug, program_name ORDER BY pdf_rank DESC NULLS LAST, row_idx DESC NULLS LAST, pdf_url DESC) = 1)""",
+spots_budget, spots_tax, pdf_url AS source_url, 'pdf_only' AS source_type, 0.92 AS likelihood_score FROM (SELECT * FROM {_PAIRED} WHERE faculty_slug NOT IN (SELECT lower(faculty_slug) FROM programs WHERE faculty_slug IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY faculty_slug, program_name ORDER BY pdf_rank DESC NULLS LAST, row_idx DESC NULLS LAST, pdf_url DESC) = 1)""",
     "e8_narratives": f"SELECT DISTINCT uid, md5('Programul: ' || name || ' (' || coalesce(level, 'Master') || ')' || chr(10) || 'Facultate: ' || upper(faculty_slug) || chr(10) || 'Locuri Buget: ' || {_SAID.format('spots_budget')} || ' (Sursa: PDF ' || source_url || ')' || chr(10) || 'Locuri Taxa: ' || {_SAID.format('spots_tax')} || ' (Sursa: PDF ' || source_url || ')' || chr(10) || '[INFERENCE]' || chr(10) || 'Cariera: ' || replace({_FIRST}, ',', ', ')) AS text_md5, CASE WHEN {_GRADE} IS NULL THEN 'x' ELSE 'x' || chr(10) || 'Ultima Medie (2025): ' || printf('%.2f', {_GRADE}) END AS grade_line FROM programs",
     "e1_flat_export": f"SELECT name, level, faculty_slug, duration_years, spots_budget, spots_tax, coalesce(source_type, 'unknown') AS source_type, coalesce(CASE WHEN NOT isnan(accuracy_confidence) THEN accuracy_confidence END, 0.0) AS accuracy_confidence, source_url AS url, {_GRADE} AS last_admission_grade FROM programs",
     "e3_e4_careers": f"SELECT DISTINCT uid, {_FIRST} AS first_careers, {_ALL} AS all_careers FROM programs",
-    "e7_retrieval": f"SELECT DISTINCT ON (uid) uid, 'ucv_' || faculty_slug || '_' || left(uid, 8) AS program_id, CASE WHEN contains(lower(name), 'englez') OR contains(lower(name), 'english') THEN 'en' WHEN contains(lower(name), 'francez') THEN 'fr' ELSE 'ro' END AS language, {_KEYWORDS} AS keywords, {_ALL} AS career_paths FROM programs",
+    "e7_retrieval": f"""SELECT uid, program_id, language, array_to_string(kw, ',') AS keywords, career_paths, '[FACTS]' || chr(10) || concat_ws(chr(10), 'Program: ' || name, 'Nivel: ' || coalesce(level, 'Licenta'), 'Facultate: ' || upper(faculty_slug), 'Durata: ' || coalesce(duration_years, 'N/A'), 'Limba: ' || upper(language),
+'Locuri Buget ({YEAR}): ' || coalesce(spots_budget::VARCHAR, 'N/A'), 'Locuri Taxa ({YEAR}): ' || coalesce(spots_tax::VARCHAR, 'N/A')) || chr(10) || chr(10) || '[INFERRED]' || chr(10) || concat_ws(chr(10), 'Cariera: ' || replace(career_paths, ',', ', '),
+'Admitere: ' || {_REQUIRED}, 'Keywords: ' || array_to_string(kw, ', ')) || chr(10) || chr(10) || '[PROVENANCE]' || chr(10) || 'Source: ' || coalesce(source_url, 'N/A') AS text_for_embedding
+FROM (SELECT DISTINCT uid, '{PREFIX}_' || concat_ws('_', faculty_slug, left(uid, 8)) AS program_id, {_LANGUAGE} AS language, {_WORD_LIST} AS kw, coalesce({_ALL}, '{NO_CAREER[0]}') AS career_paths, name, level, faculty_slug, duration_years, spots_budget, spots_tax, source_url FROM programs)""",
+    "e5_e10_requirements": f"SELECT DISTINCT uid, level, {_REQUIRED} AS requirements, CASE WHEN source_type = 'html_table_parsed' THEN 0.85 WHEN source_type = 'jsonld' THEN 0.6 WHEN coalesce(spots_budget, 0) <> 0 THEN 0.8 ELSE 0.5 END::DOUBLE AS confidence FROM programs",
     "sk5_upsert": "WITH p AS (SELECT DISTINCT uid, run_id, scraped_at AS seq FROM programs), s AS (SELECT lower(trim(uid)) AS uid, run_id, scraped_at AS seq FROM program_snapshots) SELECT * FROM p UNION ALL SELECT uid, arg_max(run_id, seq), max(seq) FROM s WHERE uid NOT IN (SELECT uid FROM p) GROUP BY uid",
     "fn_p6_paper_lines": f"""SELECT pdf_url, page_no AS page, program_name, spots_budget, spots_tax FROM (SELECT DISTINCT ON (pdf_url, row_idx) pdf_url, row_idx, floor(row_idx / 10)::INT AS page_no, trim(regexp_replace(regexp_replace(program_name, '[^A-Za-z]+', ' ', 'g'), ' +', ' ', 'g')) AS program_name, spots_budget, spots_tax FROM pdf_rows WHERE program_name IS NOT NULL AND spots_budget IS NOT NULL AND spots_tax IS NOT NULL)
 WHERE length(program_name) > 5 AND NOT {_any('lower(program_name)', ROW_BLACKLIST)} QUALIFY row_number() OVER (PARTITION BY pdf_url, program_name ORDER BY page_no, row_idx) = 1""",

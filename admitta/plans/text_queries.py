@@ -103,16 +103,15 @@ def link_targets(spark: SparkSession, folder: str) -> DataFrame:
 
 def levels(spark: SparkSession, folder: str) -> DataFrame:
     p = table(spark, folder, "programs")
-    return p.select("level", parse.study_level(F.col("level")).alias("study_level"), parse.url_level(F.col("source_url")).alias("url_level"), parse.url_duration(F.col("source_url")).alias("url_duration")).groupBy("level", "study_level", "url_level", "url_duration").agg(F.count(F.lit(1)).alias("n"))
+    return p.select("uid", "level", parse.study_level(F.col("level")).alias("study_level"), parse.url_level(F.col("source_url")).alias("url_level"), parse.url_duration(F.col("source_url")).alias("url_duration")).dropDuplicates()
 
 
 def page_levels(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "documents")
-    return d.groupBy("source", parse.page_level(F.col("text")).alias("page_level")).agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, folder, "documents").select("doc_id", parse.page_level(F.col("text")).alias("page_level"))
 
 
 def languages(spark: SparkSession, folder: str) -> DataFrame:
-    return _names(spark, folder).groupBy(parse.name_language(F.col("name")).alias("language"), parse.name_language(F.col("name"), True).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    return _names(spark, folder).select("uid", parse.name_language(F.col("name")).alias("language"), parse.name_language(F.col("name"), True).alias("code")).dropDuplicates()
 
 
 def years(spark: SparkSession, folder: str) -> DataFrame:
@@ -132,15 +131,9 @@ def markup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, folder: str) -> DataFrame:
-    names = _names(spark, folder).where(F.col("name").rlike(r"^[\x00-\x7făâîșțĂÂÎȘȚ]*$"))
-    wrong = F.decode(F.encode(F.col("name"), "UTF-8"), "ISO-8859-1")
-    return names.select("uid", text.repair_encoding(wrong).alias("repaired"), (F.col("name").rlike("[ăĂ]")).alias("has_a")).where("has_a").select("uid", "repaired")
-
-
-def encoding_all(spark: SparkSession, folder: str) -> DataFrame:
     """Every name as wrongly read, repaired where the rule applies and else unchanged."""
     wrong = F.decode(F.encode(F.col("name"), "UTF-8"), "ISO-8859-1")
-    return _names(spark, folder).select("uid", text.repair_encoding(wrong).alias("repaired"))
+    return _names(spark, folder).select("uid", text.repair_encoding(F.col("name")).alias("as_stored"), text.repair_encoding(wrong).alias("repaired"))
 
 
 QUERIES = {
@@ -155,8 +148,7 @@ QUERIES = {
     "n7_page_uid_dedupe": page_dedupe,
     "n8_content_dedupe": content_dedupe,
     "n9_truth_form": _on_names(form=lambda: text.truth_form(F.col("name"))),
-    "n10_display_name": lambda spark, folder: _names(spark, folder).where(F.upper("name") != F.col("name")).select("uid", text.display_name(F.col("name")).alias("display_name")),
-    "n10_display_name_all": _on_names(display_name=lambda: text.display_name(F.col("name"))),
+    "n10_display_name": _on_names(display_name=lambda: text.display_name(F.col("name"))),
     "n11_title_case": _on_names(title=lambda: text.is_title(F.col("name"))),
     "n12_clean_rows": clean_rows,
     "n13_markup_tokens": markup,
@@ -169,7 +161,6 @@ QUERIES = {
     "p19_link_targets": link_targets,
     "p20_host_counts": host_counts,
     "sc17_encoding": encoding,
-    "sc17_encoding_all": encoding_all,
 }
 # names of problem queries begin with p and a number; these are functions of the pipeline, so they get a prefix of their own
 QUERIES = {(f"fn_{k}" if k[0] == "p" else k): f for k, f in QUERIES.items()}
@@ -204,8 +195,7 @@ SQL = {
     "n7_page_uid_dedupe": "SELECT sha256(rtrim(url, '/') || '?page=1') AS canonical_uid, max(doc_id) AS last_doc_id, count(*) AS n_docs FROM documents WHERE url IS NOT NULL GROUP BY 1",
     "n8_content_dedupe": f"SELECT CASE WHEN text IS NULL THEN '' ELSE sha256({_TRIM.format('replace(text, chr(13) || chr(10), chr(10))')}) END AS content_hash, min(doc_id) AS first_doc_id, count(*) AS copies FROM documents GROUP BY 1",
     "n9_truth_form": f"SELECT uid, trim(replace(translate(lower(name), 'ăâșțî', 'aasti'), '-', ' ')) AS form FROM {NAMES}",
-    "n10_display_name": f"SELECT uid, CASE WHEN name IS NULL OR name = '' THEN 'Unknown' ELSE replace(trim(regexp_replace(regexp_replace(regexp_replace(name, '(?i)\\(?(?:aici|detalii|vezi|link)\\)?', '', 'g'), '\\[.*?\\]', '', 'g'), '[\\s\\p{{Z}}]+', ' ', 'g')), ' ,', ',') END AS display_name FROM {NAMES} WHERE upper(name) <> name",
-    "n10_display_name_all": f"SELECT uid, {SQL_DISPLAY} AS display_name FROM {NAMES}",
+    "n10_display_name": f"SELECT uid, {SQL_DISPLAY} AS display_name FROM {NAMES}",
     "n11_title_case": f"SELECT uid, {SQL_IS_TITLE} AS title FROM {NAMES}",
     "n12_clean_rows": f"""SELECT pdf_url, row_idx, CASE WHEN contains(lower(program_name), 'locuri') THEN trim(regexp_replace(program_name, '{_JAVA}', '', 'g'), ' -–—:,.') ELSE program_name END AS without_counts,
 replace(replace({_TRIM.format(f"translate({_UNBROKEN}, 'şŞţŢ', 'șȘțȚ')")}, '-' || chr(10), ''), chr(10), ' ') AS unbroken, left(program_name, 20) AS snippet, trim(string_split('Domeniul: ' || program_name, 'Domeniul')[-1], ' :') AS label FROM {_PNAME}""",
@@ -213,14 +203,14 @@ replace(replace({_TRIM.format(f"translate({_UNBROKEN}, 'şŞţŢ', 'șȘțȚ')")
     "p1_to_p3_numbers": "SELECT DISTINCT uid, try_cast(nullif(regexp_replace(spots_budget::varchar, '\\D', '', 'g'), '') AS INT) AS noted, coalesce(spots_budget, 0) AS whole, CASE WHEN round(last_admission_grade, 2) BETWEEN 1 AND 10 THEN round(last_admission_grade, 2) END AS grade FROM programs",
     "p4_item_counts": f"""SELECT uid, spots_raw, CASE WHEN regexp_matches(spots_raw, '{_BOTH}') THEN {_first(_BOTH, 1)} ELSE {_first(BUDGET_PATTERN, 1)} END AS budget, CASE WHEN regexp_matches(spots_raw, '{_BOTH}') THEN {_first(_BOTH, 2)} ELSE {_first(TAX_PATTERN, 1)} END AS tax,
 CASE WHEN contains(head, ';') THEN trim(split_part(head, ';', 1)) ELSE head END AS item_name FROM (SELECT uid, spots_raw, CASE WHEN regexp_matches(split_part(spots_raw, ',', 2), '\\d') OR contains(lower(split_part(spots_raw, ',', 2)), 'locuri') THEN trim(split_part(spots_raw, ',', 1)) ELSE spots_raw END AS head FROM (SELECT DISTINCT uid, spots_raw FROM programs WHERE spots_raw IS NOT NULL))""",
-    "p9_page_levels": "SELECT source, CASE WHEN contains(u, 'MASTER') THEN 'Master' WHEN contains(u, 'LICENTA') THEN 'Licenta' END AS page_level, count(*) AS n FROM (SELECT source, translate(upper(text), 'ĂÂÎȘŞȚŢ', 'AAISSTT') AS u FROM documents) GROUP BY ALL",
+    "p9_page_levels": "SELECT doc_id, CASE WHEN contains(u, 'MASTER') THEN 'Master' WHEN contains(u, 'LICENTA') THEN 'Licenta' END AS page_level FROM (SELECT doc_id, translate(upper(text), 'ĂÂÎȘŞȚŢ', 'AAISSTT') AS u FROM documents)",
     "p10_years": f"SELECT DISTINCT input_pos, address, coalesce(try_cast(nullif(regexp_extract(address, '202[0-9]'), '') AS INT), try_cast(nullif(regexp_extract(link_text, '202[0-9]'), '') AS INT), 2026) AS year, 'spots_' || left(md5(address), 8) || '.pdf' AS file_name FROM {_ADDR}",
-    "p12_levels": """SELECT level, CASE WHEN contains(l, 'master') THEN 'Master' WHEN contains(l, 'licent') OR contains(l, 'bachelor') THEN 'Bachelor' WHEN contains(l, 'doctor') OR contains(l, 'phd') THEN 'PhD' ELSE 'Unknown' END AS study_level,
-CASE WHEN contains(source_url, 'licenta') THEN 'Licenta' ELSE 'Master' END AS url_level, CASE WHEN contains(source_url, 'licenta') THEN '4 ani' ELSE '2 ani' END AS url_duration, count(*) AS n FROM (SELECT level, source_url, lower(coalesce(level, '')) AS l FROM programs) GROUP BY ALL""",
-    "p14_languages": f"SELECT CASE WHEN contains(l, 'englez') OR contains(l, 'english') THEN 'English' WHEN contains(l, 'francez') THEN 'French' ELSE 'Romanian' END AS language, CASE WHEN contains(l, 'englez') OR contains(l, 'english') THEN 'en' WHEN contains(l, 'francez') THEN 'fr' ELSE 'ro' END AS code, count(*) AS n FROM (SELECT lower(name) AS l FROM {NAMES}) GROUP BY ALL",
+    "p12_levels": """SELECT DISTINCT uid, level, CASE WHEN contains(l, 'master') THEN 'Master' WHEN contains(l, 'licent') OR contains(l, 'bachelor') THEN 'Bachelor' WHEN contains(l, 'doctor') OR contains(l, 'phd') THEN 'PhD' ELSE 'Unknown' END AS study_level,
+CASE WHEN contains(source_url, 'licenta') THEN 'Licenta' ELSE 'Master' END AS url_level, CASE WHEN contains(source_url, 'licenta') THEN '4 ani' ELSE '2 ani' END AS url_duration FROM (SELECT uid, level, source_url, lower(coalesce(level, '')) AS l FROM programs)""",
+    "p14_languages": f"SELECT DISTINCT uid, CASE WHEN contains(l, 'englez') OR contains(l, 'english') THEN 'English' WHEN contains(l, 'francez') THEN 'French' ELSE 'Romanian' END AS language, CASE WHEN contains(l, 'englez') OR contains(l, 'english') THEN 'en' WHEN contains(l, 'francez') THEN 'fr' ELSE 'ro' END AS code FROM (SELECT uid, lower(name) AS l FROM {NAMES})",
     "p19_link_targets": f"""SELECT DISTINCT input_pos, address, regexp_extract(source_url, '^([a-z]+://[^/]*)', 1) || regexp_extract(address, '^[a-z]+://[^/]*(/.*)$', 1) AS rooted, regexp_replace(source_url, '[^/]*$', '') || regexp_extract(address, '([^/]*)$', 1) AS relative, regexp_extract(source_url, '^([a-z]+:)', 1) || regexp_replace(address, '^https?:', '') AS schemeless, address AS absolute
 FROM {_ADDR} WHERE address IS NOT NULL AND source_url IS NOT NULL""",
     "p20_host_counts": "SELECT regexp_extract(url, '^[a-z]+://([^/]*)', 1) AS host, count(*) AS n_docs, sum(n_chars) AS chars FROM documents GROUP BY 1",
-    "sc17_encoding": f"SELECT uid, name AS repaired FROM {NAMES} WHERE regexp_matches(name, '^[\\x00-\\x7făâîșțĂÂÎȘȚ]*$') AND regexp_matches(name, '[ăĂ]')",
+    "sc17_encoding": f"""SELECT uid, name AS as_stored, CASE WHEN regexp_matches(name, '[\\x{{100}}-\\x{{13f}}]') THEN name ELSE array_to_string(list_transform(range(0, length(hex(name)) // 2), lambda i: chr(('0x' || substring(hex(name), (2 * i + 1)::BIGINT, 2))::INT)), '') END AS repaired FROM {NAMES}""",
 }
 SQL = {(f"fn_{k}" if k[0] == "p" else k): s for k, s in SQL.items()}

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import random
+
+import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from admitta.functions import identity, parse, text
-from admitta.functions.fuzzy import common_subsequence, indel_ratio, partial_ratio, token_set_ratio
+from admitta.functions.fuzzy import common_subsequence, indel_ratio, indel_ratios, partial_ratio, partial_ratios, token_set_ratios
 
 
 def one(spark, value, fn, kind="string"):
@@ -42,6 +45,19 @@ def test_spots_and_courses(spark):
 words = st.text("abcd ", max_size=14)
 
 
+def token_set_ratio(a, b):
+    """The definition, one pair at a time."""
+    x, y = set(a.split()), set(b.split())
+    both, only_x, only_y = sorted(x & y), sorted(x - y), sorted(y - x)
+    if not x or not y:
+        return 0.0
+    if both and (not only_x or not only_y):
+        return 100.0
+    shared, left, right = " ".join(both), " ".join([*both, *only_x]), " ".join([*both, *only_y])
+    best = indel_ratio(left, right)
+    return max(best, indel_ratio(shared, left), indel_ratio(shared, right)) if both else best
+
+
 @given(words, words)
 def test_similarities(a, b):
     assert 0 <= indel_ratio(a, b) <= 100 and indel_ratio(a, a) == 100
@@ -56,8 +72,18 @@ def test_similarities(a, b):
     assert common_subsequence(a, b) == table[-1][-1]
 
 
+def test_ratios_of_many_pairs():
+    rnd = random.Random(2)
+    some = lambda: "".join(rnd.choice("abc \0ș") for _ in range(rnd.choice((0, 1, 5, 30, 63, 64, 65, 90))))
+    pairs = [(some(), some()) for _ in range(600)] + [("x", "x"), ("", "")]
+    a, b = [x for x, _ in pairs], [y for _, y in pairs]
+    for many, one_pair in ((indel_ratios, indel_ratio), (partial_ratios, partial_ratio), (token_set_ratios, token_set_ratio)):
+        assert np.allclose(many(a, b), [one_pair(x, y) for x, y in pairs], atol=1e-9)
+        assert len(many([], [])) == 0
+
+
 def test_similarity_corner_cases():
-    assert token_set_ratio("", "") == 0 and token_set_ratio("a b", "b a c") == 100 and indel_ratio("", "") == 100 and partial_ratio("", "x") == 0
+    assert token_set_ratios([""], [""])[0] == 0 and token_set_ratios(["a b"], ["b a c"])[0] == 100 and indel_ratio("", "") == 100 and partial_ratio("", "x") == 0
 
 
 @pytest.mark.parametrize("name", ["DREPT (ÎN LIMBA ENGLEZĂ)", "ȘTIINȚE POLITICO-ADMINISTRATIVE", "GRAFICĂ 3D / D'ARTA", "Drept (în limba engleză)", "INFORMATICĂ \u2003 (ZI)"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,10 +45,49 @@ def test_ranking(spark):
 def test_pair_scores(spark, a, b, want):
     p = spark.createDataFrame([("f", "1", *a)], "s string, pid string, name string, level string, domain string")
     r = spark.createDataFrame([("f", "9", *b)], "s string, rid string, program_name string, level string, domain string")
-    got = match.score_pairs(match.candidate_pairs(p, r, ["s"])).collect()
-    assert [round(x.score, 6) for x in got] == ([] if want is None else [want])
-    best = match.best_rows(p, match.score_pairs(match.candidate_pairs(p, r, ["s"])), ["pid"]).first()
-    assert (best.status, best.accepted) == (("no_match", False) if want is None else ("match", True))
+    best = match.best_rows(p, r, ["s"]).first()
+    assert (round(best.score, 6), best.status, best.accepted) == ((0.0, "no_match", False) if want is None else (want, "match", True))
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    pair = p.select(match.comparable(F.col("name")).alias("a"), low("level").alias("la"), low("domain").alias("da")).crossJoin(r.select(match.comparable(F.col("program_name")).alias("b"), low("level").alias("lb"), low("domain").alias("db")))
+    assert round(match.pair_scores(pair).first().score, 6) == (want or 0.0)
+
+
+def test_best_rows_against_all_pairs(spark, monkeypatch):
+    """Blocks and pruning change nothing: the best two rows are those of scoring every pair."""
+    monkeypatch.setattr(match, "BLOCK", 3)
+    rnd = random.Random(5)
+    words = ["calculatoare", "drept", "penal", "mecanica", "eng", "auto", "limba", "romana", "x", "studii " * 12]
+    name = lambda: rnd.choice([None, "", *(" ".join(rnd.sample(words, rnd.randint(1, 4))) for _ in range(6))])
+    some = lambda *v: rnd.choice(v)
+    ps = [(some("f", "f", "g", None), f"p{i}", name(), some("Licenta", "Master", None), some("Drept", "drept civil", None), "clash") for i in range(40)]
+    rs = [(some("f", "f", "h", None), f"r{i % 25}", name(), some("licenta", "master", None), some("drept", None), 1) for i in range(30)]
+    p = spark.createDataFrame(ps, "s string, pid string, name string, level string, domain string, item string")
+    r = spark.createDataFrame(rs, "s string, rid string, program_name string, level string, domain string, q int")
+    got = {x.pid: (round(x.score, 9), x.rid, x.status) for x in match.best_rows(p, r, ["s"]).collect()}
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    left = p.select("s", "pid", match.comparable(F.col("name")).alias("a"), low("level").alias("la"), low("domain").alias("da"))
+    right = r.select("s", "rid", match.comparable(F.col("program_name")).alias("b"), low("level").alias("lb"), low("domain").alias("db")).dropDuplicates()
+    scored: dict[str, list] = {x[1]: [] for x in ps}
+    for x in match.pair_scores(left.join(right, "s")).where(f"score > {match.KEPT}").collect():
+        scored[x.pid].append((-x.score, x.rid))
+    for pid, found in scored.items():
+        best = {}
+        for minus, rid in sorted(found):
+            best.setdefault((rid, minus), None)
+        top = sorted((m, rid) for rid, m in best)[:2]
+        if not top:
+            assert got[pid] == (0.0, None, "no_match")
+            continue
+        status = "low_confidence" if -top[0][0] < 0.5 else "ambiguous" if len(top) > 1 and round(top[1][0] - top[0][0], 9) < 0.15 else "match"
+        assert got[pid] == (round(-top[0][0], 9), top[0][1], status)
+    none = match.best_rows(p.where("false"), r, ["s"])
+    assert none.count() == 0 and match.best_rows(p, r.where("false"), ["s"]).where("status = 'no_match'").count() == 40
+
+
+def test_grade_matches(spark):
+    p = spark.createDataFrame([("f", "1", "Drept penal"), ("f", "2", "Biologie"), ("f", "3", None), (None, "4", "Drept penal")], "s string, pid string, name string")
+    g = spark.createDataFrame([("f", "Penal, drept", 7.0, 2), ("f", "Drept penal", 8.0, 1), ("f", None, 5.0, 0), ("f", "", 6.0, 3)], "s string, grade_key string, min_grade double, key_pos int")
+    assert [(r.pid, r.grade_key, r.min_grade) for r in match.grade_matches(p, g, ["s"]).collect()] == [("1", "Drept penal", 8.0)]
 
 
 def test_arbitration_does_not_depend_on_order(spark):
@@ -73,7 +113,7 @@ def test_page(spark):
     assert got == {
         "Drept european": (50, 20, "html_text_parsed", "Licenta", "Drept european [Domain: Științe]"), "Inginerie software avansată": (None, None, "html_list_mixed", "Licenta", "Inginerie software avansată [Domain: Științe]"),
         "Biologie": (7, 3, "html_table_parsed", "Licenta", "Table: Biologie: biolog | B:7 T:3 [Domain: DOMENIUL X]"),
-    } or got["Biologie"][:4] == (7, 3, "html_table_parsed", "Licenta")
+    }
     nodes = html.dom_nodes(pages)
     assert [r.pdf_url for r in html.pdf_links(nodes).orderBy("input_pos").collect()] == ["https://a.ro/admitere/docs/Cifra.PDF", "https://a.ro/admitere/r.pdf"]
     assert [r.score for r in html.grade_links(nodes).collect()] == [15, 5]
@@ -108,8 +148,8 @@ def test_boilerplate(spark):
 
 
 def test_retrieval(spark, program):
-    row = publish.retrieval_text(program({"uid": "1234567890ab", "name": "Calculatoare (în limba engleză)", "faculty_slug": "ace", "level": "Licenta", "spots_budget": 5}), 2026).first()
-    assert row.program_id == "ucv_ace_12345678" and row.language == "en" and {"computer science", "international"} <= set(row.keywords) and row.text_for_embedding.startswith("[FACTS]")
+    row = publish.retrieval_text(program({"uid": "1234567890ab", "name": "Calculatoare (în limba engleză)", "faculty_slug": "ace", "level": "Licenta", "spots_budget": 5}), 2026, "uni").first()
+    assert row.program_id == "uni_ace_12345678" and row.language == "en" and {"computer science", "international"} <= set(row.keywords) and row.text_for_embedding.startswith("[FACTS]")
 
 
 def _snap(uid, run, h, at=1, **v):

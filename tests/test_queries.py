@@ -32,11 +32,6 @@ def test_runs(spark, name):
     assert catalog.queries()[name](spark, FOLDER).count() >= 0
 
 
-def test_display_names_of_all_names(spark):
-    names = catalog.queries()["n10_display_name_all"](spark, FOLDER)
-    assert names.count() == spark.read.parquet(f"{FOLDER}/programs.parquet").select("uid", "name").distinct().count()
-
-
 def test_rows_of_shared_papers_meet_each_faculty(spark, tmp_path):
     from pyspark.sql import functions as F
 
@@ -45,23 +40,15 @@ def test_rows_of_shared_papers_meet_each_faculty(spark, tmp_path):
     t["programs"] = t["programs"].unionByName(t["programs"].withColumn("faculty_slug", F.concat("faculty_slug", F.lit("-b"))))
     for n, df in t.items():
         df.write.parquet(f"{tmp_path}/{n}.parquet")
-    for name in ("j1_fuzzy_match", "j5_grade_match", "j1_edit_match_all", "x1_subset_pairs_all"):
+    for name in ("j1_fuzzy_match", "j5_grade_match"):
         query = catalog.queries()[name]
         once = query(spark, FOLDER).count()
         assert once and query(spark, str(tmp_path)).count() == 2 * once
 
 
-def test_faculty_uids_of_all_faculties(spark, tmp_path):
-    from hashlib import sha256
-
-    spark.createDataFrame([(1, "a"), (500, "b")], "pos int, slug string").write.parquet(f"{tmp_path}/faculties.parquet")
-    spark.createDataFrame([("p", "a"), ("q", "b"), ("r", "c")], "uid string, faculty_slug string").write.parquet(f"{tmp_path}/programs.parquet")
-    got = {r.program_uid: r.resolved_faculty_uid for r in catalog.queries()["j6_faculty_uids_all"](spark, str(tmp_path)).collect()}
-    assert got == {u: sha256(t.encode()).hexdigest() for u, t in (("p", "listed:a"), ("q", "listed:b"), ("r", "faculty:c"))}
-
-
 def test_encoding_of_all_names(spark, tmp_path):
     names = {"a": "Informatică", "b": "Științe", "c": "Drept", "d": "Право", "e": None}
     spark.createDataFrame(list(names.items()), "uid string, name string").write.parquet(f"{tmp_path}/programs.parquet")
-    got = {r.uid: r.repaired for r in catalog.queries()["sc17_encoding_all"](spark, str(tmp_path)).collect()}
-    assert got == {"a": "Informatică", "b": "Științe".encode().decode("latin-1"), "c": "Drept", "d": "Право".encode().decode("latin-1"), "e": None}
+    got = {r.uid: (r.as_stored, r.repaired) for r in catalog.queries()["sc17_encoding"](spark, str(tmp_path)).collect()}
+    wrong = {k: n and n.encode().decode("latin-1") for k, n in names.items()} | {"a": "Informatică"}
+    assert got == {k: (n, wrong[k]) for k, n in names.items()}
