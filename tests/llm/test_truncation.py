@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from admitta.llm.truncation import examine, report, tail
@@ -84,3 +85,62 @@ def test_share_of_a_word_standing_alone(spark):
     rows = [(i, "s", f"Contestația {i} se depune. Contestația se judecă.") for i in range(1200)] + [(5000 + i, "s", f"Cuvântul con {i} rămâne.") for i in range(4)]
     rows += [(9000, "t", "Comisia judecă con")]
     assert [r.evidence for r in examine(spark.createDataFrame(rows, "doc_id long, source string, text string")).where("doc_id = 9000").collect()] == ["half word"]
+
+
+@pytest.mark.parametrize(
+    ("text", "state", "token"),
+    [
+        ("Taxa nu se rest" + "<br/>&nbsp;\n" * 1500, "loose", "rest"), ("Taxa nu se restituie." + "</p>\n" * 5000, "whole", None), ("departaj&#82", "cut", None), ("dipl\\u02", "cut", None), ("text <a href='https://x.example/" + "y" * 300, "cut", None),
+        ("un <b\n>doi trei", "loose", "trei"), ("a " * 5000 + "rest", "loose", "rest"), ("&#39;", "whole", None), ("Anunț… citește mai mult »", "cut", None), ("Preț 3 < 5 lei", "loose", "lei"),
+    ],
+)
+def test_ends_behind_markup_and_in_long_lines(text, state, token):
+    found = tail(text)
+    assert (found["state"], found["token"]) == (state, token)
+
+
+def test_context_reaches_over_a_tag_of_two_lines():
+    assert tail("unu <b\nclass='x'>doi trei")["c3"] == "unu doi trei"
+    assert tail("zero\nunu doi")["c3"] == "^ unu doi"
+
+
+def test_long_words_are_in_the_trie(spark):
+    word = "abcdefghij" * 12
+    rows = [(i, "s", f"Cuvântul {word} numărul {i} este lung.") for i in range(5)] + [(100, "t", f"Aici este {word[:100]}")]
+    assert [r.evidence for r in examine(spark.createDataFrame(rows, "doc_id long, source string, text string")).where("truncated").collect()] == ["half word"]
+
+
+def test_counts_against_a_plain_loop():
+    """Words and contexts of all texts, counted one token at a time."""
+    import random
+
+    from admitta.llm.truncation import ENDS, FILTER_BITS, TokenCounter, slot, tokens_of
+
+    rnd = random.Random(4)
+    texts = [(" ".join(rnd.choice(["Unu", "doi", "2,5", "trei.", "patru\n", "(cinci", "-", "șase"]) for _ in range(rnd.randint(0, 30))), rnd.randint(1, 3)) for _ in range(80)]
+    wanted = np.zeros(FILTER_BITS, dtype=bool)
+    for key in ("doi", "^ doi", "unu doi", "^ unu doi", "0", "șase", "doi șase", "unu doi șase"):
+        wanted[slot(key)] = True
+    want: dict = {}
+    for text, copies in texts:
+        tokens, a, b = tokens_of(text), "^", "^"
+        for i, t in enumerate(tokens[:-1]):
+            if t in ENDS:
+                a = b = "^"
+            elif t[0].isalnum():
+                w, ended = "0" if t[0].isdigit() else t, tokens[i + 1] in ENDS
+                keys = [("context", k) for k in (w, f"{b} {w}", f"{a} {b} {w}") if wanted[slot(k)]] + ([("word", w)] if w != "0" else [])
+                for k in keys:
+                    n = want.setdefault(k, [0, 0, 0])
+                    n[ended] += 1
+                    n[2] += copies
+                a, b = b, w
+    got: dict = {}
+    counter = TokenCounter(wanted)
+    for part in (texts[:30], texts[30:]):
+        for kind, keys, went, ended, n in counter.count([(tokens_of(t), c) for t, c in part]):
+            for row in zip(keys, went, ended, n):
+                have = got.setdefault((kind, row[0]), [0, 0, 0])
+                for k in range(3):
+                    have[k] += int(row[k + 1])
+    assert got == want
