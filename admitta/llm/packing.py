@@ -268,34 +268,42 @@ def plan_containers(documents: DataFrame, budgets: DataFrame, vocabulary: str =
     return Plan(items, total, {b: pack(counts[b], c) for b, c in listed}, counts)
 
 
+class _Places:
+    """The slots of one packing as sorted arrays: sizes, the stretch of slots of each size, and the rooms left."""
+
+    def __init__(self, packing: Packing):
+        slots = np.array(sorted((size, at, per, first) for size, at, per, first, _ in packing.slots), dtype="int64").reshape(-1, 4)
+        self.size, self.at, self.per, self.first = slots.T
+        rooms = np.array(sorted((first, room) for room, ranges in packing.room.items() for first, n in ranges if n), dtype="int64").reshape(-1, 2)
+        self.from_container, self.room = rooms.T
+
+    def of(self, size: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Container and room left there of pieces by their rank among equal sizes; each size is searched in its own slots."""
+        number = np.zeros(len(size), dtype="int64")
+        order = np.argsort(size, kind="stable")
+        kinds, begins = np.unique(size[order], return_index=True)
+        for one, rows in zip(kinds, np.split(order, begins[1:])):
+            low, high = np.searchsorted(self.size, [one, one + 1])
+            slot = low + np.searchsorted(self.at[low:high], rank[rows], side="right") - 1
+            number[rows] = self.first[slot] + (rank[rows] - self.at[slot]) // self.per[slot]
+        return number, self.room[np.searchsorted(self.from_container, number, side="right") - 1]
+
+
 def assign(plan: Plan) -> DataFrame:
     """(budget_id, doc_id, piece_no, token_from, n_tokens, container_id, unused_tokens).
 
     ``unused_tokens`` is the space left in that container. Documents of no tokens take no space and
     get a null container.
     """
-    ids = sorted(plan.packings)
-    key: list[int] = []
-    slot: list[tuple[int, int, int]] = []
-    room_key: list[int] = []
-    room_left: list[int] = []
-    for i, b in enumerate(ids):
-        p = plan.packings[b]
-        for size, at, per, first, _ in sorted(p.slots):
-            key.append(_place(i, size, at))
-            slot.append((at, per, first))
-        for first, left in sorted((first, room) for room, ranges in p.room.items() for first, n in ranges if n):
-            room_key.append(_place(i, 0, first))
-            room_left.append(left)
-    keys, slots = np.array(key, dtype="int64"), np.array(slot, dtype="int64").reshape(-1, 3)
-    room_keys, rooms = np.array(room_key, dtype="int64"), np.array(room_left, dtype="int64")
+    tables = {b: _Places(p) for b, p in plan.packings.items()}
 
     @F.pandas_udf("container long, unused long")
     def container(budget: pd.Series, size: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        i = np.searchsorted(np.array(ids), budget.to_numpy())
-        at = np.searchsorted(keys, _place(i, size.to_numpy().astype("int64"), rank.to_numpy()), side="right") - 1
-        number = slots[at, 2] + (rank.to_numpy() - slots[at, 0]) // slots[at, 1]
-        left = rooms[np.searchsorted(room_keys, _place(i, 0, number), side="right") - 1]
+        b, s, r = budget.to_numpy(), size.to_numpy(), rank.to_numpy()
+        number, left = np.zeros(len(b), dtype="int64"), np.zeros(len(b), dtype="int64")
+        for one in np.unique(b):
+            rows = b == one
+            number[rows], left[rows] = tables[one].of(s[rows], r[rows])
         return pd.DataFrame({"container": number, "unused": left})
 
     cells = max(1, plan.total // CELL_ROWS + 1)
@@ -307,11 +315,6 @@ def assign(plan: Plan) -> DataFrame:
     return out.unionByName(none)
 
 
-def _place(budget, size, at):
-    """Order of budget, size and rank in one number: 2^7 budgets apart by 2^55, sizes by 2^35."""
-    return budget * 2**55 + size * 2**35 + at
-
-
 def report(plan: Plan, spark: SparkSession) -> DataFrame:
     """Per budget: containers, those fixed by dominance, the lower bound, tokens and unused space."""
     rows = []

@@ -1,5 +1,9 @@
+import random
+
 import pytest
 
+import admitta.llm.mixing as mixing
+
 from admitta.llm.mixing import draw, plan_mix, shares
 
 TARGETS = [("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, 5), (None, 0.3, 1), ("d", 0.0, 1), ("e", 0.1, 0)]
@@ -59,3 +63,26 @@ def test_no_targets_and_missing_source(spark):
     assert draw(plan_mix(d, targets.where("false"))).count() == 0
     got = {r.source: r.tokens_used for r in shares(plan_mix(d, targets)).collect()}
     assert got["c"] == 0 and got["a"] > 0
+
+
+def test_few_documents_meet_the_shares(spark):
+    """A share worth less than three documents still comes close, as the offset is chosen."""
+    rnd = random.Random(7)
+    docs = [(i, "abc"[i % 3], "cuvinte de proba " * rnd.randint(1, 60)) for i in range(600)]
+    targets = [("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, 5)]
+    d, t = frames(spark, docs, targets)
+    for r in shares(plan_mix(d, t, total_tokens=3000)).collect():
+        assert abs(r.share_error) < 0.02 and abs(r.actual_share - r.target_share - r.share_error) < 1e-12
+
+
+def test_histogram_and_documents_agree(spark, monkeypatch):
+    """What an offset gives, read off the sizes, is what the documents sum up to; cells of few rows change nothing."""
+    docs, targets = frames(spark, list(many()))
+    mix = plan_mix(docs, targets)
+    whole = {(r.source, r.n_tokens, r.use_count): 0 for r in draw(mix).collect()}
+    monkeypatch.setattr(mixing, "CELL_ROWS", 20)
+    tokens = {}
+    for r in draw(mix).collect():
+        assert (r.source, r.n_tokens, r.use_count) in whole
+        tokens[r.source] = tokens.get(r.source, 0) + r.n_tokens * r.use_count
+    assert tokens == {r.source: r.tokens_used for r in shares(mix).collect() if r.tokens_used}

@@ -137,3 +137,16 @@ def test_hot_size_is_spread(spark):
         packing.CELL_ROWS = old
     n = len(encoder(VOCABULARY).encode_ordinary("un text scurt"))
     assert set(load.values()) <= {10 // n, 3000 % (10 // n)} and sum(load.values()) == 3000
+
+
+def test_large_capacities_and_many_budgets(spark):
+    """Capacities beyond 2^20 tokens and hundreds of budgets keep every piece in a container of its own budget."""
+    docs = spark.createDataFrame([(i, "cuvinte de proba " * (1 + i % 9), "s") for i in range(30)], "doc_id long, text string, source string")
+    budgets = [(i, "b", 40 + i) for i in range(300)] + [(1000, "b", 1 << 21), (1001, "b", 2**31 - 1)]
+    load: dict[tuple[int, int], int] = defaultdict(int)
+    rows = assign(plan_containers(docs, spark.createDataFrame(budgets, "budget_id int, budget_name string, capacity_tokens int"))).collect()
+    for r in rows:
+        load[r.budget_id, r.container_id] += r.n_tokens
+    capacity = {b: c for b, _, c in budgets}
+    assert {b for b, _ in load} == set(capacity)
+    assert all(load[r.budget_id, r.container_id] + r.unused_tokens == capacity[r.budget_id] for r in rows)
