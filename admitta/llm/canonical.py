@@ -32,6 +32,8 @@ SEARCHED = ((7, 3), (4, 2), (0, 0))
 ALLOWED = ((12, 3), (7, 2), (4, 1), (0, 0))
 REORDERED = ((7, 3, 1), (4, 2, 0))
 MOST_EDITS = 3
+#: Choices of one target per word that are written out; names with more are compared with each entry of their length.
+MOST_CHOICES = 1000
 
 
 def _by_length(length: Column, steps: tuple[tuple[int, int], ...]) -> Column:
@@ -117,6 +119,12 @@ def similar_words(words: DataFrame, refs: DataFrame) -> DataFrame:
     return near.withColumn("_least", least).where("edits = _least").drop("_least")
 
 
+def _choices(places: Column) -> Column:
+    """Every choice of one target per place, with the sum of the edits."""
+    start = F.array(F.struct(F.array().cast("array<string>").alias("t"), F.lit(0).alias("e")))
+    return F.aggregate(places, start, lambda acc, p: F.flatten(F.transform(acc, lambda a: F.transform(p["o"], lambda o: F.struct(F.concat(a["t"], F.array(o["target"])).alias("t"), (a["e"] + o["edits"]).alias("e"))))))
+
+
 def map_names(records: DataFrame, catalog: DataFrame) -> DataFrame:
     """(origin, record_key, catalog_id, edits) of the records whose name means an entry.
 
@@ -137,10 +145,14 @@ def map_names(records: DataFrame, catalog: DataFrame) -> DataFrame:
     # every choice of one target per position, as a sorted list, is looked up among the entries' lists
     places = options.groupBy("ws", "lang", "pos").agg(F.collect_set(F.struct("target", F.col("edits").cast("int").alias("edits"))).alias("o"))
     whole = places.groupBy("ws", "lang").agg(F.array_sort(F.collect_list(F.struct("pos", "o"))).alias("ps")).where(F.size("ps") == F.size("ws"))
-    start = F.array(F.struct(F.array().cast("array<string>").alias("t"), F.lit(0).alias("e")))
-    grown = F.aggregate("ps", start, lambda acc, p: F.flatten(F.transform(acc, lambda a: F.transform(p["o"], lambda o: F.struct(F.concat(a["t"], F.array(o["target"])).alias("t"), (a["e"] + o["edits"]).alias("e"))))))
-    chosen = whole.select("ws", "lang", F.explode(grown).alias("c")).select("ws", "lang", F.array_sort("c.t").alias("words"), F.col("c.e").alias("edits"))
-    whole = chosen.join(entries, ["lang", "words"])
+    choices = F.aggregate("ps", F.lit(1.0), lambda acc, p: acc * F.size(p["o"]))
+    few = whole.where(choices <= MOST_CHOICES).select("ws", "lang", F.explode(_choices(F.col("ps"))).alias("c")).select("ws", "lang", F.array_sort("c.t").alias("words"), F.col("c.e").alias("edits"))
+    listed = entries.withColumn("n", F.size("words"))
+    # of many choices only those among the words of one entry
+    many = whole.where(choices > MOST_CHOICES).withColumn("n", F.size("ws")).join(listed, ["lang", "n"])
+    many = many.withColumn("ps", F.transform("ps", lambda p: F.struct(p["pos"].alias("pos"), F.filter(p["o"], lambda o: F.array_contains(F.col("words"), o["target"])).alias("o"))))
+    many = many.where(F.forall("ps", lambda p: F.size(p["o"]) > 0)).select("ws", "lang", F.explode(_choices(F.col("ps"))).alias("c")).select("ws", "lang", F.array_sort("c.t").alias("words"), F.col("c.e").alias("edits"))
+    whole = few.unionByName(many).join(entries, ["lang", "words"])
     first = Window.partitionBy("ws").orderBy("edits", "catalog_id")
     meant = whole.withColumn("place", F.row_number().over(first)).where("place = 1").select("ws", "catalog_id", "edits")
     return worded.join(meant, "ws").select("origin", "record_key", "catalog_id", "edits").dropDuplicates(["origin", "record_key", "catalog_id"])

@@ -1,18 +1,22 @@
 """Matching records that name the same study programme without a shared key (problem 1).
 
-A cascade of rules joins table rows to programmes. Each rule is an exact join on faculty and a key
-made of the words of the name, from whole words to three of their beginnings, with level and language
-that do not contradict; a word-by-word check confirms each joined pair. Rows that a rule resolves are
-taken out by an anti-join before the next, weaker rule. A rule's confidence is its precision on
-labelled pairs, which are records of ``programs`` with a known program_id, smoothed.
+A cascade of rules joins table rows to programmes. Every rule is an exact join on the faculty and a
+combination of attributes, each weaker than the one before: all words of the name with level and
+language, with one of them, with neither, then the beginnings of all words. Rows that a rule resolves
+are taken out by an anti-join before the next one. The last rule joins what is left on parts of the
+name (all but one beginning, three beginnings, all endings) and lets a word-by-word check decide.
+Attributes that a rule doesn't join on must not contradict.
+
+A rule's confidence is its smoothed precision on labelled records, those with a known program_id: a
+bounded sample of them goes through the same cascade as rows whose programme is to be found, so each
+rule is measured on what the rules before it leave over.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from admitta.functions.fold import fold
 from admitta.llm.canonical import name_words
@@ -20,24 +24,21 @@ from admitta.llm.lookalike import CONFUSABLE
 from admitta.session import materialize
 from admitta.sources.tables import table
 
-#: Headings, totals and navigation texts, in folded spelling; they name no programme.
-NO_PROGRAMME = (
-    r"\b(calendar|admiter\w*|taxe de|harta site|inapoi la|program cu publicul|acte necesare|noutati|evenimente|pagina urmatoare|descarca|formular\w*"
-    r"|rezultate|cazare|deschide anexa|atentie|sesiune suplimentara|programe oferite|sub ?total|total|nr\.? ?crt\.?|denumire|intrebari despre)\b"
-)
 #: How the three levels are written.
 LEVELS = {"L": r"^(l|licenta|bachelor|studii (universitare )?de licenta|ciclul i)$", "M": r"^(m|master|masterat|studii (universitare )?de master|ciclul ii)$", "D": r"^(d|doctorat|phd|studii (universitare )?de doctorat|ciclul iii)$"}
 #: Marks of the language of instruction inside names, in folded spelling.
 LANGUAGES = {"en": r"\b(english|englez\w*|engl?\b|en\b)", "fr": r"\b(french|francais|francez\w*|fr\b)"}
 ANY_FACULTY = "*"
-#: Rule names, strongest first.
-RULES = ("all words", "all beginnings", "all endings", "all beginnings but one", "three beginnings")
-#: Letters of a word's beginning or ending.
-CODE = 3
-#: Between the parts of a key of the labelled pairs.
-_SPLIT = "\x01"
-#: Labelled records that a rule's confidence is measured on.
+#: Rule names, strongest first. The numbers of the rules are their places.
+RULES = ("words, level and language", "words and level", "words and language", "words", "beginnings of all words", "alike word by word")
+#: Letters of a beginning that stands for its word, and of the parts that only find candidates for the check.
+BEGINNING, PART = 5, 3
+#: Beginnings up to which a name gives all its triples; a longer one is found by each single beginning instead.
+MOST_TRIPLED = 12
+#: Labelled records that the rules' confidence is measured on.
 LABELLED = 2000
+#: Share of the words of a record without program_id that names with one must have.
+KNOWN_SHARE = 0.5
 
 
 def plain_name(name: Column) -> Column:
@@ -73,10 +74,8 @@ def faculty_of(slug: Column) -> Column:
 
 
 def subject_words(name: Column) -> Column:
-    """Distinct content words of a name; misspelt joining words are left out. Empty for texts that name no programme."""
-    words = F.filter(name_words(plain_name(name)), lambda w: F.levenshtein(w["word"], F.lit("pentru")) > 2)
-    noise = fold(plain_name(name), CONFUSABLE).rlike(NO_PROGRAMME)
-    return F.when(noise, F.array().cast("array<struct<word:string,short:boolean>>")).otherwise(F.array_distinct(words))
+    """Distinct content words of a name; misspelt joining words are left out."""
+    return F.array_distinct(F.filter(name_words(plain_name(name)), lambda w: F.levenshtein(w["word"], F.lit("pentru")) > 2))
 
 
 def similar(a: Column, b: Column) -> Column:
@@ -100,13 +99,9 @@ def agrees(row: Column, programme: Column) -> Column:
     return (F.size(stray) == 0) & (F.size(missing) <= F.when(F.size(programme) >= 4, 1).otherwise(0))
 
 
-def _codes(words: Column, ends: bool = False) -> Column:
-    long = F.filter(words, lambda w: F.length(w["word"]) > CODE)
-    return F.array_sort(F.array_distinct(F.transform(long, lambda w: F.right(w["word"], F.lit(CODE)) if ends else F.substring(w["word"], 1, CODE))))
-
-
-def _without_one(codes: Column) -> Column:
-    return F.transform(codes, lambda c: F.array_join(F.array_remove(codes, c), " "))
+def _codes(words: Column, size: int = PART, ends: bool = False) -> Column:
+    long = F.filter(words, lambda w: F.length(w["word"]) > PART)
+    return F.array_sort(F.array_distinct(F.transform(long, lambda w: F.right(w["word"], F.lit(size)) if ends else F.substring(w["word"], 1, size))))
 
 
 def _triples(codes: Column) -> Column:
@@ -116,63 +111,66 @@ def _triples(codes: Column) -> Column:
     return F.flatten(F.transform(ends, lambda e: F.transform(F.sequence(e["i"] + 1, e["k"] - 1), lambda j: F.array_join(F.array(F.get(codes, e["i"] - 1), F.get(codes, j - 1), F.get(codes, e["k"] - 1)), " "))))
 
 
-def keys(rule: str, words: Column) -> Column:
-    """The join keys of a name under a rule; none where the name has too few words for it."""
-    codes, none = _codes(words), F.array().cast("array<string>")
-    if rule == "all words":
-        return F.array(F.array_join(F.array_sort(F.transform(words, lambda w: w["word"])), " "))
-    if rule == "all beginnings":
-        return F.when(F.size(codes) > 0, F.array(F.array_join(codes, " "))).otherwise(none)
-    if rule == "all endings":
-        ends = _codes(words, True)
-        return F.when(F.size(ends) > 0, F.array(F.array_join(ends, " "))).otherwise(none)
-    if rule == "all beginnings but one":
-        return F.when(F.size(codes) >= 2, F.array_union(F.array(F.array_join(codes, " ")), _without_one(codes))).otherwise(none)
-    return F.when(F.size(codes) >= 3, F.array_distinct(_triples(codes))).otherwise(none)
-
-
-def joined(rules: Sequence[str], rows: DataFrame, programmes: DataFrame, any_faculty: bool = False, few: bool = False) -> DataFrame:
-    """(rule, row_id, pid, row_lang, lang) of the pairs each rule joins and the check confirms.
-
-    ``few`` rows are broadcast. With ``any_faculty`` rows without a faculty of their own look in all of them. A pair that shares
-    several keys of three beginnings is checked at one of them only: its first three common ones.
-    """
+def exact_key(rule: int, words: Column, level: Column, language: Column) -> Column:
+    """The join key of a name under an exact rule; null where an attribute of the rule is unknown."""
+    if rule == 4:
+        codes = _codes(words, BEGINNING)
+        return F.when(F.size(codes) > 0, F.array_join(codes, " "))
+    text = F.array_join(F.array_sort(F.transform(words, lambda w: w["word"])), " ")
+    return F.concat(text, *(F.concat(F.lit("|"), c) for c in ((level, language), (level,), (language,), ())[rule]))
 
-    def tagged(rule: str, ws: Column) -> Column:
-        return F.transform(keys(rule, ws), lambda k: F.struct(F.lit(RULES.index(rule)).alias("rule"), k.alias("key")))
 
-    def listed(ws: Column) -> Column:
-        return F.flatten(F.array(*(tagged(r, ws) for r in rules)))
+def candidate_keys(words: Column, is_row: bool) -> Column:
+    """Keys that names which may be alike word by word have in common.
 
-    left = rows.select("row_id", "fac", F.col("lvl").alias("row_lvl"), F.col("lang").alias("row_lang"), F.col("ws").alias("row_ws"), F.explode(listed(F.col("ws"))).alias("x")).select("*", "x.*").drop("x")
-    right = programmes.select("pid", "lvl", "lang", "ws", "fac", F.explode(listed(F.col("ws"))).alias("x")).select("*", "x.*").drop("x")
-    if any_faculty:
-        right = right.withColumn("fac", F.explode(F.array("fac", F.lit(ANY_FACULTY))))
-    pairs = right.join(F.broadcast(left) if few else left, ["fac", "rule", "key"])
-    fits = (F.coalesce(F.col("row_lvl") == F.col("lvl"), F.lit(True))) & (F.col("row_lang").isNull() | F.coalesce(F.col("row_lang") == F.col("lang"), F.lit(True)))
-    pairs = pairs.where(fits)
-    if RULES[-1] in rules:
-        common = F.array_sort(F.array_intersect(_codes(F.col("row_ws")), _codes(F.col("ws"))))
-        pairs = pairs.where((F.col("rule") != len(RULES) - 1) | (F.col("key") == F.array_join(F.slice(common, 1, 3), " ")))
-    return pairs.where(agrees(F.col("row_ws"), F.col("ws"))).select("rule", "row_id", "pid", "row_lang", "lang").dropDuplicates()
+    All beginnings, all but one, three of them, and all endings. A name of more than ``MOST_TRIPLED``
+    beginnings has no triples: it meets the other side at single beginnings, which every name gives for
+    long names of the other side to find.
+    """
+    codes, none = _codes(words), F.array().cast("array<string>")
+    n, ends = F.size(codes), _codes(words, ends=True)
+    some = lambda cond, keys: F.when(cond, keys).otherwise(none)
+    tag = lambda mark, keys: F.transform(keys, lambda k: F.concat(F.lit(mark), k))
+    mine, theirs = ("r:", "p:") if is_row else ("p:", "r:")
+    all_but_one = F.transform(codes, lambda c: F.array_join(F.array_remove(codes, c), " "))
+    parts = (
+        some(n > 0, F.array(F.concat(F.lit("b:"), F.array_join(codes, " ")))), some(n >= 2, tag("b:", all_but_one)), some((n >= 3) & (n <= MOST_TRIPLED), tag("t:", _triples(codes))),
+        some(F.size(ends) > 0, F.array(F.concat(F.lit("e:"), F.array_join(ends, " ")))), some(n > MOST_TRIPLED, tag(mine, codes)), tag(theirs, codes),
+    )
+    return F.array_distinct(F.concat(*parts))
+
+
+def joined(rule: int, rows: DataFrame, programmes: DataFrame) -> DataFrame:
+    """(row_id, pid, row_lang, lang) of the pairs that a rule joins; for the last rule those that the check confirms."""
+    last = rule == len(RULES) - 1
+    key = lambda is_row: F.explode(candidate_keys(F.col("ws"), is_row)) if last else exact_key(rule, F.col("ws"), F.col("lvl"), F.col("lang"))
+    left = rows.select("row_id", "own", "fac", F.col("lvl").alias("row_lvl"), F.col("lang").alias("row_lang"), F.col("ws").alias("row_ws"), key(True).alias("key")).where("key IS NOT NULL")
+    right = programmes.select("pid", "fac", "lvl", "lang", "ws", "only_uid", key(False).alias("key")).where("key IS NOT NULL")
+    fits = F.coalesce(F.col("row_lvl") == F.col("lvl"), F.lit(True)) & F.coalesce(F.col("row_lang") == F.col("lang"), F.lit(True)) & ~F.coalesce(F.col("own") == F.col("only_uid"), F.lit(False))
+    pairs = right.join(left, ["fac", "key"]).where(fits)
+    if last:
+        pairs = pairs.dropDuplicates(["row_id", "pid", "ws", "row_ws"]).where(agrees(F.col("row_ws"), F.col("ws")))
+    return pairs.select("row_id", "pid", "row_lang", "lang")
 
 
 def choose(found: DataFrame) -> DataFrame:
-    """A row without a language mark means the programme in Romanian (or of untold language) where there is one."""
-    plain = found.groupBy("row_id").agg(F.max(F.coalesce(F.col("lang") == "ro", F.lit(True))).alias("has_plain"))
-    both = found.join(plain, "row_id")
-    foreign = F.col("row_lang").isNull() & F.col("has_plain") & F.coalesce(F.col("lang") != "ro", F.lit(False))
-    return both.where(~foreign).select("rule", "row_id", "pid").dropDuplicates()
-
-
-def cascade(rows: DataFrame, programmes: DataFrame, any_faculty: bool = False) -> DataFrame:
-    """(row_id, pid, rule): rule after rule over the rows that no stronger rule resolved."""
-    out, left = None, rows
-    for number, rule in enumerate(RULES):
-        found = materialize(choose(joined([rule], left, programmes, any_faculty)))
+    """(row_id, pid): a row without a language mark means the programme in Romanian (or of untold language) where there is one."""
+    plain = F.max(F.coalesce(F.col("lang") == "ro", F.lit(True))).over(Window.partitionBy("row_id"))
+    foreign = F.col("row_lang").isNull() & F.col("_plain") & F.coalesce(F.col("lang") != "ro", F.lit(False))
+    return found.withColumn("_plain", plain).where(~foreign).select("row_id", "pid").dropDuplicates()
+
+
+def cascade(rows: DataFrame, programmes: DataFrame) -> DataFrame:
+    """(row_id, pid, rule): rule after rule over the rows that no stronger rule resolved.
+
+    ``rows`` has row_id, own (a uid that must not be its own evidence, or null), fac, lvl, lang and ws;
+    ``programmes`` has pid, fac, lvl, lang, ws and only_uid (the uid that alone has these words, or null).
+    """
+    out = None
+    for rule in range(len(RULES)):
+        left = rows if out is None else rows.join(out.select("row_id"), "row_id", "left_anti")
+        found = materialize(choose(joined(rule, left, programmes)).withColumn("rule", F.lit(rule)))
         out = found if out is None else out.unionByName(found)
-        if number + 1 < len(RULES):
-            left = left.join(found.select("row_id").dropDuplicates(), "row_id", "left_anti")
     return out
 
 
@@ -194,55 +192,76 @@ def paper_rows(pdf_rows: DataFrame, queue: DataFrame) -> DataFrame:
     name = F.col("program_name")
     rows = pdf_rows.select("pdf_url", "row_idx", level_of(F.col("level"), F.lit(None).cast("string")).alias("lvl"), language_of(F.lit(None).cast("string"), F.regexp_replace(name, r"-\s*\n\s*", "")).alias("lang"), subject_words(name).alias("ws"))
     rows = rows.where("pdf_url IS NOT NULL AND row_idx IS NOT NULL AND size(ws) > 0").dropDuplicates()
-    return rows.join(owners, "pdf_url").withColumn("row_id", F.to_json(F.struct("pdf_url", "row_idx")))
+    return rows.join(owners, "pdf_url").withColumn("row_id", F.concat_ws("#", F.col("row_idx"), F.col("pdf_url")))
+
+
+def programmes_of(records: DataFrame) -> DataFrame:
+    """(pid, fac, lvl, lang, ws, only_uid) from records (uid, pid, fac, lvl, lang, ws).
+
+    Level and language told by any record of a programme hold for all its names.
+    """
+    foreign = F.struct(F.coalesce(F.col("lang") != "ro", F.lit(False)).alias("foreign"), F.col("lang").alias("lang"))
+    told = records.groupBy("pid").agg(F.max("lvl").alias("lvl"), F.max(foreign)["lang"].alias("lang"))
+    names = records.groupBy("pid", "fac", "ws").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"))
+    return names.join(told, "pid").select("pid", "fac", "lvl", "lang", "ws", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only_uid"))
 
 
-def with_group_traits(records: DataFrame) -> DataFrame:
-    """Level and language told by any record of a programme hold for all of its records."""
-    told = records.groupBy("pid").agg(F.max("lvl").alias("lvl"), F.max(F.struct(F.coalesce(F.col("lang") != "ro", F.lit(False)).alias("foreign"), F.col("lang").alias("lang")))["lang"].alias("lang"))
-    return records.select("uid", "pid", "fac", "ws").join(told, "pid")
+def like_programmes(lone: DataFrame, known: DataFrame) -> DataFrame:
+    """Records without program_id whose longer words are, for ``KNOWN_SHARE`` at least, words of names with one.
+
+    Headings and navigation texts of the pages have no program_id and other words.
+    """
+    long = lambda df: df.select("row_id", F.explode(F.filter(F.transform("ws", lambda w: w["word"]), lambda w: F.length(w) > PART)).alias("w"))
+    words = known.select(F.explode("ws.word").alias("w")).dropDuplicates().withColumn("hit", F.lit(1))
+    share = long(lone).join(words, "w", "left").groupBy("row_id").agg((F.count("hit") / F.count(F.lit(1))).alias("share")).where(F.col("share") >= KNOWN_SHARE)
+    return lone.join(share.select("row_id"), "row_id", "left_semi")
 
 
-def rule_confidence(records: DataFrame, prior: float = 0.5, weight: float = 2.0, labelled: int = LABELLED) -> DataFrame:
-    """(rule, joined_pairs, right_pairs, confidence) on records with a known program_id.
+def rule_confidence(found: DataFrame, weight: float = 4.0) -> DataFrame:
+    """(rule, joined_pairs, right_pairs, confidence) from pairs (rule, pid, program_id) of labelled rows.
 
-    Each rule joins a bounded sample of ``labelled`` records, chosen by hash, to all other records of
-    their faculties; a pair is right when both have the same program_id. ``prior`` counts as
-    ``weight`` more pairs. Names of more than twelve words are not sampled, so the sample has a
-    bounded size.
+    The precision of all pairs, itself smoothed by one right and one wrong pair, counts as ``weight``
+    more pairs of each rule. A rule is never surer than a stronger one.
     """
-    names = records.where("NOT lone").select(F.concat_ws(_SPLIT, "pid", "uid").alias("pid"), "fac", "lvl", "lang", "ws").dropDuplicates()
-    as_rows = names.where("size(ws) <= 12").orderBy(F.xxhash64("pid"), "pid").limit(labelled).withColumnRenamed("pid", "row_id")
-    pairs = joined(RULES, as_rows, names, few=True).where("row_id <> pid")
-    right = F.substring_index("row_id", _SPLIT, 1) == F.substring_index("pid", _SPLIT, 1)
-    out = pairs.groupBy("rule").agg(F.count(F.lit(1)).alias("joined_pairs"), F.count_if(right).alias("right_pairs"))
-    every = names.sparkSession.range(len(RULES)).select(F.col("id").cast("int").alias("rule"))
-    out = every.join(out, "rule", "left").fillna(0)
-    return out.withColumn("confidence", (F.col("right_pairs") + prior * weight) / (F.col("joined_pairs") + weight))
+    right = F.col("pid") == F.col("program_id")
+    seen = found.groupBy("rule").agg(F.count(F.lit(1)).alias("joined_pairs"), F.count_if(right).alias("right_pairs"))
+    every = found.sparkSession.range(len(RULES)).select(F.col("id").cast("int").alias("rule")).join(seen, "rule", "left").fillna(0)
+    # one row per rule
+    every_rule = Window.partitionBy()
+    pooled = (F.sum("right_pairs").over(every_rule) + 1.0) / (F.sum("joined_pairs").over(every_rule) + 2.0)
+    sure = every.withColumn("confidence", (F.col("right_pairs") + pooled * weight) / (F.col("joined_pairs") + weight))
+    return sure.withColumn("confidence", F.min("confidence").over(every_rule.orderBy("rule").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
 
-def match_programmes(programs: DataFrame, pdf_rows: DataFrame, queue: DataFrame) -> DataFrame:
+def match_programmes(programs: DataFrame, pdf_rows: DataFrame, queue: DataFrame, labelled: int = LABELLED) -> DataFrame:
     """(uid, pdf_url, row_idx, rule, confidence): one row per pair that means the same programme.
 
     Records that share a program_id stand for one programme; records without one are first attached
     to the programmes by the same cascade, or stand for themselves. Nulls in key columns, texts that
-    name no programme and papers that no faculty owns give no row; repeated rows give one.
+    name no programme and papers that no faculty owns give no row; repeated rows give one. ``rule`` is
+    the strongest rule that joined the pair, and ``confidence`` is that rule's.
     """
     records = materialize(programme_records(programs))
-    known = with_group_traits(records.where("program_id IS NOT NULL").withColumn("pid", F.col("program_id")))
-    lone = records.where("program_id IS NULL").withColumn("row_id", F.col("uid"))
-    attached = cascade(lone, known.drop("uid").dropDuplicates()).select(F.col("row_id").alias("uid"), F.col("pid").alias("home"))
-    placed = lone.join(attached, "uid", "left").withColumn("pid", F.coalesce("home", F.concat(F.lit("uid:"), F.col("uid"))))
-    everyone = records.where("program_id IS NOT NULL").select("uid", F.col("program_id").alias("pid"), "fac", "lvl", "lang", "ws").withColumn("lone", F.lit(False))
-    everyone = everyone.unionByName(placed.select("uid", "pid", "fac", "lvl", "lang", "ws").withColumn("lone", F.lit(True)))
-    everyone = materialize(everyone)
-    programmes = materialize(with_group_traits(everyone).drop("uid").dropDuplicates())
+    known = records.where("program_id IS NOT NULL").withColumn("pid", F.col("program_id"))
+    named = materialize(programmes_of(known))
+    lone = like_programmes(records.where("program_id IS NULL").withColumn("row_id", F.concat(F.lit("lone:"), F.col("uid"))), named)
+    # as a paper would show it: a language that is not marked is Romanian
+    sample = known.orderBy(F.xxhash64("uid", "ws"), "uid").limit(labelled).withColumn("row_id", F.concat(F.lit("labelled:"), F.to_json(F.struct("uid", "ws", "fac", "lvl", "lang"))))
+    cols = ("row_id", "uid", "program_id", "fac", "lvl", "ws")
+    tested = materialize(lone.select(*cols, "lang").unionByName(sample.select(*cols, F.nullif("lang", F.lit("ro")).alias("lang"))))
+    found = cascade(tested.select("row_id", F.col("uid").alias("own"), "fac", "lvl", "lang", "ws"), named)
+    homes = found.join(tested.select("row_id", "uid", "program_id").dropDuplicates(), "row_id")
+    sure = materialize(rule_confidence(homes.where("program_id IS NOT NULL")))
+    attached = homes.where("program_id IS NULL").select("uid", F.col("pid").alias("home"))
+    alone = tested.where("program_id IS NULL").join(attached, "uid", "left").withColumn("pid", F.coalesce("home", F.concat(F.lit("uid:"), F.col("uid"))))
+    cols = ("uid", "pid", "fac", "lvl", "lang", "ws")
+    everyone = materialize(known.select(*cols).unionByName(alone.select(*cols)))
+    programmes = programmes_of(everyone).withColumn("fac", F.explode(F.array("fac", F.lit(ANY_FACULTY))))
     rows = materialize(paper_rows(pdf_rows, queue))
-    found = cascade(rows, programmes, any_faculty=True)
-    sure = materialize(rule_confidence(with_group_traits(everyone).join(everyone.select("uid", "lone").dropDuplicates(), "uid")))
-    pairs = found.join(rows.select("row_id", "pdf_url", "row_idx").dropDuplicates(), "row_id").join(everyone.select("uid", "pid").dropDuplicates(), "pid")
-    pairs = pairs.join(F.broadcast(sure.select("rule", "confidence")), "rule")  # one row per rule
-    return pairs.groupBy("uid", "pdf_url", "row_idx").agg(F.min("rule").alias("rule"), F.max("confidence").alias("confidence"))
+    pairs = cascade(rows.withColumn("own", F.lit(None).cast("string")), materialize(programmes.withColumn("only_uid", F.lit(None).cast("string"))))
+    pairs = pairs.join(rows.select("row_id", "pdf_url", "row_idx").dropDuplicates(), "row_id").join(everyone.select("uid", "pid").dropDuplicates(), "pid")
+    best = pairs.groupBy("uid", "pdf_url", "row_idx").agg(F.min("rule").alias("rule"))
+    return best.join(F.broadcast(sure.select("rule", "confidence")), "rule").select("uid", "pdf_url", "row_idx", "rule", "confidence")  # one row per rule
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -32,7 +32,9 @@ CONFUSABLE = {
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ү": "Y", "Ԛ": "Q", "Ԝ": "W",
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ү": "y", "ӏ": "l", "Ӏ": "I",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v", "α": "a", "ι": "i", "ρ": "p", "υ": "u",
-    "ɑ": "a", "ɡ": "g", "ı": "i",
+    "ɑ": "a", "ɡ": "g", "ı": "i", "ϲ": "c", "Ϲ": "C", "ϳ": "j", "Ԍ": "G", "Ꙅ": "S", "ᴄ": "c", "ᴏ": "o", "ᴜ": "u", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z",
+    "օ": "o", "ս": "u", "հ": "h", "ո": "n", "ց": "g", "զ": "q", "Տ": "S", "Օ": "O", "Լ": "L", "Ս": "U",
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꭱ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꭹ": "Y", "Ꮓ": "Z",
 }
 #: Cedilla letters that stand for the Romanian comma-below letters.
 CEDILLA = {"ş": "ș", "Ş": "Ș", "ţ": "ț", "Ţ": "Ț"}
@@ -104,16 +106,15 @@ def alike(corpus: Iterable[str]) -> Iterator[tuple[str, str]]:
     yield from HYPHENS.items()
 
 
-def close(classes: Classes, budget: int = 20) -> None:
-    """Join strings whose parts are alike, until nothing changes."""
-    for _ in range(budget):
+def close(classes: Classes) -> None:
+    """Join strings whose parts are alike, until nothing changes: every round joins classes, so it ends."""
+    changed = True
+    while changed:
         by_parts: dict[tuple[str, ...], str] = {}
         changed = False
         for s in [s for s in classes.parent if len(s) > 1]:
             parts = tuple(classes.find(c) if c in classes.parent else c for c in s)
             changed |= classes.join(s, by_parts.setdefault(parts, s))
-        if not changed:
-            return
 
 
 def representatives(classes: Classes, counts: dict[str, int], latin: bool) -> dict[str, str]:
@@ -184,14 +185,20 @@ def really_foreign(word: str, across: dict[str, str]) -> bool:
 
 
 def consistent(text: str, plain: tuple[tuple[str, str], ...], full: tuple[tuple[str, str], ...], across: dict[str, str]) -> str:
-    """The consistent form; applied until nothing changes, as a rewriting can bring parts together."""
-    for _ in range(8):
+    """The consistent form; applied until nothing changes, as a rewriting can bring parts together.
+
+    Rewritings that came back to an earlier text would never end and raise an error.
+    """
+    seen = {text}
+    while True:
         flat = rewrite(text, plain)
         flat = WORD.sub(lambda m: m.group() if m.group().isascii() or really_foreign(m.group(), across) else rewrite(m.group(), full), flat)
         if flat == text:
-            break
+            return text
+        if flat in seen:
+            raise ValueError(f"rewritings without end: {text!r}")
+        seen.add(flat)
         text = flat
-    return text
 
 
 def code_points(df: DataFrame, columns: list[str]) -> dict[str, int]:

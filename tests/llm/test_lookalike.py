@@ -54,3 +54,34 @@ def test_values_of_a_table(program):
     assert out[("4", "name")] == ("a" * 100_000 + " ", False)
     assert len(out) == 5
     assert consistent_values(program(), "uid", ["name"]).count() == 0
+
+
+@pytest.mark.parametrize(("odd", "plain"), [("Prօgramս", "Programu"), ("ᎪᏴCDrept", "ABCDrept"), ("ᴏferite", "oferite")])
+def test_other_alphabets(odd, plain):
+    assert form(odd) == [plain]
+
+
+def test_armenian_words_stay():
+    assert form("Հայերեն") == ["Հայերեն"]
+
+
+def test_closure_of_any_depth():
+    """A chain in which every round of the closure joins one more pair."""
+    c = Classes()
+    c.join("a0", "b0")
+    for k in range(1, 60):
+        c.join(f"a{k}", f"{chr(0x4E00 + k)}")
+        c.join(f"b{k}", f"{chr(0x5E00 + k)}")
+        c.parent.setdefault(f"{chr(0x4E00 + k)}x", f"{chr(0x4E00 + k)}x")
+    for k in range(1, 60):
+        s, t = chr(0x4E00 + k), chr(0x5E00 + k)
+        c.join(f"{s}{s}", chr(0x4E00 + k + 1))
+        c.join(f"{t}{t}", chr(0x5E00 + k + 1))
+    c.join(chr(0x4E01), chr(0x5E01))
+    close(c)
+    assert c.find(chr(0x4E00 + 60)) == c.find(chr(0x5E00 + 60))
+
+
+def test_rewritings_without_end_are_refused():
+    with pytest.raises(ValueError, match="without end"):
+        consistent("a", (("a", "b"), ("b", "a")), (), {})
