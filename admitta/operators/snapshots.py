@@ -1,23 +1,31 @@
 """What changed between consecutive full snapshots (problem 5).
 
-Each snapshot is reduced to a key-to-hash index: one row per key with the hash of its digest and the
-hash of its compared values. Indexes are stored bucketed by key in the shared folder, so probing the
-last index with a new one joins bucket by bucket without a shuffle. Values are fetched only for keys
-that came out as changed, and the new index then takes the place of the old.
+Of the last snapshot an index is kept: one row per key with the hash of its digest and the hash of its
+compared values, bucketed by key in the shared folder. A new snapshot is reduced to such an index too,
+from its own rows only; probing the kept one with it joins bucket by bucket without a shuffle. Values
+are fetched for keys that came out as changed, and the new index takes the place of the old, whose
+folder is dropped. Several snapshots that are due are indexed in one pass over their rows.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from admitta.session import shared_path
+from admitta.session import delete_path, list_path, make_path, materialize, shared_dir
 
+#: Rows of one snapshot in one bucket, about.
+BUCKET_ROWS = 500_000
+#: Deliveries are few; their list is refused beyond this.
+MOST_RUNS = 100_000
+#: Bits of the filter on changed keys, and its largest size: 2^20 broadcast rows of 64 bits.
+BITS_A_KEY, MOST_BITS = 16, 1 << 26
 COMPARED = ("name", "level", "duration_years", "admission_year", "spots_budget", "spots_tax")
 
 
@@ -64,118 +72,188 @@ def full_runs(manifests: DataFrame, success: str = "success") -> DataFrame:
     return runs.select("run_id", (F.row_number().over(order) - 1).alias("run_ord"))
 
 
+def run_order(manifests: DataFrame) -> list[str]:
+    """The full snapshots in order: one row per delivery."""
+    rows = full_runs(manifests).orderBy("run_ord").limit(MOST_RUNS + 1).collect()
+    if len(rows) > MOST_RUNS:
+        raise ValueError(f"more than {MOST_RUNS} full snapshots")
+    return [r.run_id for r in rows]
+
+
+def hashes(compared: Sequence[str]) -> Column:
+    """What stands for a row: the latest scraped_at first, then the hashes, so that ties are settled."""
+    digest = clean_digest(F.col("content_hash"))
+    return F.struct(F.col("scraped_at").cast("timestamp").alias("at"), F.xxhash64(digest).alias("d"), digest.isNull().alias("no_d"), values_hash(compared).alias("v"))
+
+
 @dataclass
 class SnapshotIndex:
-    """Bucketed key-to-hash index of the last snapshot.
+    """Bucketed key-to-hash index of the last snapshot, kept under ``label`` in the shared folder.
 
-    ``build_all`` writes the indexes of many snapshots in one pass over the rows, ``probe`` compares
-    the current index with the next one and ``swap`` puts the next in its place.
+    ``open`` finds it again, also from another session; ``advance`` takes later snapshots in, returns
+    what changed and swaps the index for that of the newest one; ``drop`` forgets it. A break between
+    taking in and swapping leaves the older index, and the next ``advance`` starts from it again.
     """
 
     spark: SparkSession
-    table_name: str
-    current: int
+    label: str
+    compared: Sequence[str] = COMPARED
+    buckets: int = 0
+    current: str | None = None
+    runs: list[str] = field(default_factory=list)
 
     @classmethod
-    def build_all(cls, snapshots: DataFrame, runs: DataFrame, compared: Sequence[str] = COMPARED, buckets: int | None = None) -> SnapshotIndex:
-        """One index per run, bucketed by key; the latest ``scraped_at`` stands for a key in a run.
-
-        Repeated rows are combined on the map side, so a key delivered any number of times reaches
-        one task as one row per map task. Rows without key or of no full run are left out; a null
-        ``scraped_at`` is older than any; ties are settled by the hashes.
-        """
-        spark = snapshots.sparkSession
-        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = snapshots.select(
-            pack_key(clean_key(F.col("uid"))).alias("k"),
-            F.col("run_id").alias("run_id"),
-            F.struct(
-                F.col("scraped_at").cast("timestamp").alias("at"),
-                F.xxhash64(clean_digest(F.col("content_hash"))).alias("d"),
-                clean_digest(F.col("content_hash")).isNull().alias("no_d"),
-                values_hash(compared).alias("v"),
-            ).alias("e"),
-        ).where(F.col("k").isNotNull())
-        known = rows.join(F.broadcast(runs), "run_id").drop("run_id")  # one row per delivered run: small by nature
-        last = known.groupBy("k", "run_ord").agg(F.max("e").alias("e"))
-        index = last.select("k", F.when(~F.col("e.no_d"), F.col("e.d")).alias("d"), F.col("e.v").alias("v"), "run_ord")
-        name = f"snapshot_index_{uuid.uuid4().hex}"
-        (
-            index.repartition(buckets, "k")
-            .write.partitionBy("run_ord")
-            .bucketBy(buckets, "k")
-            .sortBy("k")
-            .option("path", shared_path(spark, "snapshot-index"))
-            .option("compression", "zstd")
-            .format("parquet")
-            .saveAsTable(name)
+    def open(cls, spark: SparkSession, label: str, compared: Sequence[str] = COMPARED, buckets: int = 0) -> SnapshotIndex:
+        index = cls(spark, label, compared, buckets)
+        kept = [name for name in list_path(spark, index.root) if name.startswith("buckets=")]
+        if kept:
+            index.buckets = int(kept[0].partition("=")[2])
+            index._create()
+            spark.sql(f"ALTER TABLE {index.table_name} RECOVER PARTITIONS")
+            index.runs = [unquote(r[0].partition("=")[2]) for r in spark.sql(f"SHOW PARTITIONS {index.table_name}").collect()]  # the kept one and those of a broken advance
+        return index
+
+    @property
+    def root(self) -> str:
+        return f"{shared_dir(self.spark)}/snapshot-index/{self.label}"
+
+    @property
+    def table_name(self) -> str:
+        return f"snapshot_index_{self.label}"
+
+    def _create(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name}")
+        self.spark.sql(
+            f"CREATE TABLE {self.table_name} (k BINARY, d BIGINT, v BIGINT, run_id STRING) USING parquet PARTITIONED BY (run_id)"
+            f" CLUSTERED BY (k) SORTED BY (k) INTO {self.buckets} BUCKETS LOCATION '{self.root}/buckets={self.buckets}'"
         )
-        return cls(spark, name, 0)
 
-    def of(self, run_ord: int) -> DataFrame:
-        return self.spark.table(self.table_name).where(F.col("run_ord") == run_ord).select("k", "d", "v", F.lit(True).alias("here"))
+    def _partition(self, run_id: str) -> str:
+        return f"PARTITION (run_id = '{_quoted(run_id)}')"
 
-    def probe(self, run_ord: int) -> DataFrame:
-        """(k, run_ord, change_kind) of the next snapshot against the current index, bucket by bucket."""
-        old = self.of(self.current).select(F.col("k").alias("ko"), F.col("d").alias("do"), F.col("v").alias("vo"), F.col("here").alias("was"))
-        new = self.of(run_ord)
+    def _folder(self, run_id: str) -> str:
+        return self.spark.sql(f"DESCRIBE FORMATTED {self.table_name} {self._partition(run_id)}").where("col_name = 'Location'").first().data_type
+
+    def _forget(self, run_id: str) -> None:
+        at = self._folder(run_id)
+        self.spark.sql(f"ALTER TABLE {self.table_name} DROP {self._partition(run_id)}")
+        delete_path(self.spark, at)
+        self.runs.remove(run_id)
+
+    def take_in(self, snapshots: DataFrame, due: Sequence[str]) -> None:
+        """Index the rows of the runs that are due, in one pass.
+
+        Repeated rows are combined on the map side, so a key delivered any number of times reaches one
+        task as one row per map task. Rows without key are left out; a null ``scraped_at`` is older
+        than any; ties are settled by the hashes.
+        """
+        rows = snapshots.where(F.col("run_id").isin(list(due)))
+        if not self.buckets:
+            self.buckets = max(1, min(1 << 17, -(-rows.count() // (BUCKET_ROWS * len(due)))))
+        if not self.spark.catalog.tableExists(self.table_name):
+            self._create()
+        keyed = rows.select(pack_key(clean_key(F.col("uid"))).alias("k"), F.col("run_id").alias("run_id"), hashes(self.compared).alias("e")).where(F.col("k").isNotNull())
+        last = keyed.groupBy("k", "run_id").agg(F.max("e").alias("e"))
+        index = last.select("k", F.when(~F.col("e.no_d"), F.col("e.d")).alias("d"), F.col("e.v").alias("v"), "run_id")
+        # all of a run's bucket in one task, which writes one sorted file of it
+        placed = index.repartition(min(self.buckets * len(due), 1 << 17), "run_id", F.pmod(F.hash("k"), F.lit(self.buckets)))
+        placed.write.mode("append").option("compression", "zstd").insertInto(self.table_name)
+        for run_id in due:  # also of a snapshot without rows
+            self.spark.sql(f"ALTER TABLE {self.table_name} ADD IF NOT EXISTS {self._partition(run_id)}")
+            make_path(self.spark, self._folder(run_id))
+        self.runs += due
+
+    def of(self, run_id: str) -> DataFrame:
+        return self.spark.table(self.table_name).where(F.col("run_id") == run_id).select("k", "d", "v", F.lit(True).alias("here"))
+
+    def probe(self, old_id: str, run_id: str) -> DataFrame:
+        """(run_id, k, change_kind) of a snapshot against the index of the one before, bucket by bucket."""
+        old = self.of(old_id).select(F.col("k").alias("ko"), F.col("d").alias("do"), F.col("v").alias("vo"), F.col("here").alias("was"))
         differs = F.when(F.col("d").isNotNull() & F.col("do").isNotNull(), F.col("d") != F.col("do")).otherwise(F.col("v") != F.col("vo"))
         kind = F.when(F.col("was").isNull(), "added").when(F.col("here").isNull(), "removed").when(differs, "changed")
-        both = new.join(old.hint("merge"), F.col("k") == F.col("ko"), "full_outer")
-        return both.select(F.coalesce("k", "ko").alias("k"), F.lit(run_ord).alias("run_ord"), kind.alias("change_kind")).where(F.col("change_kind").isNotNull())
-
-    def swap(self, run_ord: int) -> None:
-        self.current = run_ord
+        both = self.of(run_id).join(old.hint("merge"), F.col("k") == F.col("ko"), "full_outer")
+        return both.select(F.lit(run_id).alias("run_id"), F.coalesce("k", "ko").alias("k"), kind.alias("change_kind")).where(F.col("change_kind").isNotNull())
 
+    def advance(self, snapshots: DataFrame, order: Sequence[str]) -> DataFrame:
+        """(run_id, before_id, uid, change_kind) of the full snapshots after the kept one.
 
-def diff_snapshots(snapshots: DataFrame, manifests: DataFrame, compared: Sequence[str] = COMPARED, buckets: int | None = None) -> DataFrame:
-    """(run_id, uid, change_kind) for every pair of consecutive full snapshots.
+        ``order`` lists the full snapshots so far; those up to the kept one are not read again. A kept
+        run that is no longer listed starts anew with the first one.
+        """
+        known = [r for r in order if r in self.runs]
+        self.current = known[0] if known else None
+        for run_id in [r for r in self.runs if r != self.current]:
+            self._forget(run_id)
+        due = list(order[order.index(self.current) + 1 :]) if self.current else list(order)
+        if due:
+            self.take_in(snapshots, due)
+        steps = [r for r in ([self.current] if self.current else []) + due if r]
+        parts = [self.probe(a, b).select("run_id", F.lit(a).alias("before_id"), unpack_key(F.col("k")).alias("uid"), "change_kind") for a, b in zip(steps, steps[1:])]
+        out = self.spark.createDataFrame([], "run_id string, before_id string, uid string, change_kind string")
+        for k, part in enumerate(parts):
+            out = part if k == 0 else out.unionAll(part)
+        if parts:
+            out = materialize(out)
+        if steps:
+            self.swap(steps[-1])
+        return out
+
+    def swap(self, run_id: str) -> None:
+        """The index of ``run_id`` is the kept one; all others are dropped."""
+        self.current = run_id
+        for other in [r for r in self.runs if r != run_id]:
+            self._forget(other)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name}")
+        delete_path(self.spark, self.root)
+        self.runs, self.current = [], None
+
+
+def _quoted(s: str) -> str:
+    return s.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def diff_snapshots(snapshots: DataFrame, manifests: DataFrame, compared: Sequence[str] = COMPARED, buckets: int = 0) -> DataFrame:
+    """(run_id, before_id, uid, change_kind) for every pair of consecutive full snapshots.
 
     ``change_kind`` is added, removed or changed; the first snapshot gives no rows, and with fewer
-    than two full snapshots the result is empty.
+    than two full snapshots the result is empty. The index lives for this one call.
     """
-    spark = snapshots.sparkSession
-    order = [(r.run_id, r.run_ord) for r in full_runs(manifests).orderBy("run_ord").collect()]  # one row per run
-    if len(order) < 2:
-        return spark.createDataFrame([], "run_id string, uid string, change_kind string")
-    runs = spark.createDataFrame(order, "run_id string, run_ord int")
-    index = SnapshotIndex.build_all(snapshots, runs, compared, buckets)
-    parts = []
-    for run_id, run_ord in order[1:]:
-        found = index.probe(run_ord)
-        parts.append(found.select(F.lit(run_id).alias("run_id"), unpack_key(F.col("k")).alias("uid"), "change_kind"))
-        index.swap(run_ord)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    return out
-
-
-def changed_values(changes: DataFrame, snapshots: DataFrame, manifests: DataFrame, compared: Sequence[str] = COMPARED) -> DataFrame:
-    """Old and new values of the keys that changed; only rows of those keys are fetched.
-
-    One row per change with ``old`` and ``new`` structs of the compared columns.
+    index = SnapshotIndex.open(snapshots.sparkSession, uuid.uuid4().hex, compared, buckets)
+    try:
+        return index.advance(snapshots, run_order(manifests))
+    finally:
+        index.drop()
+
+
+def key_filter(keys: DataFrame, hashed: str) -> tuple[DataFrame, int]:
+    """(word, bits): a bit per hash of the keys, in words of 64 bits, and the number of bits.
+
+    ``MOST_BITS`` bounds the words whatever the number of keys; a full filter only lets more rows pass.
     """
-    runs = full_runs(manifests)
-    steps = runs.select(F.col("run_id"), (F.col("run_ord") - 1).alias("before_ord")).join(
-        runs.select(F.col("run_id").alias("before_id"), F.col("run_ord").alias("before_ord")), "before_ord"
-    )
-    changed = changes.where(F.col("change_kind") == "changed").join(F.broadcast(steps), "run_id")
-    wanted = changed.select("uid", F.explode(F.array(F.struct(F.col("run_id").alias("from_id"), F.lit("new").alias("side"), F.col("run_id").alias("run_id")), F.struct(F.col("before_id").alias("from_id"), F.lit("old").alias("side"), F.col("run_id").alias("run_id")))).alias("w"))
-    wanted = wanted.select("uid", "w.*")
-    rows = snapshots.select(
-        clean_key(F.col("uid")).alias("uid"),
-        F.col("run_id").alias("from_id"),
-        F.struct(
-            F.col("scraped_at").cast("timestamp").alias("at"),
-            F.xxhash64(clean_digest(F.col("content_hash"))).alias("d"),
-            clean_digest(F.col("content_hash")).isNull().alias("no_d"),
-            values_hash(compared).alias("v"),
-        ).alias("rank"),
-        F.struct(*(F.col(f"`{c}`") for c in compared)).alias("vals"),
-    )
-    fetched = rows.join(wanted, ["uid", "from_id"]).groupBy("run_id", "uid").agg(
-        F.max_by(F.when(F.col("side") == "old", F.col("vals")), F.when(F.col("side") == "old", F.col("rank"))).alias("old"),
-        F.max_by(F.when(F.col("side") == "new", F.col("vals")), F.when(F.col("side") == "new", F.col("rank"))).alias("new"),
-    )
-    return fetched
+    bits = 1 << 16
+    n = keys.count()
+    while bits < min(MOST_BITS, BITS_A_KEY * n):
+        bits *= 2
+    words = keys.select(F.pmod(F.col(hashed), F.lit(bits)).alias("p")).select(F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, cast(p & 63 AS INT))").alias("bit"))
+    return words.groupBy("word").agg(F.bit_or("bit").alias("bits")), bits
+
+
+def changed_values(changes: DataFrame, snapshots: DataFrame, compared: Sequence[str] = COMPARED) -> DataFrame:
+    """Old and new values of the keys that changed: (run_id, uid, old, new), structs of the compared columns.
+
+    Only rows of runs with changes are read, and only those that a filter on the changed keys lets
+    pass are shuffled.
+    """
+    changed = changes.where(F.col("change_kind") == "changed").select("run_id", "before_id", "uid")
+    sides = F.array(*(F.struct(F.col(c).alias("from_id"), F.lit(side).alias("side")) for c, side in (("run_id", "new"), ("before_id", "old"))))
+    wanted = materialize(changed.select("uid", "run_id", F.explode(sides).alias("w")).select("uid", "w.*", "run_id").withColumn("h", F.xxhash64("uid", "from_id")))
+    runs = [r[0] for r in wanted.select("from_id").distinct().collect()]  # at most one per delivery
+    words, bits = key_filter(wanted, "h")
+    rows = snapshots.where(F.col("run_id").isin(runs)).select(clean_key(F.col("uid")).alias("uid"), F.col("run_id").alias("from_id"), hashes(compared).alias("rank"), F.struct(*(F.col(f"`{c}`") for c in compared)).alias("vals"))
+    place = F.pmod(F.xxhash64("uid", "from_id"), F.lit(bits))
+    tested = rows.withColumn("p", place).withColumn("word", F.shiftright("p", 6)).join(F.broadcast(words), "word").where(F.expr("bits & shiftleft(1L, cast(p & 63 AS INT))") != 0)
+    latest = tested.groupBy("uid", "from_id").agg(F.max_by("vals", "rank").alias("vals"))
+    side = lambda s: F.max_by(F.when(F.col("side") == s, F.col("vals")), F.when(F.col("side") == s, F.lit(1))).alias(s)
+    return latest.join(wanted, ["uid", "from_id"]).groupBy("run_id", "uid").agg(side("old"), side("new"))

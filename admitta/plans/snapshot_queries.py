@@ -10,12 +10,12 @@ from admitta.sources.tables import table
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    return diff_snapshots(table(spark, folder, "program_snapshots"), table(spark, folder, "run_manifests"))
+    return diff_snapshots(table(spark, folder, "program_snapshots"), table(spark, folder, "run_manifests")).select("run_id", "uid", "change_kind")
 
 
 def p5_changed_values(spark: SparkSession, folder: str) -> DataFrame:
     snapshots, manifests = table(spark, folder, "program_snapshots"), table(spark, folder, "run_manifests")
-    out = changed_values(diff_snapshots(snapshots, manifests), snapshots, manifests)
+    out = changed_values(diff_snapshots(snapshots, manifests), snapshots)
     cols = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("old", "new") for c in COMPARED]
     return out.select("run_id", "uid", *cols)
 

@@ -45,6 +45,27 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system; none where it is not there."""
+    at, fs = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def make_path(spark: SparkSession, path: str) -> None:
+    at, fs = _file_system(spark, path)
+    fs.mkdirs(at)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    at, fs = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, computed once."""
     shared_dir(df.sparkSession)
