@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from admitta.functions.text import collapse
 from admitta.functions.vocab import BOTH_PATTERN, BUDGET_PATTERN, COUNT_PATTERN, TAX_PATTERN
 
 
@@ -94,7 +93,3 @@ def course_names(html: Column) -> Column:
     blocks = F.regexp_extract_all(html, F.lit(r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'), F.lit(1))
     parsed = F.transform(blocks, lambda b: F.from_json(b, "hasCourse array<struct<name string>>")["hasCourse"])
     return F.filter(F.flatten(F.transform(parsed, lambda p: F.coalesce(F.transform(p, lambda x: x["name"]), F.array().cast("array<string>")))), lambda n: n.isNotNull() & (n != ""))
-
-
-def one_line(c: Column) -> Column:
-    return collapse(c)

@@ -1,4 +1,4 @@
-"""Coverage of a list that is held true (J8, J9, A6), run summaries (A7, A12, W7), changes of the queue (J10, SK11, ST4, E21, O5)."""
+"""Coverage of a list that is held true (J8, J9, A6), run summaries (A7, A11, A12, W7), changes of the queue (J10, SK11, ST4, E21, O5)."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from admitta.functions.text import truth_form
 
 #: Length of the pieces that the containment join looks up.
-GRAM = 4
+GRAM = 6
 
 
 def exact_hits(truth: DataFrame, output: DataFrame) -> DataFrame:
@@ -23,9 +23,9 @@ def exact_hits(truth: DataFrame, output: DataFrame) -> DataFrame:
 def containment_hits(truth: DataFrame, output: DataFrame) -> DataFrame:
     """(key) of truth rows whose form holds, or is held by, a form of the output.
 
-    A form of at least ``GRAM`` letters that is inside another shares its first piece with it, so pieces are
-    joined by equality instead of pairing all rows. Shorter forms are looked up as whole pieces of
-    their own length.
+    A form that is inside another shares all its pieces of ``GRAM`` letters with it, so it is looked up
+    by the one that the fewest forms of the other side have; no piece of many forms is joined unless a
+    form has nothing else. Shorter forms are whole pieces of their own length.
     """
     left = truth.select(F.col("key"), truth_form(F.col("name")).alias("form")).where("form <> ''")
     right = output.select(truth_form(F.col("name")).alias("form")).where("form <> ''").dropDuplicates()
@@ -34,11 +34,20 @@ def containment_hits(truth: DataFrame, output: DataFrame) -> DataFrame:
     return left.join(out, "form", "left_semi").select("key").dropDuplicates()
 
 
+def _pieces(form: Column, size: int) -> Column:
+    return F.when(F.length(form) >= size, F.transform(F.sequence(F.lit(1), F.length(form) - size + 1), lambda i: F.substring(form, i, size))).otherwise(F.array().cast("array<string>"))
+
+
 def _inside(inner: DataFrame, outer: DataFrame) -> DataFrame:
     """(inner, outer): pairs of distinct forms of which the first is part of the second."""
-    heads = inner.select(F.col("form").alias("inner"), F.substring("form", 1, GRAM).alias("piece"))
-    sizes = F.sequence(F.lit(1), F.lit(GRAM))
-    cut = outer.select(F.col("form").alias("outer"), F.explode(F.array_distinct(F.flatten(F.transform(sizes, lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("form") - n + 1, F.lit(1))), lambda i: F.substring("form", i, n)))))).alias("piece"))
+    sizes = sorted(r[0] for r in inner.select(F.least(F.length("form"), F.lit(GRAM))).distinct().collect())  # at most GRAM numbers
+    if not sizes:
+        sizes = [GRAM]
+    cut = outer.select(F.col("form").alias("outer"), F.explode(F.array_distinct(F.concat(*(_pieces(F.col("form"), n) for n in sizes)))).alias("piece"))
+    often = cut.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    own = F.coalesce(*(F.when(F.least(F.length("form"), F.lit(GRAM)) == n, _pieces(F.col("form"), n)) for n in sizes))
+    heads = inner.select(F.col("form").alias("inner"), F.explode(F.array_distinct(own)).alias("piece")).join(often, "piece")
+    heads = heads.groupBy("inner").agg(F.min(F.struct("n", "piece"))["piece"].alias("piece"))
     return heads.join(cut, "piece").where(F.contains("outer", F.col("inner"))).select("inner", "outer").dropDuplicates()
 
 
@@ -78,6 +87,16 @@ def domain_group(url: Column, groups: Mapping[str, Sequence[str]], longest: bool
     return F.coalesce(out, F.lit("default"))
 
 
+def first_listed(df: DataFrame, order: str, limit: int | None) -> DataFrame:
+    """The first entries of a list, for a trial run; all of them without a limit."""
+    return df if limit is None else df.orderBy(order).limit(limit)
+
+
+def counts(records: DataFrame, file: str = "file") -> DataFrame:
+    """Files read and records found, for the message of a run."""
+    return records.agg(F.count_distinct(file).alias("files"), F.count(F.lit(1)).alias("records"))
+
+
 def progress(df: DataFrame, order: str) -> DataFrame:
     """``[i/n]`` over a list of bounded size, such as the configured faculties."""
     one = Window.partitionBy()

@@ -19,6 +19,7 @@ from admitta.functions.vocab import BUDGET_PATTERN, CONTAINERS, LIST_NOISE_MORE,
 from admitta.operators.boilerplate import fill_forward
 from admitta.operators.fuse import extraction_confidence
 from admitta.operators.rank import contains_any, grade_link_score
+from admitta.session import materialize
 
 NODES = (
     "page_id string, url string, faculty_slug string, pos int, tag string, text string, raw_text string, bare string, direct_link_chars int, link_chars int, direct_links boolean,"
@@ -101,6 +102,14 @@ def page_nodes(html: str, containers: Iterable[str] = CONTAINERS) -> list[dict]:
     inside = {id(n) for n in content.walk()}
     tables = {id(n): i for i, n in enumerate(x for x in every if x.tag == "table")}
     out, rows = [], {}
+    # the place of each cell in its row, and the data cells of each row
+    places: dict[int, int] = {}
+    widths: dict[int, int] = {}
+    for n in every:
+        if n.tag == "tr":
+            cells = [c for c in n.children if not isinstance(c, str) and c.tag in ("td", "th")]
+            places.update((id(c), i) for i, c in enumerate(cells))
+            widths[id(n)] = sum(c.tag == "td" for c in cells)
     for pos, n in enumerate(every):
         if n.tag not in _KEPT:
             continue
@@ -115,13 +124,13 @@ def page_nodes(html: str, containers: Iterable[str] = CONTAINERS) -> list[dict]:
         if table is not None and row is not None:
             rows.setdefault(id(table), {}).setdefault(id(row), len(rows.get(id(table), {})))
             if n.tag in ("td", "th"):
-                cell_no = [id(c) for c in row.children if not isinstance(c, str) and c.tag in ("td", "th")].index(id(n)) if n in row.children else None
+                cell_no = places.get(id(n))
         out.append({
             "pos": pos, "tag": n.tag, "text": " ".join(" ".join(p for p in parts if p).split()), "raw_text": " ".join(p for p in parts if p), "bare": "".join(parts), "direct_link_chars": chars(direct), "link_chars": chars(links), "direct_links": bool(direct),
             "ancestors": [x.tag for x in up if x.tag != "#"], "div_classes": [x.attrs["class"].lower() for x in up if x.tag == "div" and x.attrs.get("class")], "in_container": id(n) in inside,
             "in_list": any(x.tag == "ul" and id(x) in inside for x in up), "href": n.attrs.get("href") if n.tag == "a" else None, "table_no": tables.get(id(table)) if table is not None else None,
             "row_no": rows[id(table)][id(row)] if table is not None and row is not None else None, "cell_no": cell_no,
-            "cells": sum(1 for c in row.children if not isinstance(c, str) and c.tag == "td") if row is not None else None,
+            "cells": widths[id(row)] if row is not None else None,
         })
     return out
 
@@ -213,7 +222,11 @@ def course_programmes(pages: DataFrame) -> DataFrame:
 
 def programmes(pages: DataFrame) -> DataFrame:
     """All three ways together; of one uid the last extracted record stays (JSON-LD, lists, tables)."""
-    nodes = dom_nodes(pages)
+    nodes = materialize(dom_nodes(pages))  # each page is parsed once
+    return _programmes(pages, nodes)
+
+
+def _programmes(pages: DataFrame, nodes: DataFrame) -> DataFrame:
     parts = [course_programmes(pages), list_programmes(nodes), table_programmes(nodes)]
     every = None
     for stage, part in enumerate(parts):
@@ -241,7 +254,7 @@ def grade_links(nodes: DataFrame) -> DataFrame:
 
 def with_fallback(pages: DataFrame, rendered: DataFrame) -> DataFrame:
     """ST6: pages that give neither programmes nor papers are taken from the rendered copies instead."""
-    nodes = dom_nodes(pages)
+    nodes = materialize(dom_nodes(pages))
     useful = list_programmes(nodes).select(F.col("source_url").alias("url")).unionByName(table_programmes(nodes).select(F.col("source_url").alias("url"))).unionByName(pdf_links(nodes).select(F.col("source_url").alias("url"))).dropDuplicates()
     again = pages.select("url").join(useful, "url", "left_anti").dropDuplicates()
-    return programmes(pages).unionByName(programmes(rendered.join(again, "url", "left_semi")))
+    return _programmes(pages, nodes).unionByName(programmes(rendered.join(again, "url", "left_semi")))

@@ -14,6 +14,7 @@ from admitta.functions.parse import count_or_zero, name_language
 from admitta.functions.text import display_name
 from admitta.functions.vocab import CAREERS_ALL, CAREERS_FIRST, NO_CAREER
 from admitta.operators.validate import confidence_label, publishable
+from admitta.session import write_text
 
 FLAT = ("name", "level", "faculty_slug", "duration_years", "spots_budget", "spots_tax", "source_type", "accuracy_confidence", "url", "last_admission_grade")
 
@@ -97,12 +98,25 @@ def quarantine(rows: DataFrame, name: str = "program_name") -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
     """SK1: a header and rows, in parallel; ``one_file`` for readers of small exports that expect a single file."""
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    out = (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).option("encoding", "UTF-8").option("escape", '"')
+    out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """SK2, SK3, SK4, SK10: JSON lines in parallel."""
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """SK2, SK3, SK4, SK10: JSON lines in parallel, timestamps in full; ``by`` makes folders."""
+    df.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").option("ignoreNullFields", False).partitionBy(*by).json(path)
+
+
+def error_rows(outcomes: DataFrame, at: str | None = None, raw: int = 100) -> DataFrame:
+    """SK7: (faculty_slug, url, error, raw, key) of (faculty_slug, url, status, message, content) that failed.
+
+    ``raw`` characters of the content are kept; the key is the hash of address and message, so that an
+    error met again replaces itself. ``at`` adds the time of the run.
+    """
+    bad = outcomes.where(~F.col("status").isin("OK", "done", "downloaded") | F.col("status").isNull())
+    message = F.coalesce("message", F.coalesce("status", F.lit("unknown")))
+    rows = bad.select("faculty_slug", "url", message.alias("error"), F.substring("content", 1, raw).alias("raw"), F.sha2(F.concat_ws("|", "url", message), 256).alias("key"))
+    return rows if at is None else rows.withColumn("failed_at", F.lit(at).cast("timestamp"))
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("run_id", "faculty_slug")) -> None:
@@ -117,6 +131,5 @@ def manifest(outcomes: DataFrame, run_id: str, started_at: str, finished_at: str
 
 
 def write_manifest(row: DataFrame, path: str) -> None:
-    """SK9: one JSON object on the driver; the manifest is a single row."""
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(row.first().asDict(recursive=True), f, ensure_ascii=False, indent=1, default=str)
+    """SK9: one JSON object; the manifest is a single row."""
+    write_text(row.sparkSession, path, json.dumps(row.first().asDict(recursive=True), ensure_ascii=False, indent=1, default=str))

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from admitta.functions.vocab import AGAINST, DOCUMENT_TYPES, GRADE_LINK_AGAINST, GRADE_LINK_WORDS
+from admitta.operators.ranking import salted_rank
+
+#: Input positions in one cell of a ranking.
+STRETCH = 100_000
 
 
 def contains_any(c: Column, words: Sequence[str]) -> Column:
@@ -31,18 +35,27 @@ def metadata_score(link_text: Column, url: Column, year: int, target: str = "SPO
     )
 
 
-def ranked_queue(queue: DataFrame, year: int, target: str = "SPOTS") -> DataFrame:
-    """Candidates that have a text and an address, scored, with their place in the faculty (O1; ties in input order)."""
+def _scored(queue: DataFrame, year: int, target: str) -> DataFrame:
     address = F.coalesce("pdf_url", "url")
     able = queue.where((F.coalesce("link_text", F.lit("")) != "") & (F.coalesce(address, F.lit("")) != ""))  # F12
-    scored = able.withColumn("stage_a_score", metadata_score(F.col("link_text"), address, year, target)).withColumn("address", address)
-    place = Window.partitionBy("faculty_slug").orderBy(F.desc("stage_a_score"), "input_pos", "address")
-    return scored.withColumn("place", F.row_number().over(place))
+    return able.withColumn("stage_a_score", metadata_score(F.col("link_text"), address, year, target)).withColumn("address", address)
+
+
+def ranked_queue(queue: DataFrame, year: int, target: str = "SPOTS") -> DataFrame:
+    """Candidates that have a text and an address, scored, with their place in the faculty (O1; ties in input order).
+
+    The places come from cells of one score and a stretch of the input, so a faculty of any size is
+    ranked by many tasks.
+    """
+    cells = _scored(queue, year, target).withColumn("_worse", -F.col("stage_a_score")).withColumn("_stretch", F.floor(F.col("input_pos") / STRETCH))
+    ranked = salted_rank(cells, ["faculty_slug"], ["_worse", "_stretch"], ["input_pos", "address"])
+    return ranked.withColumn("place", (F.col("rank0") + 1).cast("int")).drop("_worse", "_stretch", "rank0")
 
 
 def best_papers(queue: DataFrame, year: int, k: int = 3, target: str = "SPOTS") -> DataFrame:
     """O2: the best k per faculty. The limit is pushed below the shuffle, k rows a faculty and task."""
-    return ranked_queue(queue, year, target).where(F.col("place") <= k)
+    place = Window.partitionBy("faculty_slug").orderBy(F.desc("stage_a_score"), "input_pos", "address")
+    return _scored(queue, year, target).withColumn("place", F.row_number().over(place)).where(F.col("place") <= k)
 
 
 def content_score(pages: DataFrame, year: int) -> DataFrame:

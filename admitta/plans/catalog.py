@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from admitta.plans import pipeline_queries, snapshot_queries, text_queries
+from admitta.plans import io_queries, page_queries, pipeline_queries, snapshot_queries, text_queries
 
-MODULES = (snapshot_queries, text_queries, pipeline_queries)
+MODULES = (snapshot_queries, text_queries, pipeline_queries, page_queries, io_queries)
 
 
 def queries() -> dict:

@@ -9,7 +9,7 @@ from admitta.functions import fuzzy, identity, parse
 from admitta.functions.vocab import (
     AGAINST, CAREERS_ALL, CAREERS_FIRST, COUNT_PATTERN, BUDGET_PATTERN, DOCUMENT_TYPES, LIST_NOISE_MORE, LIST_WHITELIST, NEGATIVE, NO_CAREER, NOISE_PATTERN, POSITIVE, ROW_BLACKLIST, SUFFIXES, TAX_PATTERN,
 )
-from admitta.operators import boilerplate, coverage, fuse, grades, html, match, pdf, publish, rank, validate
+from admitta.operators import boilerplate, coverage, fuse, grades, html, match, publish, rank, validate
 from admitta.plans.ratio_sql import ratios as sql_ratios
 from admitta.plans.text_queries import DIA, SQL_DISPLAY, SQL_IS_TITLE, sql_comparable, sql_match_form, sql_slug
 from admitta.sources.tables import table
@@ -285,60 +285,12 @@ def upserted(spark: SparkSession, folder: str) -> DataFrame:
     return publish.upsert(s, p).select("uid", "run_id", "seq")
 
 
-# pages and papers made from the tables
-
-
-def pages(spark: SparkSession, folder: str) -> DataFrame:
-    """One page per faculty: a navigation, a list of its programmes' lines and a table of its counts."""
-    p = _programs(spark, folder, "uid", F.lower("faculty_slug").alias("faculty_slug"), "name", "spots_raw", "spots_budget", "spots_tax").where("faculty_slug IS NOT NULL AND name IS NOT NULL")
-    item = F.concat(F.lit("<li>"), F.coalesce("spots_raw", "name"), F.lit("</li>"))
-    row = F.concat(F.lit("<tr><td>"), F.col("name"), F.lit("</td><td>"), F.coalesce(F.col("spots_budget").cast("string"), F.lit("-")), F.lit("</td><td>"), F.coalesce(F.col("spots_tax").cast("string"), F.lit("-")), F.lit("</td></tr>"))
-    g = p.groupBy("faculty_slug").agg(F.array_join(F.array_sort(F.collect_list(item)), "").alias("items"), F.array_join(F.array_sort(F.collect_list(row)), "").alias("rows"))
-    html_text = F.concat(F.lit("<html><body><nav><ul><li><a href='/'>Home</a></li></ul></nav><article><h1>Admitere</h1><ul>"), F.col("items"), F.lit("</ul><a href='/docs/cifra.pdf'>Cifra 2026</a><table><tr><th>Specializare</th><th>Buget</th><th>Taxa</th></tr>"), F.col("rows"), F.lit("</table></article></body></html>"))
-    return g.select(F.col("faculty_slug").alias("page_id"), F.concat(F.lit("https://"), F.regexp_replace("faculty_slug", "-", "."), F.lit(".example/admitere/licenta")).alias("url"), "faculty_slug", html_text.alias("html"))
-
-
-def page_programmes(spark: SparkSession, folder: str) -> DataFrame:
-    return html.programmes(pages(spark, folder))
-
-
-def page_tables(spark: SparkSession, folder: str) -> DataFrame:
-    t = html.table_programmes(html.dom_nodes(pages(spark, folder)))
-    return t.groupBy("faculty_slug").agg(F.count(F.lit(1)).alias("n"), F.sum("spots_budget").alias("budget"), F.sum("spots_tax").alias("tax"))
-
-
-def page_links(spark: SparkSession, folder: str) -> DataFrame:
-    return html.links(html.dom_nodes(pages(spark, folder))).select("page_id", "href", "text", "target", "in_container")
-
-
-def papers(spark: SparkSession, folder: str) -> DataFrame:
-    """Table rows as page texts: a line item per row, ten rows a page."""
-    r = _rows(spark, folder).dropDuplicates(["pdf_url", "row_idx"]).where("program_name IS NOT NULL AND spots_budget IS NOT NULL AND spots_tax IS NOT NULL")
-    plain = F.trim(F.regexp_replace(F.regexp_replace("program_name", r"[^A-Za-z]+", " "), r" +", " "))
-    line = F.concat(plain, F.lit(" "), F.col("spots_budget").cast("string"), F.lit(" locuri buget si "), F.col("spots_tax").cast("string"), F.lit(" locuri cu taxa"))
-    g = r.withColumn("line", line).groupBy("pdf_url", F.floor(F.col("row_idx") / 10).cast("int").alias("page_no")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "line"))), lambda x: x["line"]), "\n").alias("text"))
-    return g.select("pdf_url", "page_no", "text", F.lit(None).cast("array<array<array<string>>>").alias("tables"))
-
-
-def paper_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return pdf.text_rows(papers(spark, folder)).select("pdf_url", "page", "program_name", "spots_budget", "spots_tax")
-
-
-def paper_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Table rows as one table per paper, with a header, through the table reader."""
-    r = _rows(spark, folder).dropDuplicates(["pdf_url", "row_idx"]).where("program_name IS NOT NULL")
-    cells = F.array("program_name", F.coalesce(F.col("spots_budget").cast("string"), F.lit("-")), F.concat(F.coalesce(F.col("spots_tax").cast("string"), F.lit("-")), F.lit(" (2)")))
-    g = r.groupBy("pdf_url").agg(F.transform(F.array_sort(F.collect_list(F.struct("row_idx", cells.alias("c")))), lambda x: x["c"]).alias("t"))
-    made = g.select("pdf_url", F.lit(1).alias("page_no"), F.lit("Studii de master").alias("text"), F.array(F.concat(F.array(F.array(F.lit("Program de studii"), F.lit("Locuri buget"), F.lit("Locuri cu taxa"))), F.col("t"))).alias("tables"))
-    return pdf.rows_of_papers(made).select("pdf_url", "program_name", "spots_budget", "spots_tax", "level")
-
-
 # breakers
 
 
 def breaker_table(spark: SparkSession, folder: str) -> DataFrame:
     e = table(spark, folder, "events").select("event_id", F.col("user_id").cast("string").alias("key"), "ts", (F.col("event_type") != "error").alias("ok"))
-    return breaker.failures_in_a_row(e, "key", ["ts", "event_id"], "ok").select("event_id", "failures", (F.col("failures") >= 3).alias("open"))
+    return breaker.failures_in_a_row(e, "key", ["ts", "event_id"], "ok", F.date_trunc("day", "ts")).select("event_id", "failures", (F.col("failures") >= 3).alias("open"))
 
 
 def breaker_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -361,7 +313,7 @@ QUERIES = {
     "j8_a6_coverage": coverage_exact, "j9_contained": coverage_contained, "a7_run_results": run_results, "a12_manifest": manifest, "j10_first_seen": first_seen, "sk11_write_back": write_back, "e21_domain_groups": domain_groups,
     "o7_set_operations": set_operations, "st5_hash_changes": hash_changes, "j1_fuzzy_match": fuzzy_match, "x1_to_x3_ratios": ratios, "j5_grade_match": grade_match, "a4_evidence": evidence,
     "a5_arbitration": arbitration, "j6_faculty_uids": faculty_uids, "j7_faculty_names": faculty_names, "e13_from_papers": from_papers, "e8_narratives": narratives, "e1_flat_export": flat_export, "e3_e4_careers": careers, "e7_retrieval": retrieval, "e5_e10_requirements": requirements, "sk5_upsert": upserted,
-    "e20_page_programmes": page_programmes, "e19_page_tables": page_tables, "e22_page_links": page_links, "fn_p6_paper_lines": paper_lines, "e16_paper_tables": paper_tables, "st2_breaker_table": breaker_table, "st1_breaker_stream": breaker_stream,
+    "st2_breaker_table": breaker_table, "st1_breaker_stream": breaker_stream,
 }
 
 
@@ -501,8 +453,9 @@ spots_budget, spots_tax, pdf_url AS source_url, 'pdf_only' AS source_type, 0.92
 FROM (SELECT DISTINCT uid, '{PREFIX}_' || concat_ws('_', faculty_slug, left(uid, 8)) AS program_id, {_LANGUAGE} AS language, {_WORD_LIST} AS kw, coalesce({_ALL}, '{NO_CAREER[0]}') AS career_paths, name, level, faculty_slug, duration_years, spots_budget, spots_tax, source_url FROM programs)""",
     "e5_e10_requirements": f"SELECT DISTINCT uid, level, {_REQUIRED} AS requirements, CASE WHEN source_type = 'html_table_parsed' THEN 0.85 WHEN source_type = 'jsonld' THEN 0.6 WHEN coalesce(spots_budget, 0) <> 0 THEN 0.8 ELSE 0.5 END::DOUBLE AS confidence FROM programs",
     "sk5_upsert": "WITH p AS (SELECT DISTINCT uid, run_id, scraped_at AS seq FROM programs), s AS (SELECT lower(trim(uid)) AS uid, run_id, scraped_at AS seq FROM program_snapshots) SELECT * FROM p UNION ALL SELECT uid, arg_max(run_id, seq), max(seq) FROM s WHERE uid NOT IN (SELECT uid FROM p) GROUP BY uid",
-    "fn_p6_paper_lines": f"""SELECT pdf_url, page_no AS page, program_name, spots_budget, spots_tax FROM (SELECT DISTINCT ON (pdf_url, row_idx) pdf_url, row_idx, floor(row_idx / 10)::INT AS page_no, trim(regexp_replace(regexp_replace(program_name, '[^A-Za-z]+', ' ', 'g'), ' +', ' ', 'g')) AS program_name, spots_budget, spots_tax FROM pdf_rows WHERE program_name IS NOT NULL AND spots_budget IS NOT NULL AND spots_tax IS NOT NULL)
-WHERE length(program_name) > 5 AND NOT {_any('lower(program_name)', ROW_BLACKLIST)} QUALIFY row_number() OVER (PARTITION BY pdf_url, program_name ORDER BY page_no, row_idx) = 1""",
-    "e16_paper_tables": f"SELECT pdf_url, trim(program_name) AS program_name, coalesce(spots_budget, spots_tax) AS spots_budget, spots_tax, 'Master' AS level FROM (SELECT DISTINCT ON (pdf_url, row_idx) * FROM pdf_rows WHERE program_name IS NOT NULL) WHERE length(trim(program_name)) >= 3 AND NOT {_any(f'translate(lower(program_name), {DIA})', ROW_BLACKLIST)} AND (spots_budget IS NOT NULL OR spots_tax IS NOT NULL OR length(trim(program_name)) > 5)",
+    "st1_breaker_stream": """WITH RECURSIVE e AS (SELECT user_id::VARCHAR AS key, ts AS tm, event_type <> 'error' AS ok, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type <> 'error') AS n FROM events),
+s AS (SELECT key, tm, n, CASE WHEN ok THEN 0 ELSE 1 END AS failures, CASE WHEN NOT ok THEN tm END AS last FROM e WHERE n = 1
+UNION ALL SELECT e.key, e.tm, e.n, CASE WHEN e.ok THEN 0 WHEN s.failures >= 3 AND e.tm > s.last + INTERVAL 300 SECOND THEN 1 ELSE s.failures + 1 END, CASE WHEN e.ok THEN s.last ELSE e.tm END FROM s JOIN e ON e.key = s.key AND e.n = s.n + 1)
+SELECT key, tm AS "at", failures, failures >= 3 AS open FROM s""",
     "st2_breaker_table": "SELECT event_id, f::BIGINT AS failures, f >= 3 AS open FROM (SELECT event_id, sum(bad) OVER (PARTITION BY user_id, run ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS f FROM (SELECT *, (event_type = 'error')::INT AS bad, sum((event_type <> 'error')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM events))",
 }

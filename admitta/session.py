@@ -66,6 +66,25 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file on any file system."""
+    at, fs = _file_system(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file as text; null where it is not there."""
+    at, fs = _file_system(spark, path)
+    if not fs.exists(at):
+        return None
+    row = spark.read.text(path, wholetext=True).first()
+    return row[0] if row else ""
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, computed once."""
     shared_dir(df.sparkSession)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from admitta.session import list_path, read_text
+
 _VALUE = "struct<source:string,source_name:string,value:struct<budget:int,tax:int>,score:double,match_score:double,likelihood_score:double,page:int,snippet:string,timestamp:string>"
 PROGRAM = (
     "uid string, entity_type string, run_id string, scraped_at timestamp, source_url string, content_hash string, name string, level string, faculty_uid string, faculty_slug string, program_id string,"
@@ -16,30 +16,30 @@ PROGRAM = (
 )
 
 
-def programs_json(spark: SparkSession, glob: str, keep_broken: bool = False) -> DataFrame:
-    """SC1 to SC4: one JSON object per file; broken files are left out or kept with ``_corrupt``."""
-    read = spark.read.schema(PROGRAM + ", _corrupt string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+def programs_json(spark: SparkSession, glob: str, keep_broken: bool = False, lines: bool = False) -> DataFrame:
+    """SC1 to SC4: one JSON object per file, or (``lines``) one per line; broken ones are left out or kept with ``_corrupt``."""
+    read = spark.read.schema(PROGRAM + ", _corrupt string").option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
     df = read.json(glob).withColumn("file", F.input_file_name())
     return df if keep_broken else df.where("_corrupt IS NULL AND uid IS NOT NULL").drop("_corrupt")
 
 
-def programs_of(spark: SparkSession, run_dir: str, faculty: str | None = None) -> DataFrame:
-    """SC3, SC4: programmes of a run, or of one faculty of it."""
-    return programs_json(spark, f"{run_dir}/raw/{faculty or '*'}/programs/*.json").where("entity_type = 'program'")
+def programs_of(spark: SparkSession, run_dir: str, faculty: str | None = None, layout: str = "{}/programs", lines: bool = False) -> DataFrame:
+    """SC3, SC4: programmes of a run, or of one faculty of it. ``layout`` is the folder of a faculty under ``raw``."""
+    return programs_json(spark, f"{run_dir}/raw/{layout.format(faculty or '*')}/*.json", lines=lines).where("entity_type = 'program'")
 
 
 def exported_csv(spark: SparkSession, path: str) -> DataFrame:
-    """SC5: an export with or without a byte-order mark, all columns as text."""
-    df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
-    return df.toDF(*(c.lstrip("﻿") for c in df.columns))
+    """SC5: an export with or without a byte-order mark, all columns as text; quoted values may hold line ends."""
+    df = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", True).option("escape", '"').csv(path)
+    return df.toDF(*(c.lstrip("\ufeff") for c in df.columns))
 
 
 def run_faculties(spark: SparkSession, run_dir: str) -> DataFrame:
-    """SC6: faculties of the manifest; without a manifest those that have files."""
-    if Path(run_dir, "manifest.json").exists():
+    """SC6: faculties of the manifest; without a manifest those that have files. On any file system."""
+    if "manifest.json" in list_path(spark, run_dir):
         return spark.read.option("multiLine", True).schema("successful array<string>").json(f"{run_dir}/manifest.json").select(F.explode("successful").alias("faculty_slug"))
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{run_dir}/raw").select("path")
-    return files.select(F.regexp_extract("path", r"/raw/([^/]+)/", 1).alias("faculty_slug")).where("faculty_slug <> ''").dropDuplicates()
+    return files.select(F.regexp_extract("path", r"/raw/(?:[^/=]+=)?([^/]+)/", 1).alias("faculty_slug")).where("faculty_slug <> ''").dropDuplicates()
 
 
 def snapshots(spark: SparkSession, glob: str) -> DataFrame:
@@ -58,7 +58,8 @@ def config(spark: SparkSession, path: str) -> DataFrame:
     """SC9: (pos, slug, name, urls) of the configured faculties; none without the file."""
     import yaml
 
-    listed = yaml.safe_load(Path(path).read_text(encoding="utf-8")).get("faculties") or [] if Path(path).exists() else []
+    text = read_text(spark, path)
+    listed = (yaml.safe_load(text) or {}).get("faculties") or [] if text is not None else []
     return spark.createDataFrame([(i, f.get("slug"), f.get("name"), list(f.get("urls") or [])) for i, f in enumerate(listed)], "pos int, slug string, name string, urls array<string>")
 
 

@@ -241,6 +241,79 @@ def test_files(spark, tmp_path, program):
 def test_fetching():
     answers = {"https://a/1": [web.Answer(503), web.Answer(200, b"x", "application/pdf")], "https://a/2": [web.Answer(404)] * 9, "https://b/1": [web.Answer(200, b"<p>", "text/html")]}
     waits: list[float] = []
-    fetch = web.PoliteFetcher(lambda u: answers[u].pop(0), wait=waits.append, wanted="pdf", breaker=2)
+    fetch = web.PoliteFetcher(lambda u: answers[u].pop(0), wait=waits.append, wanted="pdf", breaker=2, polite=None)
     assert [fetch(u)["status"] for u in ("https://a/1", "https://b/1", "https://a/2", "https://a/2", "https://a/2")] == ["downloaded", "failed", "failed", "failed", "circuit_open"]
     assert waits == [1.0]
+
+
+def test_politeness_and_headers():
+    waits: list[float] = []
+    seen: list[str] = []
+
+    def get(url, headers):
+        seen.append(headers["User-Agent"])
+        return web.Answer(200, b"x", "text/html")
+
+    fetch = web.PoliteFetcher(get, wait=waits.append, headers=[{"User-Agent": "a"}, {"User-Agent": "b"}], chance=random.Random(1))
+    assert {fetch(f"https://a/{i}")["status"] for i in range(20)} == {"downloaded"}
+    assert len(waits) == 20 and all(1 <= w <= 3 for w in waits) and set(seen) == {"a", "b"}
+
+
+def test_rendered_pages():
+    class Fake:
+        closed = False
+
+        def html(self, url):
+            if "bad" in url:
+                raise OSError
+            return f"<p>{url}</p>"
+
+        def close(self):
+            self.closed = True
+
+    started = []
+    fetch = web.RenderedFetcher(lambda: started.append(Fake()) or started[-1])
+    assert [fetch(u)["status"] for u in ("https://a/1", "https://bad", "https://a/2")] == ["rendered", "failed", "rendered"]
+    fetch.close()
+    assert len(started) == 1 and started[0].closed and fetch.browser is None
+
+
+def test_unreadable_papers(spark):
+    def extract(content):
+        if content == b"bad":
+            raise ValueError("no paper")
+        return [("text", [[["a"]]])]
+
+    df = spark.createDataFrame([("u", bytearray(b"ok")), ("v", bytearray(b"bad")), ("w", None)], "pdf_url string, content binary")
+    got = {(r.pdf_url, r.page_no, r.text, r.error) for r in web.paper_pages(df, extract).collect()}
+    assert got == {("u", 1, "text", None), ("v", None, None, "ValueError: no paper")}
+
+
+def test_adapters(spark):
+    from admitta.sources import adapters
+
+    @adapters.register("example")
+    class Example(adapters.PageAdapter):
+        name = "Example"
+
+        def faculties(self, spark):
+            return spark.createDataFrame([(0, "f", "F", ["https://a.ro/m"])], "pos int, slug string, name string, urls array<string>")
+
+    a = adapters.adapter("example")
+    assert isinstance(a, adapters.Adapter) and (a.slug, a.name) == ("example", "Example") and "example" in adapters.registered()
+    pages = spark.createDataFrame([("1", "https://a.ro/admitere/licenta", "f", PAGE)], "page_id string, url string, faculty_slug string, html string")
+    assert a.programmes(pages).count() == 3 and a.papers(pages).count() == 2 and [r.score for r in a.grade_papers(pages).collect()] == [15, 5]
+    lines = spark.createDataFrame([("g", i, 0, "Antet") for i in range(3)] + [("g", 0, 1, "x")], "g string, p int, pos int, line string")
+    assert {r.text for r in a.without_boilerplate(lines).collect()} == {"x"}
+    queue = spark.createDataFrame([(1, "f", "http://u", None, "Cifra 2026")], "input_pos int, faculty_slug string, pdf_url string, url string, link_text string")
+    assert a.ranked(queue, 2026).first().stage_a_score == 25.0
+    with pytest.raises(KeyError, match="no adapter"):
+        adapters.adapter("nowhere")
+    with pytest.raises(ValueError, match="already"):
+        adapters.register("example")(Example)
+
+
+def test_csv_keeps_blanks_and_line_ends(spark, tmp_path):
+    rows = [(" a ", None), ('say "x", y', ""), ("two\nlines", "z\\")]
+    publish.write_csv(spark.createDataFrame(rows, "a string, b string"), str(tmp_path / "c"), one_file=True)
+    assert sorted((r.a, r.b) for r in files.exported_csv(spark, str(tmp_path / "c")).fillna("").collect()) == sorted((a, b or "") for a, b in rows)
