@@ -120,36 +120,56 @@ def exact_key(rule: int, words: Column, level: Column, language: Column) -> Colu
     return F.concat(text, *(F.concat(F.lit("|"), c) for c in ((level, language), (level,), (language,), ())[rule]))
 
 
-def candidate_keys(words: Column, is_row: bool) -> Column:
-    """Keys that names which may be alike word by word have in common.
+def shared_parts(words: Column) -> Column:
+    """Parts that names which may be alike word by word have in common, as hashes.
 
     All beginnings, all but one, three of them, and all endings. A name of more than ``MOST_TRIPLED``
-    beginnings has no triples: it meets the other side at single beginnings, which every name gives for
-    long names of the other side to find.
+    beginnings has no triples; see ``candidate_keys``.
     """
     codes, none = _codes(words), F.array().cast("array<string>")
     n, ends = F.size(codes), _codes(words, ends=True)
     some = lambda cond, keys: F.when(cond, keys).otherwise(none)
-    tag = lambda mark, keys: F.transform(keys, lambda k: F.concat(F.lit(mark), k))
-    mine, theirs = ("r:", "p:") if is_row else ("p:", "r:")
     all_but_one = F.transform(codes, lambda c: F.array_join(F.array_remove(codes, c), " "))
-    parts = (
-        some(n > 0, F.array(F.concat(F.lit("b:"), F.array_join(codes, " ")))), some(n >= 2, tag("b:", all_but_one)), some((n >= 3) & (n <= MOST_TRIPLED), tag("t:", _triples(codes))),
-        some(F.size(ends) > 0, F.array(F.concat(F.lit("e:"), F.array_join(ends, " ")))), some(n > MOST_TRIPLED, tag(mine, codes)), tag(theirs, codes),
-    )
-    return F.array_distinct(F.concat(*parts))
-
-
-def joined(rule: int, rows: DataFrame, programmes: DataFrame) -> DataFrame:
-    """(row_id, pid, row_lang, lang) of the pairs that a rule joins; for the last rule those that the check confirms."""
-    last = rule == len(RULES) - 1
-    key = lambda is_row: F.explode(candidate_keys(F.col("ws"), is_row)) if last else exact_key(rule, F.col("ws"), F.col("lvl"), F.col("lang"))
-    left = rows.select("row_id", "own", "fac", F.col("lvl").alias("row_lvl"), F.col("lang").alias("row_lang"), F.col("ws").alias("row_ws"), key(True).alias("key")).where("key IS NOT NULL")
-    right = programmes.select("pid", "fac", "lvl", "lang", "ws", "only_uid", key(False).alias("key")).where("key IS NOT NULL")
+    parts = (some(n > 0, F.array(F.array_join(codes, " "))), some(n >= 2, all_but_one), some((n >= 3) & (n <= MOST_TRIPLED), _triples(codes)), some(F.size(ends) > 0, F.array(F.concat(F.lit("e:"), F.array_join(ends, " ")))))
+    return F.array_distinct(F.transform(F.concat(*parts), lambda k: F.xxhash64(k)))
+
+
+def candidate_keys(parts: Column, words: Column, is_row: bool) -> Column:
+    """The parts, and for names without triples their single beginnings: a long name meets the other side at those, which every name gives for long names of the other side to find."""
+    codes = _codes(words)
+    mine, theirs = ("r:", "p:") if is_row else ("p:", "r:")
+    tag = lambda mark: F.transform(codes, lambda c: F.xxhash64(F.concat(F.lit(mark), c)))
+    return F.array_distinct(F.concat(parts, F.when(F.size(codes) > MOST_TRIPLED, tag(mine)).otherwise(F.array().cast("array<bigint>")), tag(theirs)))
+
+
+def joined(rule: int, rows: DataFrame, programmes: DataFrame, any_faculty: bool) -> DataFrame:
+    """(row_id, pid, row_lang, lang) of the pairs that a rule joins; for the last rule those that the check confirms.
+
+    With ``any_faculty`` rows of that name look in all faculties. The last rule joins hashes of parts
+    and ids only; each pair of a row and a name is then looked up and checked once.
+    """
+    attributes = [F.col(c).alias(f"row_{c}") for c in ("lvl", "lang", "ws")]
+    if rule < len(RULES) - 1:
+        key = exact_key(rule, F.col("ws"), F.col("lvl"), F.col("lang")).alias("key")
+        left = rows.select("row_id", "own", "fac", *attributes[:2], key).where("key IS NOT NULL")
+        right = programmes.select("pid", "fac", "lvl", "lang", "only_uid", key).where("key IS NOT NULL")
+        if any_faculty:
+            right = right.withColumn("fac", F.explode(F.array("fac", F.lit(ANY_FACULTY))))
+        pairs = left.join(right, ["fac", "key"])
+    else:
+        keys = lambda is_row: F.explode(candidate_keys(F.col("parts"), F.col("ws"), is_row)).alias("key")
+        left = rows.select("row_id", "fac", keys(True)) if "parts" in rows.columns else rows.withColumn("parts", shared_parts(F.col("ws"))).select("row_id", "fac", keys(True))
+        right = programmes.select("name_id", "fac", keys(False))
+        close = left.join(right, ["fac", "key"]).select("row_id", "name_id")
+        if any_faculty:  # few rows, so the keys of all names are not written out again for them
+            close = close.unionByName(left.where(F.col("fac") == ANY_FACULTY).select("row_id", "key").join(right, "key").select("row_id", "name_id"))
+        close = close.dropDuplicates()
+        pairs = close.join(programmes.select("name_id", "pid", "fac", "lvl", "lang", "ws", "only_uid"), "name_id")
+        pairs = pairs.join(rows.select("row_id", "own", F.col("fac").alias("row_fac"), *attributes), "row_id").where((F.col("row_fac") == ANY_FACULTY) | (F.col("row_fac") == F.col("fac")))
     fits = F.coalesce(F.col("row_lvl") == F.col("lvl"), F.lit(True)) & F.coalesce(F.col("row_lang") == F.col("lang"), F.lit(True)) & ~F.coalesce(F.col("own") == F.col("only_uid"), F.lit(False))
-    pairs = right.join(left, ["fac", "key"]).where(fits)
-    if last:
-        pairs = pairs.dropDuplicates(["row_id", "pid", "ws", "row_ws"]).where(agrees(F.col("row_ws"), F.col("ws")))
+    pairs = pairs.where(fits)
+    if rule == len(RULES) - 1:
+        pairs = pairs.where(agrees(F.col("row_ws"), F.col("ws")))
     return pairs.select("row_id", "pid", "row_lang", "lang")
 
 
@@ -160,25 +180,25 @@ def choose(found: DataFrame) -> DataFrame:
     return found.withColumn("_plain", plain).where(~foreign).select("row_id", "pid").dropDuplicates()
 
 
-def cascade(rows: DataFrame, programmes: DataFrame) -> DataFrame:
+def cascade(rows: DataFrame, programmes: DataFrame, any_faculty: bool = False) -> DataFrame:
     """(row_id, pid, rule): rule after rule over the rows that no stronger rule resolved.
 
     ``rows`` has row_id, own (a uid that must not be its own evidence, or null), fac, lvl, lang and ws;
-    ``programmes`` has pid, fac, lvl, lang, ws and only_uid (the uid that alone has these words, or null).
+    ``programmes`` has name_id, pid, fac, lvl, lang, ws, parts and only_uid (the uid that alone has these words, or null).
     """
     out = None
     for rule in range(len(RULES)):
         left = rows if out is None else rows.join(out.select("row_id"), "row_id", "left_anti")
-        found = materialize(choose(joined(rule, left, programmes)).withColumn("rule", F.lit(rule)))
+        found = materialize(choose(joined(rule, left, programmes, any_faculty)).withColumn("rule", F.lit(rule)))
         out = found if out is None else out.unionByName(found)
     return out
 
 
 def programme_records(programs: DataFrame) -> DataFrame:
-    """(uid, program_id, fac, lvl, lang, ws), one row per distinct record that names a programme of a faculty."""
+    """(uid, program_id, fac, lvl, lang, ws, parts), one row per distinct record that names a programme of a faculty."""
     name = F.col("name")
     out = programs.select("uid", "program_id", faculty_of(F.col("faculty_slug")).alias("fac"), level_of(F.col("level"), name).alias("lvl"), language_of(F.col("language"), name).alias("lang"), subject_words(name).alias("ws"))
-    return out.where("uid IS NOT NULL AND fac IS NOT NULL AND size(ws) > 0").dropDuplicates()
+    return out.where("uid IS NOT NULL AND fac IS NOT NULL AND size(ws) > 0").dropDuplicates().withColumn("parts", shared_parts(F.col("ws")))
 
 
 def paper_rows(pdf_rows: DataFrame, queue: DataFrame) -> DataFrame:
@@ -192,18 +212,18 @@ def paper_rows(pdf_rows: DataFrame, queue: DataFrame) -> DataFrame:
     name = F.col("program_name")
     rows = pdf_rows.select("pdf_url", "row_idx", level_of(F.col("level"), F.lit(None).cast("string")).alias("lvl"), language_of(F.lit(None).cast("string"), F.regexp_replace(name, r"-\s*\n\s*", "")).alias("lang"), subject_words(name).alias("ws"))
     rows = rows.where("pdf_url IS NOT NULL AND row_idx IS NOT NULL AND size(ws) > 0").dropDuplicates()
-    return rows.join(owners, "pdf_url").withColumn("row_id", F.concat_ws("#", F.col("row_idx"), F.col("pdf_url")))
+    return rows.join(owners, "pdf_url").withColumn("row_id", F.unhex(F.md5(F.concat_ws("#", F.col("row_idx"), F.col("pdf_url")))))
 
 
 def programmes_of(records: DataFrame) -> DataFrame:
-    """(pid, fac, lvl, lang, ws, only_uid) from records (uid, pid, fac, lvl, lang, ws).
+    """(name_id, pid, fac, lvl, lang, ws, parts, only_uid) from records (uid, pid, fac, lvl, lang, ws, parts), kept.
 
     Level and language told by any record of a programme hold for all its names.
     """
     foreign = F.struct(F.coalesce(F.col("lang") != "ro", F.lit(False)).alias("foreign"), F.col("lang").alias("lang"))
     told = records.groupBy("pid").agg(F.max("lvl").alias("lvl"), F.max(foreign)["lang"].alias("lang"))
-    names = records.groupBy("pid", "fac", "ws").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"))
-    return names.join(told, "pid").select("pid", "fac", "lvl", "lang", "ws", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only_uid"))
+    names = records.groupBy("pid", "fac", "ws").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"), F.first("parts").alias("parts"))
+    return materialize(names.join(told, "pid").select(F.monotonically_increasing_id().alias("name_id"), "pid", "fac", "lvl", "lang", "ws", "parts", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only_uid")))
 
 
 def like_programmes(lone: DataFrame, known: DataFrame) -> DataFrame:
@@ -243,22 +263,22 @@ def match_programmes(programs: DataFrame, pdf_rows: DataFrame, queue: DataFrame,
     """
     records = materialize(programme_records(programs))
     known = records.where("program_id IS NOT NULL").withColumn("pid", F.col("program_id"))
-    named = materialize(programmes_of(known))
-    lone = like_programmes(records.where("program_id IS NULL").withColumn("row_id", F.concat(F.lit("lone:"), F.col("uid"))), named)
+    named = programmes_of(known)
+    ided = lambda df, kind: df.withColumn("row_id", F.unhex(F.md5(F.to_json(F.struct(F.lit(kind), "uid", "ws", "fac", "lvl", "lang")))))
+    lone = like_programmes(ided(records.where("program_id IS NULL"), "lone"), named)
     # as a paper would show it: a language that is not marked is Romanian
-    sample = known.orderBy(F.xxhash64("uid", "ws"), "uid").limit(labelled).withColumn("row_id", F.concat(F.lit("labelled:"), F.to_json(F.struct("uid", "ws", "fac", "lvl", "lang"))))
-    cols = ("row_id", "uid", "program_id", "fac", "lvl", "ws")
+    sample = ided(known.orderBy(F.xxhash64("uid", "ws"), "uid").limit(labelled), "labelled")
+    cols = ("row_id", "uid", "program_id", "fac", "lvl", "ws", "parts")
     tested = materialize(lone.select(*cols, "lang").unionByName(sample.select(*cols, F.nullif("lang", F.lit("ro")).alias("lang"))))
-    found = cascade(tested.select("row_id", F.col("uid").alias("own"), "fac", "lvl", "lang", "ws"), named)
+    found = cascade(tested.select("row_id", F.col("uid").alias("own"), "fac", "lvl", "lang", "ws", "parts"), named)
     homes = found.join(tested.select("row_id", "uid", "program_id").dropDuplicates(), "row_id")
     sure = materialize(rule_confidence(homes.where("program_id IS NOT NULL")))
     attached = homes.where("program_id IS NULL").select("uid", F.col("pid").alias("home"))
     alone = tested.where("program_id IS NULL").join(attached, "uid", "left").withColumn("pid", F.coalesce("home", F.concat(F.lit("uid:"), F.col("uid"))))
-    cols = ("uid", "pid", "fac", "lvl", "lang", "ws")
+    cols = ("uid", "pid", "fac", "lvl", "lang", "ws", "parts")
     everyone = materialize(known.select(*cols).unionByName(alone.select(*cols)))
-    programmes = programmes_of(everyone).withColumn("fac", F.explode(F.array("fac", F.lit(ANY_FACULTY))))
     rows = materialize(paper_rows(pdf_rows, queue))
-    pairs = cascade(rows.withColumn("own", F.lit(None).cast("string")), materialize(programmes.withColumn("only_uid", F.lit(None).cast("string"))))
+    pairs = cascade(rows.withColumn("own", F.lit(None).cast("string")), programmes_of(everyone), any_faculty=True)
     pairs = pairs.join(rows.select("row_id", "pdf_url", "row_idx").dropDuplicates(), "row_id").join(everyone.select("uid", "pid").dropDuplicates(), "pid")
     best = pairs.groupBy("uid", "pdf_url", "row_idx").agg(F.min("rule").alias("rule"))
     return best.join(F.broadcast(sure.select("rule", "confidence")), "rule").select("uid", "pdf_url", "row_idx", "rule", "confidence")  # one row per rule

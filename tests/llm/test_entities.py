@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from admitta.llm.entities import candidate_keys, match_programmes, rule_confidence, subject_words
+from admitta.llm.entities import candidate_keys, match_programmes, rule_confidence, shared_parts, subject_words
 
 URL, RECTOR = "https://x.example/a.pdf", "https://r.example/b.pdf"
 NAME = "Monitorizarea vehiculelor teatrale în solarii militare"
@@ -75,7 +75,7 @@ def test_confidence_of_the_rest_each_rule_meets(spark):
 
 def test_keys_of_long_names_grow_with_their_words(spark):
     long = " ".join(chr(97 + i // 26) + chr(97 + i % 26) + "zz" + "q" * (i % 7) for i in range(300))
-    df = spark.createDataFrame([(long,), (NAME,)], "name string").select(F.size(candidate_keys(subject_words(F.col("name")), True)).alias("n"))
+    df = spark.createDataFrame([(long,), (NAME,)], "name string").select(F.size(candidate_keys(shared_parts(subject_words(F.col("name"))), subject_words(F.col("name")), True)).alias("n"))
     assert [r.n for r in df.collect()][0] < 2000
 
 
