@@ -5,16 +5,18 @@ Fixed values: results depend on each entry and on its order.
 
 from __future__ import annotations
 
-NEGATIVE = (
-    "secretariat contact acasa home meniu search regulament concurs bibliotec campus cazare burse orar proiect partener despre istoric"
-    " conducer departament login harta gdpr cookies anunt eveniment noutat presa media galerie admitere inscrier secretari"
-).split()
-POSITIVE = (
-    "inginer stiint limb literatur studi master licent manag drept informat tehnolog matemat chimi fizic biolog geografi istori teolog arte muzic"
-    " teatr pedagog sport educati administra econom finant didac psiholog comunic sociolog arhitect construct electr mecanic agronom horticult"
-    " silvicult marketing contab statistic kinetoterap farmac"
-).split()
-SUFFIXES = "ologie istica logie grafie metrie nomic genie turism silvic sanitar juridic".split()
+NEGATIVE = [
+    "secretariat", "contact", "acasa", "home", "meniu", "search", "regulament", "concurs", "bibliotec", "campus", "cazare", "burse", "orar", "proiect",
+    "partener", "despre", "istoric", "conducer", "departament", "login", "harta", "gdpr", "cookies", "anunt", "eveniment", "noutat", "presa", "media",
+    "galerie", "admitere", "inscrier", "secretari",
+]
+POSITIVE = [
+    "inginer", "stiint", "limb", "literatur", "studi", "master", "licent", "manag", "drept", "informat", "tehnolog", "matemat", "chimi", "fizic", "biolog",
+    "geografi", "istori", "teolog", "arte", "muzic", "teatr", "pedagog", "sport", "educati", "administra", "econom", "finant", "didac", "psiholog", "comunic",
+    "sociolog", "arhitect", "construct", "electr", "mecanic", "agronom", "horticult", "silvicult", "marketing", "contab", "statistic", "kinetoterap",
+    "farmac",
+]
+SUFFIXES = ["ologie", "istica", "logie", "grafie", "metrie", "nomic", "genie", "turism", "silvic", "sanitar", "juridic"]
 ABBREVIATIONS = {"calc": "calculatoare", "eng": "engleza", "ing": "inginerie", "auto": "automatica", "inf": "informatica", "mas": "master", "lic": "licenta"}
 DOCUMENT_TYPES = {
     "SPOTS": ["cifra", "locuri", "capacitate"],
@@ -25,20 +27,21 @@ DOCUMENT_TYPES = {
 }
 #: Types that speak against a wanted type.
 AGAINST = {"SPOTS": ["GUIDE", "EXAM", "RESULTS"], "RESULTS": ["GUIDE", "EXAM", "SPOTS"]}
-ROW_BLACKLIST = "total copie mentiunea original secretar semnatura document fiecare".split()
-HEADER_WORDS = "domeni specializ program studii buget tax cifra locuri".split()
-NAME_HEADERS = "domeni specializ program studii".split()
+ROW_BLACKLIST = ["total", "copie", "mentiunea", "original", "secretar", "semnatura", "document", "fiecare"]
+HEADER_WORDS = ["domeni", "specializ", "program", "studii", "buget", "tax", "cifra", "locuri"]
+NAME_HEADERS = ["domeni", "specializ", "program", "studii"]
 LIST_NOISE = ["ghid", "tutorial", "documente", "taxe", "înscriere", "calendar", "confirmare"]
 LIST_NOISE_MORE = [
-    *LIST_NOISE, "modalități", "calendar", "tematică", "interviu", "contact", "regulament", "concurs", "studenți", "burse", "cazare", "social", "sport",
+    *LIST_NOISE, "modalități", "tematică", "interviu", "contact", "regulament", "concurs", "studenți", "burse", "cazare", "social", "sport",
     "finalizare", "strategia", "proiecte", "cercetare", "declaratii", "structura", "conducere", "acorduri", "baza materială", "orar", "fise", "articole",
-    "evenimente", "rezultate", "confirmare", "acte", "dosar", "admitere online",
+    "evenimente", "rezultate", "acte", "dosar", "admitere online",
+]
+LIST_WHITELIST = [
+    "licență", "licenta", "master", "doctorat", "inginerie", "drept", "litere", "științe", "stiinte", "matematică", "fizică", "chimie", "informatică",
+    "geografie", "teologie", "istorie", "filosofie", "sociologie", "psihologie", "educație", "administrație", "economie", "finanțe", "management",
+    "marketing", "agricultură", "horticultură", "silvicultură", "mediu", "biologie", "peisagistică", "autovehicule", "robotica", "mecatronică", "electrică",
+    "energetică", "aerospatiala",
 ]
-LIST_WHITELIST = (
-    "licență licenta master doctorat inginerie drept litere științe stiinte matematică fizică chimie informatică geografie teologie istorie filosofie sociologie"
-    " psihologie educație administrație economie finanțe management marketing agricultură horticultură silvicultură mediu biologie peisagistică autovehicule robotica"
-    " mecatronică electrică energetică aerospatiala"
-).split()
 NAVIGATION = ["menu", "home", "contact", "hartă", "search", "faq", "cariere"]
 NAVIGATION_CLASSES = ["menu", "nav", "footer", "sidebar", "breadcrumb"]
 GRADE_LINK_WORDS = ["rezultate", "admis", "liste", "clasament", "medii"]

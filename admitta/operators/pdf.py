@@ -15,8 +15,9 @@ from admitta.functions.vocab import HEADER_WORDS, NAME_HEADERS, ROW_BLACKLIST
 from admitta.operators.boilerplate import first_known
 from admitta.operators.rank import contains_any
 
+#: Fixed value: what a name is written with.
 _NAME = r"[A-Za-zȘȚĂÂÎșțăâî\d\s\-(),./&]+?"
-#: A labelled name with both counts; a name with both counts on one line; a labelled name alone.
+#: A labelled name with both counts; a name with both counts on one line; a labelled name alone.
 LABELLED = rf"(?i)(?:Specializarea|Programul|Domeniul|DISCIPLINA)\s*[:\-]?\s*({_NAME})\s*[;|]?\s*(?=Locuri)[\s\S]{{0,300}}?Locuri\s*buget\s*[:\-]?\s*(\d+)[\s\S]{{0,100}}?Locuri\s*tax[aă]\s*[:\-]?\s*(\d+)"
 LINE_ITEM = r"(?im)^([A-Za-zȘȚĂÂÎșțăâî\d \-(),./&]+?)[ \t]+(\d+)\s*loc[^\n]*?buget[^\n]*?(\d+)\s*loc[^\n]*?tax"
 NAME_ONLY = r"(?im)(?:DISCIPLINA|SPECIALIZAREA|PROGRAMUL)\s*[:\-]\s*([A-ZȘȚĂÂÎ \-]+?)(?:\n|  |$)"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -16,6 +18,7 @@ def build_session(app: str = "admitta", master: str = "local[*]", **conf: str) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     builder = SparkSession.builder.appName(app).master(master)
     for key, value in settings.items():
@@ -26,7 +29,8 @@ def build_session(app: str = "admitta", master: str = "local[*]", **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (``spark.checkpoint.dir``).
 
-    Only where the session has none, and runs in one JVM, a local folder is set.
+    Only where the session has none, and runs in one JVM, a local folder is set, which goes when the
+    process ends.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -36,6 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="admitta-checkpoint-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir()
 
