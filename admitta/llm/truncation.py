@@ -22,7 +22,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -254,8 +254,7 @@ class TokenCounter:
 
     def count(self, texts: list[tuple[list[str], int]]) -> Iterator[tuple[str, list[str], np.ndarray, np.ndarray, np.ndarray]]:
         """(kind, keys, goes_on, ends, n) for texts given as (tokens, copies)."""
-        number = self.number.__getitem__
-        t = np.fromiter((number(x) for tokens, _ in texts for x in tokens), dtype=np.int64)
+        t = np.fromiter(map(self.number.__getitem__, chain.from_iterable(tokens for tokens, _ in texts)), dtype=np.int64)
         sizes = np.array([len(tokens) for tokens, _ in texts])
         copies = np.repeat(np.array([c for _, c in texts], dtype=np.int64), sizes)
         doc = np.repeat(np.arange(len(texts)), sizes)
