@@ -19,10 +19,11 @@ from admitta.llm.lookalike import CONFUSABLE
 from admitta.sources.tables import table
 
 #: Words that only remark on a programme or join its parts.
-REMARKS = (
-    "studii de programul program programe specializarea specializare domeniul domeniu licenta licență master masterat doctorat scoala doctorala in din pentru la cu"
-    " si and of the prog frecventa if ifr id zi nou noua an anul locuri buget taxa fara limba lb engleza engl eng en english predare integral sesiune"
-).split()
+REMARKS = [
+    "studii", "de", "programul", "program", "programe", "specializarea", "specializare", "domeniul", "domeniu", "licenta", "licență", "master", "masterat",
+    "doctorat", "scoala", "doctorala", "in", "din", "pentru", "la", "cu", "si", "and", "of", "the", "prog", "frecventa", "if", "ifr", "id", "zi", "nou",
+    "noua", "an", "anul", "locuri", "buget", "taxa", "fara", "limba", "lb", "engleza", "engl", "eng", "en", "english", "predare", "integral", "sesiune",
+]
 #: Shortest prefix of a reference word that an abbreviation may be.
 MIN_ABBREVIATION = 4
 #: Edits searched for by length of the reference string, from this length on.
