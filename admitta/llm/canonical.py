@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from admitta.functions.fold import fold
+from admitta.llm.fold import fold
 from admitta.llm.lookalike import CONFUSABLE
 from admitta.sources.tables import table
 
