@@ -76,6 +76,9 @@ def search(queries: DataFrame, rows: DataFrame, on: Sequence[str], best: Callabl
     left = q_blocks.join(r_sizes, on).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("r_blocks") - 1)))
     right = r_blocks.join(q_sizes, on).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
     pairs = left.join(right, [*on, "q", "r"]).select(F.struct(*on).alias("g"), "q_items", "r_items")
+    # few bytes and much work: the blocks must not be put together into few tasks for their size
+    spark = pairs.sparkSession
+    pairs = pairs.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
     kind = {f.name: f.dataType.simpleString() for f in pairs.schema.fields}
     schema = f"g {kind['g']}, query {kind['q_items'][6:-1]}, found struct<{found}>"
     types = pairs.sparkSession.createDataFrame([], schema).schema

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from admitta.functions.identity import subdomain
+from admitta.functions.identity import snapshot_name, subdomain
 from admitta.functions.parse import count_or_zero, name_language
 from admitta.functions.text import display_name
 from admitta.functions.vocab import CAREERS_ALL, CAREERS_FIRST, NO_CAREER
@@ -124,6 +124,19 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("run_id", "
     df.write.mode("append").partitionBy(*by).parquet(path)
 
 
+def snapshot_rows(pages: DataFrame, only_latest: bool = False) -> DataFrame:
+    """SK8: pages (faculty_slug, url, at, html) with the name of their file, every version or only the latest of each address.
+
+    Written with ``write_partitioned``. Pages without address or time have no name and are left out; of
+    versions of one time the largest text stays.
+    """
+    named = pages.where("url IS NOT NULL AND at IS NOT NULL").withColumn("file_name", snapshot_name(F.col("at"), F.sha2("url", 256)))
+    if not only_latest:
+        return named.dropDuplicates()
+    rest = [c for c in named.columns if c != "url"]
+    return named.groupBy("url").agg(F.max_by(F.struct(*rest), F.struct("at", "html", "faculty_slug")).alias("p")).select("url", "p.*")
+
+
 def manifest(outcomes: DataFrame, run_id: str, started_at: str, finished_at: str) -> DataFrame:
     """Totals of a run from (faculty_slug, status); a faculty is successful when an address was fetched."""
     ok = outcomes.groupBy("faculty_slug").agg(F.bool_or(F.col("status") == "OK").alias("ok"))

@@ -7,10 +7,12 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from admitta.functions import identity
 from admitta.operators import coverage, publish
 from admitta.session import read_text, shared_path, write_text
 from admitta.sources import files, web
 from admitta.sources.tables import table
+from admitta.streaming import queue
 
 _KEPT = ("uid", "run_id", "scraped_at", "name", "level", "faculty_slug", "program_id", "spots_raw", "admission_year", "spots_budget", "spots_tax", "source_type")
 
@@ -104,6 +106,27 @@ def partitioned(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("uid string, name string, spots_budget int, run_id string, faculty_slug string").parquet(path)
 
 
+def snapshot_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """SK8: every version of a page and the latest one of each address, written by faculty and read."""
+    path = shared_path(spark, "snapshots")
+    d = table(spark, folder, "documents").select("faculty_slug", "url", F.col("fetched_at").alias("at"), F.md5("text").alias("html"))
+    for only_latest, part in ((False, "all"), (True, "latest")):
+        publish.write_partitioned(publish.snapshot_rows(d, only_latest).withColumn("part", F.lit(part)), path, ("part", "faculty_slug"))
+    return spark.read.schema("url string, at timestamp, html string, file_name string, part string, faculty_slug string").parquet(path).select("url", "html", "file_name", "part", "faculty_slug")
+
+
+def queue_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """ST4: downloads arrive as a stream in several batches; the queue is merged with each and read at the end."""
+    path = shared_path(spark, "queue")
+    q = table(spark, folder, "pdf_queue").dropDuplicates(["input_pos"])
+    results = q.where("status IN ('queued', 'pending') AND coalesce(pdf_url, url) IS NOT NULL").select(F.coalesce("pdf_url", "url").alias("address"), F.lit(1).alias("seq"), F.lit("downloaded").alias("status"), identity.pdf_name(F.coalesce("pdf_url", "url"), "spots").alias("local_path"))
+    results.repartition(3, "address").write.parquet(f"{path}/results")
+    queue.start(spark, q, f"{path}/state")
+    stream = spark.readStream.schema("address string, seq int, status string, local_path string").option("maxFilesPerTrigger", 1).parquet(f"{path}/results")
+    queue.merged(stream, f"{path}/state").option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
+    return queue.current(spark, f"{path}/state").select("input_pos", "status", "local_path")
+
+
 def errors(spark: SparkSession, folder: str) -> DataFrame:
     """SK7: what could not be fetched, as rows of errors, written and read."""
     path = shared_path(spark, "errors")
@@ -126,7 +149,7 @@ def newest_run(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "sc1_sk2_programs_json": programs_json, "sc3_sc4_run_programs": run_programs, "sc2_a11_json_counts": json_counts, "sc5_sk1_flat_csv": flat_csv, "sc6_sk9_manifest": manifest_faculties, "sc7_sk8_snapshots": html_snapshots, "sc8_latest_map": latest_map,
-    "sc9_o5_config": configured, "sk5_partitioned": partitioned, "sk7_errors": errors, "sc14_stored_names": stored_names, "o11_last_run": newest_run,
+    "sc9_o5_config": configured, "sk5_partitioned": partitioned, "sk7_errors": errors, "sk8_versions": snapshot_versions, "st4_queue_stream": queue_stream, "sc14_stored_names": stored_names, "o11_last_run": newest_run,
 }
 
 SQL = {
@@ -140,6 +163,8 @@ SQL = {
     "sc9_o5_config": "SELECT (row_number() OVER (ORDER BY pos) - 1)::INT AS pos, slug, name, array_to_string(urls, ' ') AS urls, 'all' AS part FROM faculties UNION ALL SELECT (row_number() OVER (ORDER BY pos) - 1)::INT, slug, name, array_to_string(urls, ' '), 'trial' FROM faculties QUALIFY row_number() OVER (ORDER BY pos) <= 10",
     "sk5_partitioned": "SELECT uid, name, spots_budget, run_id, faculty_slug FROM programs",
     "sk7_errors": "SELECT faculty_slug, coalesce(pdf_url, url) AS url, coalesce(status, 'unknown') AS error, left(link_text, 100) AS raw, sha256(concat_ws('|', coalesce(pdf_url, url), coalesce(status, 'unknown'))) AS key FROM pdf_queue WHERE status IS NULL OR status NOT IN ('OK', 'done', 'downloaded')",
+    "sk8_versions": "WITH n AS (SELECT DISTINCT faculty_slug, url, fetched_at AS tm, md5(text) AS html, strftime(fetched_at, '%H%M%S') || '_' || left(sha256(url), 8) || '_snapshot.html' AS file_name FROM documents WHERE url IS NOT NULL AND fetched_at IS NOT NULL) SELECT url, html, file_name, 'all' AS part, faculty_slug FROM n UNION ALL SELECT url, html, file_name, 'latest', faculty_slug FROM (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY url ORDER BY tm DESC, html DESC NULLS LAST, faculty_slug DESC NULLS LAST) = 1)",
+    "st4_queue_stream": "WITH q AS (SELECT DISTINCT ON (input_pos) *, coalesce(pdf_url, url) AS address FROM pdf_queue), w AS (SELECT DISTINCT address FROM q WHERE status IN ('queued', 'pending') AND address IS NOT NULL) SELECT input_pos, CASE WHEN w.address IS NOT NULL THEN 'downloaded' ELSE status END AS status, CASE WHEN w.address IS NOT NULL THEN 'spots_' || left(md5(w.address), 8) || '.pdf' ELSE local_path END AS local_path FROM q LEFT JOIN w ON q.address = w.address",
     "sc14_stored_names": "SELECT DISTINCT u AS url, regexp_replace(coalesce(link_text, '') || '.pdf', '[^\\p{L}\\p{N}._-]', '', 'g') AS file_name, left(sha256(u), 16) || '.pdf' AS stored_name FROM (SELECT coalesce(pdf_url, url) AS u, link_text FROM pdf_queue) WHERE u IS NOT NULL AND u NOT IN (SELECT coalesce(pdf_url, url) FROM pdf_queue WHERE status = 'done' AND coalesce(pdf_url, url) IS NOT NULL)",
     "o11_last_run": "SELECT max(run_id) AS run_id FROM run_manifests",
 }
