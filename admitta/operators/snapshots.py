@@ -104,13 +104,15 @@ class SnapshotIndex:
 
     @classmethod
     def open(cls, spark: SparkSession, label: str, compared: Sequence[str] = COMPARED, buckets: int = 0) -> SnapshotIndex:
+        if not label.isidentifier() and not label.isalnum():
+            raise ValueError(f"a label is letters, digits and underscores: {label!r}")
         index = cls(spark, label, compared, buckets)
         kept = [name for name in list_path(spark, index.root) if name.startswith("buckets=")]
         if kept:
             index.buckets = int(kept[0].partition("=")[2])
             index._create()
             spark.sql(f"ALTER TABLE {index.table_name} RECOVER PARTITIONS")
-            index.runs = [unquote(r[0].partition("=")[2]) for r in spark.sql(f"SHOW PARTITIONS {index.table_name}").collect()]  # the kept one and those of a broken advance
+            index.runs = index._partitions()
         return index
 
     @property
@@ -131,6 +133,10 @@ class SnapshotIndex:
     def _partition(self, run_id: str) -> str:
         return f"PARTITION (run_id = '{_quoted(run_id)}')"
 
+    def _partitions(self) -> list[str]:
+        """The kept run, those of a broken advance and those just taken in."""
+        return [unquote(r[0].partition("=")[2]) for r in self.spark.sql(f"SHOW PARTITIONS {self.table_name}").collect()]
+
     def _folder(self, run_id: str) -> str:
         return self.spark.sql(f"DESCRIBE FORMATTED {self.table_name} {self._partition(run_id)}").where("col_name = 'Location'").first().data_type
 
@@ -158,7 +164,8 @@ class SnapshotIndex:
         # all of a run's bucket in one task, which writes one sorted file of it
         placed = index.repartition(min(self.buckets * len(due), 1 << 17), "run_id", F.pmod(F.hash("k"), F.lit(self.buckets)))
         placed.write.mode("append").option("compression", "zstd").insertInto(self.table_name)
-        for run_id in due:  # also of a snapshot without rows
+        there = self._partitions()
+        for run_id in [r for r in due if r not in there]:  # a snapshot without rows is one, too
             self.spark.sql(f"ALTER TABLE {self.table_name} ADD IF NOT EXISTS {self._partition(run_id)}")
             make_path(self.spark, self._folder(run_id))
         self.runs += due
@@ -174,11 +181,12 @@ class SnapshotIndex:
         both = self.of(run_id).join(old.hint("merge"), F.col("k") == F.col("ko"), "full_outer")
         return both.select(F.lit(run_id).alias("run_id"), F.coalesce("k", "ko").alias("k"), kind.alias("change_kind")).where(F.col("change_kind").isNotNull())
 
-    def advance(self, snapshots: DataFrame, order: Sequence[str]) -> DataFrame:
+    def advance(self, snapshots: DataFrame, order: Sequence[str], keep: bool = True) -> DataFrame:
         """(run_id, before_id, uid, change_kind) of the full snapshots after the kept one.
 
         ``order`` lists the full snapshots so far; those up to the kept one are not read again. A kept
-        run that is no longer listed starts anew with the first one.
+        run that is no longer listed starts anew with the first one. Without ``keep`` nothing is swapped,
+        for an index that is dropped next.
         """
         known = [r for r in order if r in self.runs]
         self.current = known[0] if known else None
@@ -194,7 +202,7 @@ class SnapshotIndex:
             out = part if k == 0 else out.unionAll(part)
         if parts:
             out = materialize(out)
-        if steps:
+        if steps and keep:
             self.swap(steps[-1])
         return out
 
@@ -222,7 +230,7 @@ def diff_snapshots(snapshots: DataFrame, manifests: DataFrame, compared: Sequenc
     """
     index = SnapshotIndex.open(snapshots.sparkSession, uuid.uuid4().hex, compared, buckets)
     try:
-        return index.advance(snapshots, run_order(manifests))
+        return index.advance(snapshots, run_order(manifests), keep=False)
     finally:
         index.drop()
 

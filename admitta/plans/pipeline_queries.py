@@ -90,10 +90,10 @@ def grade_links(spark: SparkSession, folder: str) -> DataFrame:
 
 def paper_contents(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of a source as the pages of one paper, in the order of their ids."""
+    docs = table(spark, folder, "documents").select(F.concat_ws("/", "source", "faculty_slug").alias("pdf_url"), "doc_id", "text")
+    first = docs.withColumn("page_no", F.expr("row_number() OVER (PARTITION BY pdf_url ORDER BY doc_id)")).where("page_no <= 2")
     lines = F.transform(F.filter(F.split("text", "\n"), lambda x: F.contains(x, F.lit("|"))), lambda x: F.split(x, r"\|"))
-    tables = F.when(F.size(lines) > 0, F.array(lines))
-    docs = table(spark, folder, "documents").select(F.concat_ws("/", "source", "faculty_slug").alias("pdf_url"), "doc_id", "text", tables.alias("tables"))
-    numbered = docs.withColumn("page_no", F.expr("row_number() OVER (PARTITION BY pdf_url ORDER BY doc_id)"))
+    numbered = first.withColumn("tables", F.when(F.size(lines) > 0, F.array(lines)))
     return rank.content_score(numbered, YEAR).select("pdf_url", "text_density", "has_table", "rows_with_numbers", "detected_year", "content_score")
 
 

@@ -317,3 +317,74 @@ def test_csv_keeps_blanks_and_line_ends(spark, tmp_path):
     rows = [(" a ", None), ('say "x", y', ""), ("two\nlines", "z\\")]
     publish.write_csv(spark.createDataFrame(rows, "a string, b string"), str(tmp_path / "c"), one_file=True)
     assert sorted((r.a, r.b) for r in files.exported_csv(spark, str(tmp_path / "c")).fillna("").collect()) == sorted((a, b or "") for a, b in rows)
+
+
+def test_failures_in_a_row_over_cells(spark):
+    """Cells of any width, keys and times that are null among them, give what a loop over the events gives."""
+    from admitta.streaming import breaker
+
+    rnd = random.Random(3)
+    rows = [(i, rnd.choice(["hot", "hot", "hot", "b", None]), rnd.choice([None, *range(50)]), rnd.random() < 0.3) for i in range(400)]
+    df = spark.createDataFrame([(i, k, t, ok, 1) for i, k, t, ok in rows], "i int, key string, t int, ok boolean, n int")
+    want, open_now = {}, {}
+    for i, k, t, ok in sorted(rows, key=lambda r: (r[2] is not None, r[2], r[0])):
+        open_now[k] = 0 if ok else open_now.get(k, 0) + 1
+        want[i] = open_now[k]
+    for width in (1, 7, 1000):
+        got = breaker.failures_in_a_row(df, "key", ["t", "i"], "ok", F.floor(F.col("t") / width))
+        assert {r.i: r.failures for r in got.collect()} == want and got.columns == [*df.columns, "failures"]
+    assert breaker.failures_in_a_row(df.where("false"), "key", ["t", "i"], "ok", F.col("t")).count() == 0
+
+
+def test_containment_against_all_pairs(spark):
+    from admitta.operators import coverage
+
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("ab -") for _ in range(rnd.choice((0, 1, 2, 5, 6, 7, 12))))
+    left, right = [(i, rnd.choice([None, word()])) for i in range(120)], [(rnd.choice([None, word()]),) for _ in range(60)]
+    t = spark.createDataFrame(left, "key int, name string")
+    o = spark.createDataFrame(right, "name string")
+    form = lambda n: (n or "").replace("-", " ").strip(" ")
+    want = {k for k, n in left if form(n) and any(form(m) and (form(n) in form(m) or form(m) in form(n)) for (m,) in right)}
+    assert {r.key for r in coverage.containment_hits(t, o).collect()} == want
+    assert coverage.containment_hits(t.where("false"), o).count() == 0 and coverage.containment_hits(t, o.where("false")).count() == 0
+
+
+def test_ranked_queue_over_stretches(spark, monkeypatch):
+    q = spark.createDataFrame([(i, "f" if i % 3 else None, f"http://u/{i}", None, ["Cifra 2026", "Ghid", "Cifra"][i % 3]) for i in range(90)], "input_pos int, faculty_slug string, pdf_url string, url string, link_text string")
+    want = {r.input_pos: r.place for r in rank.ranked_queue(q, 2026).collect()}
+    monkeypatch.setattr(rank, "STRETCH", 4)
+    assert {r.input_pos: r.place for r in rank.ranked_queue(q, 2026).collect()} == want
+    assert {r.input_pos for r in rank.best_papers(q, 2026, 5).collect()} == {i for i, p in want.items() if p <= 5}
+
+
+def test_queue_is_merged_batch_by_batch(spark, tmp_path):
+    from admitta.streaming import queue
+
+    path = str(tmp_path / "state")
+    q = spark.createDataFrame([(1, "u", None, "queued", None), (2, "v", None, "queued", None)], "input_pos int, pdf_url string, url string, status string, local_path string")
+    queue.start(spark, q, path)
+    results = spark.createDataFrame([("u", 1, "failed", None), ("u", 2, "downloaded", "a.pdf")], "address string, seq int, status string, local_path string")
+    results.write.parquet(str(tmp_path / "in" / "1"))
+    read = lambda: spark.readStream.schema(results.schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    run = lambda progress: queue.merged(read(), path).option("checkpointLocation", str(tmp_path / progress)).trigger(availableNow=True).start().awaitTermination()
+    run("a")
+    state = lambda: {r.input_pos: (r.status, r.local_path) for r in queue.current(spark, path).collect()}
+    assert state() == {1: ("downloaded", "a.pdf"), 2: ("queued", None)}
+    spark.createDataFrame([("v", 3, "failed", None)], results.schema).write.parquet(str(tmp_path / "in" / "2"))
+    run("a")
+    assert state() == {1: ("downloaded", "a.pdf"), 2: ("failed", None)}
+
+
+def test_small_helpers(spark):
+    from admitta.operators import coverage
+
+    f = spark.createDataFrame([(2, "b", "B"), (1, "a", None)], "pos int, slug string, name string")
+    assert [r.slug for r in coverage.first_listed(f, "pos", 1).collect()] == ["a"] and coverage.first_listed(f, "pos", None).count() == 2
+    p = spark.createDataFrame([("1", "b"), ("2", "c"), ("3", None)], "uid string, faculty_slug string")
+    assert {r.uid: r.faculty_name for r in fuse.with_faculty_name(p, f).collect()} == {"1": "B", "2": "C", "3": None}
+    assert coverage.counts(spark.createDataFrame([("x",), ("x",), ("y",)], "file string")).first().asDict() == {"files": 2, "records": 3}
+    e = publish.error_rows(spark.createDataFrame([("f", "u", "ERROR", None, "x" * 300), ("f", "v", "OK", None, None), ("f", None, None, "m", None)], "faculty_slug string, url string, status string, message string, content string"), "2026-01-01")
+    assert sorted((r.url or "", r.error, len(r.raw or "")) for r in e.collect()) == [("", "m", 0), ("u", "ERROR", 100)]
+    pages = spark.createDataFrame([("f", "u", dt.datetime(2026, 1, 1, 8), "a"), ("f", "u", dt.datetime(2026, 1, 1, 9), "b"), ("f", None, None, "c")], "faculty_slug string, url string, at timestamp, html string")
+    assert publish.snapshot_rows(pages).count() == 2 and [(r.html, r.file_name[:6]) for r in publish.snapshot_rows(pages, True).collect()] == [("b", "090000")]
