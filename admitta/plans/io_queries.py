@@ -142,6 +142,41 @@ def stored_names(spark: SparkSession, folder: str) -> DataFrame:
     return due.select("url", web.safe_file_name(F.concat(F.coalesce("link_text", F.lit("")), F.lit(".pdf"))).alias("file_name"), web.stored_name(F.encode("url", "UTF-8")).alias("stored_name")).dropDuplicates()
 
 
+def _answers() -> web.PoliteFetcher:
+    """A fetcher without a network: what a server says follows from the address."""
+    from hashlib import md5
+
+    def get(url: str) -> web.Answer:
+        digit = md5(url.encode()).hexdigest()[0]
+        if digit in "0123":
+            return web.Answer(404)
+        return web.Answer(200, url.encode(), "text/html" if digit == "4" else "application/pdf")
+
+    return web.PoliteFetcher(get, wanted="pdf", polite=None, wait=lambda _: None)
+
+
+def fetched(spark: SparkSession, folder: str) -> DataFrame:
+    """SC10, SC11, SC13, ST3, F14: addresses that wait for their download, fetched in lanes of whole hosts; a host is left alone after three failures in a row."""
+    found = web.fetch(web.due(table(spark, folder, "pdf_queue")), _answers)
+    return found.select("url", "status", "code", F.md5("content").alias("content_md5"), "tries")
+
+
+def paper_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """SC15, SC16: papers whose bytes are the lines of their rows; a paper that starts with a digit can't be read."""
+    rows = table(spark, folder, "pdf_rows").where("program_name IS NOT NULL").select("pdf_url", (F.floor(F.col("row_idx") / 20)).alias("part"), "row_idx", F.regexp_replace("program_name", r"\s+", " ").alias("line")).dropDuplicates()
+    papers = rows.groupBy("pdf_url", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "line"))), lambda x: x["line"]), "\n").alias("text"))
+
+    def extract(content: bytes) -> list[tuple[str, list]]:
+        text = content.decode("utf-8")
+        if text[:1].isdigit():
+            raise ValueError("no paper")
+        lines = text.split("\n")
+        return [("\n".join(lines[i : i + 5]), [[[x] for x in lines[i : i + 5]]]) for i in range(0, len(lines), 5)]
+
+    files = papers.select(F.concat_ws("#", "pdf_url", F.col("part").cast("string")).alias("pdf_url"), F.encode("text", "UTF-8").alias("content"))
+    return web.paper_pages(files, extract).select("pdf_url", "page_no", "text", F.size(F.get("tables", F.lit(0))).cast("long").alias("table_rows"), "error").withColumn("table_rows", F.when(F.col("table_rows") >= 0, F.col("table_rows")))
+
+
 def newest_run(spark: SparkSession, folder: str) -> DataFrame:
     """O11."""
     return files.last_run(spark, table(spark, folder, "run_manifests"))
@@ -149,7 +184,7 @@ def newest_run(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "sc1_sk2_programs_json": programs_json, "sc3_sc4_run_programs": run_programs, "sc2_a11_json_counts": json_counts, "sc5_sk1_flat_csv": flat_csv, "sc6_sk9_manifest": manifest_faculties, "sc7_sk8_snapshots": html_snapshots, "sc8_latest_map": latest_map,
-    "sc9_o5_config": configured, "sk5_partitioned": partitioned, "sk7_errors": errors, "sk8_versions": snapshot_versions, "st4_queue_stream": queue_stream, "sc14_stored_names": stored_names, "o11_last_run": newest_run,
+    "sc9_o5_config": configured, "sk5_partitioned": partitioned, "sk7_errors": errors, "sk8_versions": snapshot_versions, "st4_queue_stream": queue_stream, "sc14_stored_names": stored_names, "o11_last_run": newest_run, "sc10_st3_fetched": fetched, "sc15_paper_texts": paper_texts,
 }
 
 SQL = {
@@ -166,5 +201,11 @@ SQL = {
     "sk8_versions": "WITH n AS (SELECT DISTINCT faculty_slug, url, fetched_at AS tm, md5(text) AS html, strftime(fetched_at, '%H%M%S') || '_' || left(sha256(url), 8) || '_snapshot.html' AS file_name FROM documents WHERE url IS NOT NULL AND fetched_at IS NOT NULL) SELECT url, html, file_name, 'all' AS part, faculty_slug FROM n UNION ALL SELECT url, html, file_name, 'latest', faculty_slug FROM (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY url ORDER BY tm DESC, html DESC NULLS LAST, faculty_slug DESC NULLS LAST) = 1)",
     "st4_queue_stream": "WITH q AS (SELECT DISTINCT ON (input_pos) *, coalesce(pdf_url, url) AS address FROM pdf_queue), w AS (SELECT DISTINCT address FROM q WHERE status IN ('queued', 'pending') AND address IS NOT NULL) SELECT input_pos, CASE WHEN w.address IS NOT NULL THEN 'downloaded' ELSE status END AS status, CASE WHEN w.address IS NOT NULL THEN 'spots_' || left(md5(w.address), 8) || '.pdf' ELSE local_path END AS local_path FROM q LEFT JOIN w ON q.address = w.address",
     "sc14_stored_names": "SELECT DISTINCT u AS url, regexp_replace(coalesce(link_text, '') || '.pdf', '[^\\p{L}\\p{N}._-]', '', 'g') AS file_name, left(sha256(u), 16) || '.pdf' AS stored_name FROM (SELECT coalesce(pdf_url, url) AS u, link_text FROM pdf_queue) WHERE u IS NOT NULL AND u NOT IN (SELECT coalesce(pdf_url, url) FROM pdf_queue WHERE status = 'done' AND coalesce(pdf_url, url) IS NOT NULL)",
+    "sc10_st3_fetched": """WITH u AS (SELECT DISTINCT coalesce(pdf_url, url) AS url FROM pdf_queue WHERE status IN ('queued', 'pending') AND coalesce(pdf_url, url) IS NOT NULL), a AS (SELECT url, regexp_extract(url, '^[a-z]+://([^/]*)', 1) AS host, left(md5(url), 1) AS d FROM u),
+n AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY url) AS n, CASE WHEN d IN ('0', '1', '2', '3', '4') THEN 1 ELSE 0 END AS bad FROM a), r AS (SELECT *, sum(bad) OVER (PARTITION BY host ORDER BY n ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS three FROM n), o AS (SELECT host, min(n) AS stop FROM r WHERE three = 3 GROUP BY host)
+SELECT url, CASE WHEN r.n > o.stop THEN 'circuit_open' WHEN bad = 1 THEN 'failed' ELSE 'downloaded' END AS status, CASE WHEN r.n > o.stop THEN NULL WHEN d IN ('0', '1', '2', '3') THEN 404 ELSE 200 END AS code, CASE WHEN coalesce(r.n <= o.stop, true) AND bad = 0 THEN md5(url) END AS content_md5, CASE WHEN r.n > o.stop THEN 0 ELSE 1 END AS tries FROM r LEFT JOIN o ON r.host = o.host""",
+    "sc15_paper_texts": """WITH l AS (SELECT DISTINCT pdf_url, floor(row_idx / 20.0)::BIGINT AS part, row_idx, regexp_replace(program_name, '\\s+', ' ', 'g') AS line FROM pdf_rows WHERE program_name IS NOT NULL), n AS (SELECT pdf_url || '#' || part AS pdf_url, line, row_number() OVER (PARTITION BY pdf_url, part ORDER BY row_idx, line) - 1 AS k, row_idx FROM l),
+bad AS (SELECT pdf_url FROM n WHERE k = 0 AND regexp_matches(line, '^[0-9]'))
+SELECT pdf_url, (k // 5 + 1)::INT AS page_no, string_agg(line, chr(10) ORDER BY k) AS text, count(*) AS table_rows, NULL::VARCHAR AS error FROM n WHERE pdf_url NOT IN (SELECT pdf_url FROM bad) GROUP BY pdf_url, k // 5 UNION ALL SELECT pdf_url, NULL, NULL, NULL, 'ValueError: no paper' FROM bad""",
     "o11_last_run": "SELECT max(run_id) AS run_id FROM run_manifests",
 }

@@ -136,6 +136,16 @@ class WebSource(DataSource):
         return _WebReader(self.options, type(self).get)
 
 
+def web_source(get: Callable[[str], Answer]) -> type[WebSource]:
+    """The web reader over a fetcher: ``spark.dataSource.register(web_source(get))``. It travels to the workers with the fetcher in it."""
+
+    class Fetched(WebSource):
+        pass
+
+    Fetched.get = staticmethod(get)
+    return Fetched
+
+
 class _WebReader(DataSourceReader):
     def __init__(self, options, get):
         self.urls, self.get = [u for u in options.get("urls", "").split(",") if u], get
@@ -148,7 +158,7 @@ class _WebReader(DataSourceReader):
             return
         if self.get is None:
             raise RuntimeError("no fetcher is registered; set WebSource.get")
-        r = PoliteFetcher(self.get)(partition.value)
+        r = PoliteFetcher(self.get, polite=None)(partition.value)
         yield tuple(r[f.split()[0]] for f in FETCHED.split(", "))
 
 
@@ -175,6 +185,11 @@ def paper_pages(files: DataFrame, extract: Callable[[bytes], list[tuple[str, lis
     return files.select("pdf_url", "content").mapInPandas(run, PAGES + ", error string")
 
 
+def due(queue: DataFrame, waiting: Sequence[str] = ("queued", "pending")) -> DataFrame:
+    """(url) of the entries that wait for their download, each address once; entries without an address are left out."""
+    return queue.where(F.col("status").isin(*waiting)).select(F.coalesce("pdf_url", "url").alias("url")).where("url IS NOT NULL").dropDuplicates()
+
+
 def not_stored(wanted: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """SC14: what is not there yet; only this is downloaded."""
     return wanted.join(stored.select(key).where(F.col(key).isNotNull()).dropDuplicates(), key, "left_anti")

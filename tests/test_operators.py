@@ -388,3 +388,10 @@ def test_small_helpers(spark):
     assert sorted((r.url or "", r.error, len(r.raw or "")) for r in e.collect()) == [("", "m", 0), ("u", "ERROR", 100)]
     pages = spark.createDataFrame([("f", "u", dt.datetime(2026, 1, 1, 8), "a"), ("f", "u", dt.datetime(2026, 1, 1, 9), "b"), ("f", None, None, "c")], "faculty_slug string, url string, at timestamp, html string")
     assert publish.snapshot_rows(pages).count() == 2 and [(r.html, r.file_name[:6]) for r in publish.snapshot_rows(pages, True).collect()] == [("b", "090000")]
+
+
+def test_web_source(spark):
+    spark.dataSource.register(web.web_source(lambda url: web.Answer(200 if "a" in url else 404, url.encode(), "text/html")))
+    got = {r.url: (r.status, r.code) for r in spark.read.format("web").option("urls", "http://a,http://b").load().collect()}
+    assert got == {"http://a": ("downloaded", 200), "http://b": ("failed", 404)}
+    assert spark.read.format("web").load().count() == 0
