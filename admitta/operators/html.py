@@ -38,17 +38,20 @@ class _Node:
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
 
     def texts(self) -> Iterator[str]:
-        for c in self.children:
+        left = self.children[::-1]
+        while left:
+            c = left.pop()
             if isinstance(c, str):
                 yield c
             elif c.tag not in ("script", "style"):
-                yield from c.texts()
+                left.extend(reversed(c.children))
 
     def walk(self) -> Iterator[_Node]:
-        yield self
-        for c in self.children:
-            if not isinstance(c, str):
-                yield from c.walk()
+        left = [self]
+        while left:
+            n = left.pop()
+            yield n
+            left.extend(c for c in reversed(n.children) if not isinstance(c, str))
 
     def up(self) -> Iterator[_Node]:
         n = self.parent

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,17 @@ def build_session(app: str = "admitta", master: str = "local[*]", **conf: str) -
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster on which it is not installed."""
+    root = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as folder:
+        archive = f"{folder}/admitta.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for path in sorted(root.rglob("*.py")):
+                z.write(path, f"{root.name}/{path.relative_to(root)}")
+        spark.sparkContext.addPyFile(archive)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (``spark.checkpoint.dir``).
 

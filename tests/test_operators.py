@@ -119,6 +119,14 @@ def test_page(spark):
     assert [r.score for r in html.grade_links(nodes).collect()] == [15, 5]
 
 
+def test_deep_and_broken_pages():
+    """Tags nested thousands deep, never closed or closed without a beginning end no job."""
+    deep = html.page_nodes("<main>" + "<div>" * 5000 + "<ul><li>Drept <b>penal</b></li></ul>")
+    assert [(n["tag"], n["text"], n["in_list"]) for n in deep] == [("li", "Drept penal", True)]
+    assert [n["text"] for n in html.page_nodes("</div></li><li>a<li>b</ul><td>c")] == ["a", "b c", "c"]
+    assert html.page_nodes(None) == html.page_nodes("") == html.page_nodes("< <!-- <li>x") == []
+
+
 def test_papers(spark):
     pages = [
         ("u", 1, "Specializarea: Ingineria si Protectia Mediului Locuri buget: 10 Locuri taxa: 5", None), ("u", 2, "Specializarea: Tehno-\nlogia Informatiei\nLocuri buget: 20 Locuri taxă: 10", None),
@@ -395,3 +403,16 @@ def test_web_source(spark):
     got = {r.url: (r.status, r.code) for r in spark.read.format("web").option("urls", "http://a,http://b").load().collect()}
     assert got == {"http://a": ("downloaded", 200), "http://b": ("failed", 404)}
     assert spark.read.format("web").load().count() == 0
+
+
+def test_package_is_shipped(spark):
+    import zipfile
+
+    from pyspark import SparkFiles
+
+    from admitta.session import ship_package
+
+    ship_package(spark)
+    names = set(zipfile.ZipFile(SparkFiles.get("admitta.zip")).namelist())
+    assert {"admitta/__init__.py", "admitta/operators/match.py"} <= names
+    assert spark.createDataFrame([("a b", "b a")], "x string, y string").select(match.token_set("x", "y").alias("r")).first().r == 100
