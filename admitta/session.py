@@ -31,12 +31,13 @@ def build_session(app: str = "admitta", master: str = "local[*]", **conf: str) -
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors of a cluster on which it is not installed."""
     root = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as folder:
-        archive = f"{folder}/admitta.zip"
-        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-            for path in sorted(root.rglob("*.py")):
-                z.write(path, f"{root.name}/{path.relative_to(root)}")
-        spark.sparkContext.addPyFile(archive)
+    folder = tempfile.mkdtemp(prefix="admitta-package-")  # the driver serves it from here as long as it lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/admitta.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, f"{root.name}/{path.relative_to(root)}")
+    spark.sparkContext.addPyFile(archive)
 
 
 def shared_dir(spark: SparkSession) -> str:
