@@ -443,7 +443,7 @@ SELECT faculty_slug, pid, grade_key, min_grade, round(token_set, 6) AS alike FRO
     "j6_faculty_uids": "SELECT DISTINCT p.uid AS program_uid, CASE WHEN f.slug IS NOT NULL THEN sha256('listed:' || f.slug) ELSE sha256('faculty:' || p.faculty_slug) END AS resolved_faculty_uid FROM programs p LEFT JOIN faculties f ON p.faculty_slug = f.slug",
     "j7_faculty_names": "SELECT DISTINCT p.uid AS program_uid, coalesce(f.name, upper(p.faculty_slug)) AS faculty_name FROM programs p LEFT JOIN (SELECT slug, max(name) AS name FROM faculties GROUP BY slug) f ON p.faculty_slug = f.slug",
     "e13_from_papers": f"""SELECT sha256(faculty_slug || '|' || program_name) AS uid, sha256(faculty_slug || '|' || {sql_match_form('program_name')}) AS program_id, faculty_slug, program_name AS name, CASE WHEN level IS NULL THEN 'Unknown' WHEN contains(lower(level), 'master') THEN 'Master' WHEN contains(lower(level), 'licent') OR contains(lower(level), 'bachelor') THEN 'Bachelor' WHEN contains(lower(level), 'doctor') OR contains(lower(level), 'phd') THEN 'PhD' ELSE 'Unknown' END AS level,
-spots_budget, spots_tax, pdf_url AS source_url, 'pdf_only' AS source_type, 0.92 AS likelihood_score FROM (SELECT * FROM {_PAIRED} WHERE faculty_slug NOT IN (SELECT lower(faculty_slug) FROM programs WHERE faculty_slug IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY faculty_slug, program_name ORDER BY pdf_rank DESC NULLS LAST, row_idx DESC NULLS LAST, pdf_url DESC) = 1)""",
+spots_budget, spots_tax, pdf_url AS source_url, 'pdf_only' AS source_type, 0.92::DOUBLE AS likelihood_score FROM (SELECT * FROM {_PAIRED} WHERE faculty_slug NOT IN (SELECT lower(faculty_slug) FROM programs WHERE faculty_slug IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY faculty_slug, program_name ORDER BY pdf_rank DESC NULLS LAST, row_idx DESC NULLS LAST, pdf_url DESC) = 1)""",
     "e8_narratives": f"SELECT DISTINCT uid, md5('Programul: ' || name || ' (' || coalesce(level, 'Master') || ')' || chr(10) || 'Facultate: ' || upper(faculty_slug) || chr(10) || 'Locuri Buget: ' || {_SAID.format('spots_budget')} || ' (Sursa: PDF ' || source_url || ')' || chr(10) || 'Locuri Taxa: ' || {_SAID.format('spots_tax')} || ' (Sursa: PDF ' || source_url || ')' || chr(10) || '[INFERENCE]' || chr(10) || 'Cariera: ' || replace({_FIRST}, ',', ', ')) AS text_md5, CASE WHEN {_GRADE} IS NULL THEN 'x' ELSE 'x' || chr(10) || 'Ultima Medie (2025): ' || printf('%.2f', {_GRADE}) END AS grade_line FROM programs",
     "e1_flat_export": f"SELECT name, level, faculty_slug, duration_years, spots_budget, spots_tax, coalesce(source_type, 'unknown') AS source_type, coalesce(CASE WHEN NOT isnan(accuracy_confidence) THEN accuracy_confidence END, 0.0) AS accuracy_confidence, source_url AS url, {_GRADE} AS last_admission_grade FROM programs",
     "e3_e4_careers": f"SELECT DISTINCT uid, {_FIRST} AS first_careers, {_ALL} AS all_careers FROM programs",

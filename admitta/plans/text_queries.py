@@ -210,7 +210,7 @@ CASE WHEN contains(source_url, 'licenta') THEN 'Licenta' ELSE 'Master' END AS ur
     "p14_languages": f"SELECT DISTINCT uid, CASE WHEN contains(l, 'englez') OR contains(l, 'english') THEN 'English' WHEN contains(l, 'francez') THEN 'French' ELSE 'Romanian' END AS language, CASE WHEN contains(l, 'englez') OR contains(l, 'english') THEN 'en' WHEN contains(l, 'francez') THEN 'fr' ELSE 'ro' END AS code FROM (SELECT uid, lower(name) AS l FROM {NAMES})",
     "p19_link_targets": f"""SELECT DISTINCT input_pos, address, regexp_extract(source_url, '^([a-z]+://[^/]*)', 1) || regexp_extract(address, '^[a-z]+://[^/]*(/.*)$', 1) AS rooted, regexp_replace(source_url, '[^/]*$', '') || regexp_extract(address, '([^/]*)$', 1) AS relative, regexp_extract(source_url, '^([a-z]+:)', 1) || regexp_replace(address, '^https?:', '') AS schemeless, address AS absolute
 FROM {_ADDR} WHERE address IS NOT NULL AND source_url IS NOT NULL""",
-    "p20_host_counts": "SELECT regexp_extract(url, '^[a-z]+://([^/]*)', 1) AS host, count(*) AS n_docs, sum(n_chars) AS chars FROM documents GROUP BY 1",
+    "p20_host_counts": "SELECT regexp_extract(url, '^[a-z]+://([^/]*)', 1) AS host, count(*) AS n_docs, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY 1",
     "sc17_encoding": f"""SELECT uid, name AS as_stored, CASE WHEN regexp_matches(name, '[\\x{{100}}-\\x{{13f}}]') THEN name ELSE array_to_string(list_transform(range(0, length(hex(name)) // 2), lambda i: chr(('0x' || substring(hex(name), (2 * i + 1)::BIGINT, 2))::INT)), '') END AS repaired FROM {NAMES}""",
 }
 SQL = {(f"fn_{k}" if k[0] == "p" else k): s for k, s in SQL.items()}
