@@ -110,7 +110,11 @@ def _matrix(a: list[str], b: list[str], value: Callable[[str, str], float]) -> n
 
 
 def best_two(queries: list[dict], rows: list[dict]) -> Found:
-    """The best two rows of each programme. Names that hold each other score 1, so no other name is compared that could not pass the second of those."""
+    """The best two rows of each programme.
+
+    Names that hold each other score 1 without being compared. Level and domain bound what a pair can
+    reach; pairs are compared from the largest bound down, as long as it passes the second best score.
+    """
     a, b = [q["a"] for q in queries], [r["b"] for r in rows]
     las, lbs = [q["la"] for q in queries], [r["lb"] for r in rows]
     conflict = _matrix(las, lbs, lambda x, y: _level_parts(x, y)[0]) > 0
@@ -122,14 +126,19 @@ def best_two(queries: list[dict], rows: list[dict]) -> Found:
     sure = np.array([[(x == y) or bool(x and y and (x in y or y in x)) or bool(u and v and (u <= v or v <= u)) for y, v in zip(b, words_b)] for x, u in zip(a, words_a)])
     score = np.where(sure, most, 0.0)
     twice = np.array([r["rid"] != r["last_rid"] for r in rows])
-    wide = np.concatenate([score, score[:, twice]], axis=1)
-    second = np.partition(wide, -2, axis=1)[:, -2] if wide.shape[1] > 1 else np.zeros(len(a))
-    qs, rs = np.nonzero(~sure & (most > np.maximum(second, KEPT)[:, None]))
-    if len(qs):
-        left, right = [a[i] for i in qs], [b[j] for j in rs]
-        name = np.maximum(token_set_ratios(left, right), partial_ratios(left, right)) / 100.0
-        total = np.minimum(NAME * name + rest[qs, rs] + DOMAIN * domain[qs, rs], 1.0)
-        score[qs, rs] = np.where(name < LEAST_NAME, 0.0, total)
+
+    def second() -> np.ndarray:
+        wide = np.concatenate([score, score[:, twice]], axis=1)
+        return np.partition(wide, -2, axis=1)[:, -2] if wide.shape[1] > 1 else np.zeros(len(a))
+
+    # pairs that could score most come first; what they reach spares those that could not pass it
+    for reach in np.unique(most)[::-1]:
+        qs, rs = np.nonzero(~sure & (most == reach) & (reach > np.maximum(second(), KEPT))[:, None])
+        if len(qs):
+            left, right = [a[i] for i in qs], [b[j] for j in rs]
+            name = np.maximum(token_set_ratios(left, right), partial_ratios(left, right)) / 100.0
+            total = np.minimum(NAME * name + rest[qs, rs] + DOMAIN * domain[qs, rs], 1.0)
+            score[qs, rs] = np.where(name < LEAST_NAME, 0.0, total)
     for i in range(len(a)):
         able = np.flatnonzero(score[i] > KEPT)
         if not len(able):
