@@ -266,8 +266,9 @@ def match_programmes(programs: DataFrame, pdf_rows: DataFrame, queue: DataFrame,
     named = programmes_of(known)
     ided = lambda df, kind: df.withColumn("row_id", F.unhex(F.md5(F.to_json(F.struct(F.lit(kind), "uid", "ws", "fac", "lvl", "lang")))))
     lone = like_programmes(ided(records.where("program_id IS NULL"), "lone"), named)
-    # as a paper would show it: a language that is not marked is Romanian
-    sample = ided(known.orderBy(F.xxhash64("uid", "ws"), "uid").limit(labelled), "labelled")
+    # records whose programme has others to be found by, as a paper would show them: a language that is not marked is Romanian
+    several = known.groupBy("pid").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo <> hi").select("pid")
+    sample = ided(known.join(several, "pid", "left_semi").orderBy(F.xxhash64("uid", "ws"), "uid").limit(labelled), "labelled")
     cols = ("row_id", "uid", "program_id", "fac", "lvl", "ws", "parts")
     tested = materialize(lone.select(*cols, "lang").unionByName(sample.select(*cols, F.nullif("lang", F.lit("ro")).alias("lang"))))
     found = cascade(tested.select("row_id", F.col("uid").alias("own"), "fac", "lvl", "lang", "ws", "parts"), named)
