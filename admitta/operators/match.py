@@ -9,6 +9,7 @@ programme leave it. A faculty of any size hence spreads over as many tasks as it
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,14 +17,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from admitta.functions.fuzzy import partial, partial_ratio, partial_ratios, token_set, token_set_ratios
+from admitta.functions.fuzzy import Bounds, partial, partial_ratio, partial_ratios, token_set, token_set_ratios
 from admitta.functions.text import expand_abbreviations, match_form
 
 #: Weights, the name score below which nothing counts, and the status thresholds.
 NAME, LEVEL, DOMAIN, LEAST_NAME, KEPT, CLOSE, LOW, ACCEPTED = 0.5, 0.3, 0.2, 0.3, 0.01, 0.15, 0.5, 0.65
 DOMAIN_ALIKE, GRADE_ALIKE = 80, 85
-#: Distinct forms of a group in one block, about.
-BLOCK = 128
+#: Distinct forms of a group in one block, about; of programmes and of rows where the best two are searched.
+BLOCK, QUERIES, ROWS = 128, 512, 8192
+#: Rows of a programme that are compared first, and what rounding may take from a bound.
+SEEDS, SLACK = 4, 1e-9
+#: Pairs whose subsequences are counted at a time, about.
+TOGETHER = 1 << 19
 
 Found = Iterator[tuple[int, dict]]
 
@@ -57,28 +62,30 @@ def pair_scores(pairs: DataFrame) -> DataFrame:
     return raw.withColumn("score", F.when(levels_conflict(F.col("la"), F.col("lb")), 0.0).otherwise(score)).drop("_t", "_p", "_d")
 
 
-def _blocks(items: DataFrame, on: Sequence[str], side: str) -> tuple[DataFrame, DataFrame]:
+def _blocks(items: DataFrame, on: Sequence[str], side: str, block: int) -> tuple[DataFrame, DataFrame]:
     """Items (on, item) in blocks by hash, and the number of blocks of each group."""
-    sizes = items.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(f"{side}_blocks"))
+    sizes = items.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(f"{side}_blocks"))
     placed = items.join(sizes, list(on)).withColumn(side, F.pmod(F.xxhash64("item"), F.col(f"{side}_blocks")).cast("int"))
     return placed.groupBy(*on, side).agg(F.collect_list("item").alias(f"{side}_items")), sizes
 
 
-def search(queries: DataFrame, rows: DataFrame, on: Sequence[str], best: Callable[[list[dict], list[dict]], Found], found: str) -> DataFrame:
+def search(queries: DataFrame, rows: DataFrame, on: Sequence[str], best: Callable[[list[dict], list[dict]], Found], found: str, blocks: tuple[int, int] | None = None) -> DataFrame:
     """(on, query, found fields): what ``best`` yields for blocks of queries and rows that agree in ``on``.
 
     ``queries`` and ``rows`` are (on, item) with struct items; ``best`` gets a block of each and yields
-    (position of the query, fields). Groups that are null or on one side only give nothing.
+    (position of the query, fields). Groups that are null or on one side only give nothing. ``blocks`` are
+    the forms in a block of queries and in one of rows.
     """
     on = list(on)
-    q_blocks, q_sizes = _blocks(queries, on, "q")
-    r_blocks, r_sizes = _blocks(rows, on, "r")
+    q_block, r_block = blocks or (BLOCK, BLOCK)
+    q_blocks, q_sizes = _blocks(queries, on, "q", q_block)
+    r_blocks, r_sizes = _blocks(rows, on, "r", r_block)
     left = q_blocks.join(r_sizes, on).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("r_blocks") - 1)))
     right = r_blocks.join(q_sizes, on).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
     pairs = left.join(right, [*on, "q", "r"]).select(F.struct(*on).alias("g"), "q_items", "r_items")
     # few bytes and much work: the blocks must not be put together into few tasks for their size
     spark = pairs.sparkSession
-    pairs = pairs.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+    pairs = pairs.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
     kind = {f.name: f.dataType.simpleString() for f in pairs.schema.fields}
     schema = f"g {kind['g']}, query {kind['q_items'][6:-1]}, found struct<{found}>"
     types = pairs.sparkSession.createDataFrame([], schema).schema
@@ -87,7 +94,7 @@ def search(queries: DataFrame, rows: DataFrame, on: Sequence[str], best: Callabl
         from pyspark.sql.pandas.types import to_arrow_schema
 
         for batch in batches:
-            for g, qs, rs in zip(*(c.to_pylist() for c in batch.columns)):
+            for g, qs, rs in ((c[k].as_py() for c in batch.columns) for k in range(batch.num_rows)):
                 out = [{"g": g, "query": qs[i], "found": fields} for i, fields in best(qs, rs)]
                 yield pa.RecordBatch.from_pylist(out, to_arrow_schema(types))
 
@@ -102,51 +109,103 @@ def _level_parts(la: str, lb: str) -> tuple[bool, float]:
     return conflict, 0.5 if not la and not lb else 0.0
 
 
-def _matrix(a: list[str], b: list[str], value: Callable[[str, str], float]) -> np.ndarray:
-    """``value`` for all pairs of few distinct texts."""
-    x, y = sorted(set(a)), sorted(set(b))
-    small = np.array([[value(s, t) for t in y] for s in x], dtype=np.float64).reshape(len(x), len(y))
-    return small[np.searchsorted(x, a)][:, np.searchsorted(y, b)]
+def _distinct(values: list[str]) -> tuple[list[str], np.ndarray]:
+    """The distinct values, and the place of each value among them."""
+    known = sorted(set(values))
+    place = {v: k for k, v in enumerate(known)}
+    return known, np.array([place[v] for v in values])
+
+
+@lru_cache(1 << 16)
+def _domains_alike(da: str, db: str) -> bool:
+    return bool(da and db) and partial_ratio(da, db) > DOMAIN_ALIKE
 
 
 def best_two(queries: list[dict], rows: list[dict]) -> Found:
     """The best two rows of each programme.
 
-    Names that hold each other score 1 without being compared. Level and domain bound what a pair can
-    reach; pairs are compared from the largest bound down, as long as it passes the second best score.
+    Level and domain bound what a pair can reach, and so do the words, characters and subsequences that
+    two names share. The likeliest rows of a programme are compared first; of the others those whose
+    bound is not below the second best score, from the largest bound down.
     """
-    a, b = [q["a"] for q in queries], [r["b"] for r in rows]
-    las, lbs = [q["la"] for q in queries], [r["lb"] for r in rows]
-    conflict = _matrix(las, lbs, lambda x, y: _level_parts(x, y)[0]) > 0
-    level = _matrix(las, lbs, lambda x, y: _level_parts(x, y)[1])
-    domain = _matrix([q["da"] for q in queries], [r["db"] for r in rows], lambda x, y: float(bool(x and y) and partial_ratio(x, y) > DOMAIN_ALIKE))
-    rest = LEVEL * level
-    most = np.where(conflict, 0.0, np.minimum(NAME + rest + DOMAIN * domain, 1.0))
-    words_a, words_b = [frozenset(x.split()) for x in a], [frozenset(y.split()) for y in b]
-    sure = np.array([[(x == y) or bool(x and y and (x in y or y in x)) or bool(u and v and (u <= v or v <= u)) for y, v in zip(b, words_b)] for x, u in zip(a, words_a)])
-    score = np.where(sure, most, 0.0)
-    twice = np.array([r["rid"] != r["last_rid"] for r in rows])
-
-    def second() -> np.ndarray:
-        wide = np.concatenate([score, score[:, twice]], axis=1)
-        return np.partition(wide, -2, axis=1)[:, -2] if wide.shape[1] > 1 else np.zeros(len(a))
-
-    # pairs that could score most come first; what they reach spares those that could not pass it
-    for reach in np.unique(most)[::-1]:
-        qs, rs = np.nonzero(~sure & (most == reach) & (reach > np.maximum(second(), KEPT))[:, None])
-        if len(qs):
-            left, right = [a[i] for i in qs], [b[j] for j in rs]
-            name = np.maximum(token_set_ratios(left, right), partial_ratios(left, right)) / 100.0
-            total = np.minimum(NAME * name + rest[qs, rs] + DOMAIN * domain[qs, rs], 1.0)
-            score[qs, rs] = np.where(name < LEAST_NAME, 0.0, total)
-    for i in range(len(a)):
-        able = np.flatnonzero(score[i] > KEPT)
-        if not len(able):
-            continue
-        least = np.sort(score[i, able])[-2:][0]
-        listed = [(-score[i, j], rid) for j in able if score[i, j] >= least for rid in {rows[j]["rid"], rows[j]["last_rid"]}]
+    names = [q["a"] for q in queries], [r["b"] for r in rows]
+    bounds = Bounds(*names)
+    twice = [r["rid"] != r["last_rid"] for r in rows]
+    (lbs, lb), (dbs, db) = (_distinct([r[c] for r in rows]) for c in ("lb", "db"))
+    kinds: dict[tuple[str, str], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    for la, da in {(q["la"], q["da"]) for q in queries}:
+        conflict, level = (np.array(x)[lb] for x in zip(*(_level_parts(la, y) for y in lbs)))
+        rest, domain = LEVEL * level, DOMAIN * np.array([float(_domains_alike(da, y)) for y in dbs])[db]
+        kinds[la, da] = rest, domain, np.where(conflict, 0.0, np.minimum(NAME + rest + domain, 1.0))
+    kind = [kinds[q["la"], q["da"]] for q in queries]
+    first, second = np.zeros(len(queries)), np.zeros(len(queries))
+    scored: list[list[tuple[float, int]]] = [[] for _ in queries]
+
+    def reach(at: np.ndarray, name: np.ndarray, rest: np.ndarray, domain: np.ndarray) -> np.ndarray:
+        """Whether pairs with this name score can be among the best two."""
+        return NAME * name + rest + domain >= np.maximum(second[at], KEPT) - SLACK
+
+    def compare(i: np.ndarray, j: np.ndarray, rest: np.ndarray, domain: np.ndarray, sets: np.ndarray, stretches: np.ndarray) -> None:
+        name = np.zeros(len(i))
+        for ratios, most in ((token_set_ratios, sets), (partial_ratios, stretches)):
+            at = np.flatnonzero(reach(i, most, rest, domain) & (most + SLACK > name))
+            if len(at):
+                name[at] = np.maximum(name[at], ratios([names[0][k] for k in i[at]], [names[1][k] for k in j[at]]) / 100.0)
+        total = np.where(name < LEAST_NAME, 0.0, np.minimum(NAME * name + rest + domain, 1.0))
+        for q, r, s in zip(i.tolist(), j.tolist(), total.tolist()):
+            if s <= KEPT or s < second[q]:
+                continue
+            scored[q].append((s, r))
+            for _ in range(1 + twice[r]):
+                if s > first[q]:
+                    first[q], second[q] = s, first[q]
+                elif s > second[q]:
+                    second[q] = s
+
+    def pairs(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+        return [np.concatenate(x) for x in zip(*parts)]
+
+    shared = [bounds.shared(q) for q in range(len(queries))]
+    seeds = []
+    for q, (rest, domain, most) in enumerate(kind):
+        low = np.where(most > KEPT, NAME * bounds.least(q, *shared[q]) + rest + domain, -1.0)
+        j = np.argpartition(low, -SEEDS)[-SEEDS:] if len(low) > SEEDS else np.arange(len(low))
+        j = j[most[j] > KEPT]
+        seeds.append((np.full(len(j), q), j, rest[j], domain[j]))
+    i, j, rest, domain = pairs(seeds)
+    compare(i, j, rest, domain, np.ones(len(i)), np.ones(len(i)))
+    def settle(left: list[tuple[np.ndarray, ...]]) -> None:
+        i, j, rest, domain, count, length = pairs(left)
+        sets, stretches, common = bounds.by_subsequences(i, j, count, length)
+        k = np.flatnonzero(reach(i, stretches, rest, domain))
+        stretches[k] = bounds.by_ends(i[k], j[k], common[k])
+        bound = NAME * np.maximum(sets, stretches) + rest + domain
+        order = np.lexsort((-bound, i))
+        place = np.empty(len(i), dtype=np.int64)
+        place[order] = np.arange(len(i)) - np.searchsorted(i[order], i[order])
+        done, most = 0, SEEDS
+        while (place >= done).any():
+            k = np.flatnonzero((place >= done) & (place < most) & (bound >= np.maximum(second[i], KEPT) - SLACK))
+            compare(i[k], j[k], rest[k], domain[k], sets[k], stretches[k])
+            done, most = most, 4 * most
+
+    left, waiting = [], 0
+    for q, (rest, domain, most) in enumerate(kind):
+        able = most >= max(second[q], KEPT) - SLACK
+        able[seeds[q][1]] = False
+        j = np.flatnonzero(able)
+        count, length = (x[j] for x in shared[q])
+        rest, domain, at = rest[j], domain[j], np.full(len(j), q)
+        k = np.flatnonzero(reach(at, np.maximum(*bounds.by_bags(q, j, count, length)), rest, domain))
+        left.append((at[k], j[k], rest[k], domain[k], count[k], length[k]))
+        waiting += len(k)
+        if waiting > TOGETHER or q == len(kind) - 1:
+            settle(left)
+            left, waiting = [], 0
+    for q, found in enumerate(scored):
+        listed = [(-s, rid) for s, r in found if s >= second[q] for rid in {rows[r]["rid"], rows[r]["last_rid"]}]
         for minus, rid in sorted(listed)[:2]:
-            yield i, {"score": float(-minus), "rid": rid}
+            yield q, {"score": -minus, "rid": rid}
 
 
 def best_rows(programs: DataFrame, rows: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -162,7 +221,7 @@ def best_rows(programs: DataFrame, rows: DataFrame, on: Sequence[str]) -> DataFr
     right = rows.select(*on, "rid", comparable(F.col("program_name")).alias("b"), low("level").alias("lb"), low("domain").alias("db"))
     # rows of one form score alike: the first two by rid stand for all
     forms = right.groupBy(*on, "b", "lb", "db").agg(F.min("rid").alias("rid"), F.max("rid").alias("last_rid")).select(*on, F.struct("b", "lb", "db", "rid", "last_rid").alias("item"))
-    scored = search(left.select(*on, "item").dropDuplicates(), forms, on, best_two, "score:double,rid:string")
+    scored = search(left.select(*on, "item").dropDuplicates(), forms, on, best_two, "score:double,rid:string", (QUERIES, ROWS))
     order = Window.partitionBy(*on, "query").orderBy(F.desc("score"), "rid")
     top = scored.withColumn("place", F.row_number().over(order)).where("place <= 2")
     both = top.groupBy(*on, "query").agg(

@@ -7,9 +7,11 @@ import itertools
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from admitta.functions import fuzzy
 from admitta.operators import boilerplate, fuse, grades, html, match, pdf, publish, rank, snapshots, validate
 from admitta.operators.ranking import salted_rank
 from admitta.sources import files, web
@@ -84,6 +86,66 @@ def test_best_rows_against_all_pairs(spark, monkeypatch):
     assert none.count() == 0 and match.best_rows(p, r.where("false"), ["s"]).where("status = 'no_match'").count() == 40
 
 
+def _names(rnd, number, words, share=0.15, most=12):
+    odd = ["", " ", "x", "drept penal " * 6, "q" * 300, "a\0b", "\u00a0drept  penal", "\U0001d400rept"]
+    return [rnd.choice(odd) if rnd.random() < share else " ".join(rnd.choices(words, k=rnd.randint(1, most))) for _ in range(number)]
+
+
+def test_bounds_hold():
+    rnd = random.Random(3)
+    a, b = (_names(rnd, 40, ["calculatoare", "drept", "penal", "in", "eng", "auto", "romanica", "x"]) for _ in range(2))
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(40), np.arange(40), indexing="ij"))
+    pairs = [a[k] for k in i], [b[k] for k in j]
+    sets, stretches = fuzzy.token_set_ratios(*pairs) / 100, fuzzy.partial_ratios(*pairs) / 100
+    assert np.allclose(stretches * 100, [fuzzy.partial_ratio(x, y) for x, y in zip(*pairs)])
+    bounds = fuzzy.Bounds(a, b)
+    count, length = (np.concatenate(x) for x in zip(*(bounds.shared(k) for k in range(40))))
+    assert (np.concatenate([bounds.least(k, *bounds.shared(k)) for k in range(40)]) <= sets + 1e-9).all()
+    *closer, common = bounds.by_subsequences(i, j, count, length)
+    for most, value in ((bounds.by_bags(i, j, count, length), (sets, stretches)), (closer, (sets, stretches)), ([bounds.by_ends(i, j, common)], [stretches])):
+        assert all((x >= y - 1e-9).all() for x, y in zip(most, value))
+
+
+@pytest.mark.parametrize(("share", "most", "part"), [(0.15, 12, 20), (0.0, 7, 40)])
+def test_best_two_of_a_large_faculty_compares_few_pairs(monkeypatch, share, most, part):
+    """The best two rows are those of all pairs, of which only a small part is compared."""
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("abcdefghilmnoprstuvz", weights=[9, 1, 5, 4, 10, 1, 1, 1, 9, 5, 3, 6, 5, 3, 7, 4, 6, 5, 1, 1], k=rnd.randint(4, 13))) for _ in range(80)]
+    level, domain = (lambda: rnd.choice(["licenta", "master", "l", ""])), (lambda: rnd.choice(["drept", "arte", ""]))
+    queries = [{"a": x, "la": level(), "da": domain()} for x in _names(rnd, 60, words, share, most)]
+    rows = [{"b": x, "lb": level(), "db": domain(), "rid": f"r{rnd.random()}"} for x in _names(rnd, 600, words, share, most)]
+    rows = [r | {"last_rid": r["rid"] + "z" * rnd.randint(0, 1)} for r in rows]
+    compared, ratios = [0], match.partial_ratios
+    monkeypatch.setattr(match, "partial_ratios", lambda a, b: compared.__setitem__(0, compared[0] + len(a)) or ratios(a, b))
+    got = sorted((i, round(x["score"], 9), x["rid"]) for i, x in match.best_two(queries, rows))
+    want = []
+    for i, q in enumerate(queries):
+        a, b = [q["a"]] * len(rows), [r["b"] for r in rows]
+        names = np.maximum(fuzzy.token_set_ratios(a, b), ratios(a, b)) / 100
+        listed = []
+        for name, r in zip(names, rows):
+            conflict, same = match._level_parts(q["la"], r["lb"])
+            alike = bool(q["da"] and r["db"]) and fuzzy.partial_ratio(q["da"], r["db"]) > match.DOMAIN_ALIKE
+            score = 0.0 if conflict or name < match.LEAST_NAME else min(match.NAME * name + match.LEVEL * same + match.DOMAIN * alike, 1.0)
+            listed += [(-score, rid) for rid in {r["rid"], r["last_rid"]} if score > match.KEPT]
+        want += [(i, round(-s, 9), rid) for s, rid in sorted(listed)[:2]]
+    assert got == sorted(want)
+    assert compared[0] < len(queries) * len(rows) / part
+
+
+def test_best_rows_in_any_blocks(spark, monkeypatch):
+    rnd = random.Random(6)
+    p, r = (_names(rnd, n, ["calculatoare", "drept", "penal", "in", "auto"]) for n in (25, 40))
+    p = spark.createDataFrame([("f", str(i), x, "licenta", None) for i, x in enumerate(p)], "s string, pid string, name string, level string, domain string")
+    r = spark.createDataFrame([("f", str(i), x, rnd.choice(["l", "master", None]), None) for i, x in enumerate(r)], "s string, rid string, program_name string, level string, domain string")
+    found = []
+    for sizes in ((match.QUERIES, match.ROWS, match.TOGETHER), (4, 3, 1)):
+        for name, value in zip(("QUERIES", "ROWS", "TOGETHER"), sizes):
+            monkeypatch.setattr(match, name, value)
+        found.append(sorted(match.best_rows(p, r, ["s"]).collect()))
+    assert len(found[0]) == 25 and found[0] == found[1]
+
+
 def test_grade_matches(spark):
     p = spark.createDataFrame([("f", "1", "Drept penal"), ("f", "2", "Biologie"), ("f", "3", None), (None, "4", "Drept penal")], "s string, pid string, name string")
     g = spark.createDataFrame([("f", "Penal, drept", 7.0, 2), ("f", "Drept penal", 8.0, 1), ("f", None, 5.0, 0), ("f", "", 6.0, 3)], "s string, grade_key string, min_grade double, key_pos int")
